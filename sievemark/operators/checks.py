@@ -15,6 +15,7 @@ from sievemark.operators.profile import numeric_pairs
 from sievemark.operators.quantiles import DIRECT_LIMIT
 from sievemark.operators.reshape import one_row_to_long
 from sievemark.operators.rows import COUNT_NAME, PERCENT_NAME, all_null
+from sievemark.session import small_frame
 
 # Weight of each dimension and of each severity, and the caps on scores.
 DIMENSION_WEIGHTS = {
@@ -200,7 +201,8 @@ def check_ml(scored: DataFrame) -> DataFrame:
 
 def dimension_scores(checks: DataFrame) -> DataFrame:
     """(dimension, score, weight, checks_passed, checks_total) of every weighted dimension."""
-    dims = checks.sparkSession.createDataFrame(
+    dims = small_frame(
+        checks.sparkSession,
         list(DIMENSION_WEIGHTS.items()), "dimension string, weight double"
     )
     w = F.lit(None).cast("double")

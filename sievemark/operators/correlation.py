@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sievemark.functions.columns import col, column_classes
 from sievemark.operators.order import running_totals, with_row_id
 from sievemark.operators.reshape import as_pairs, one_row_to_long
+from sievemark.session import small_frame
 
 # Strength bands of |r|.
 STRONG, MODERATE = 0.7, 0.4
@@ -93,7 +94,8 @@ def correlation_pairs(
     columns = list(columns or column_classes(df).numeric)
     pairs = list(combinations(columns, 2))
     if not pairs:
-        return df.sparkSession.createDataFrame(
+        return small_frame(
+            df.sparkSession,
             [], "col_a string, col_b string, pearson_r double, strength string, direction string"
         )
     r = F.col("r")

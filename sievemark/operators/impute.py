@@ -15,6 +15,7 @@ from sievemark.operators.categorical import column_modes
 from sievemark.operators.profile import fences_of, quartile_map
 from sievemark.operators.outliers import outside
 from sievemark.operators.quantiles import DIRECT_LIMIT, approx_quantiles, exact_quantiles
+from sievemark.session import small_frame
 
 # When a mean is a fair fill.
 MIN_SKEW_VALUES = 8
@@ -117,7 +118,8 @@ def fill_missing(
 
 def fill_log(df: DataFrame, plan: Sequence[Fill]) -> DataFrame:
     """(column, strategy, fill_value, filled) of a plan."""
-    return df.sparkSession.createDataFrame(
+    return small_frame(
+        df.sparkSession,
         [
             (f.column, f.strategy, str(round(f.value, 4)) if isinstance(f.value, float) else str(f.value), f.filled)
             for f in plan

@@ -12,6 +12,7 @@ from sievemark.functions.casts import number_prefix, to_boolean, to_number, to_t
 from sievemark.functions.columns import col, column_classes, logical_type
 from sievemark.operators.order import OrderKey
 from sievemark.operators.reshape import as_pairs, one_row_to_long
+from sievemark.session import small_frame
 
 # Share of all rows, nulls included, that must parse as numbers.
 SCOUT_SHARE = 0.70
@@ -77,7 +78,8 @@ def infer_types(df: DataFrame, share: float = SCOUT_SHARE) -> DataFrame:
 def inferred_type_table(df: DataFrame, share: float = SCOUT_SHARE) -> DataFrame:
     """(column, logical_type) after inference."""
     typed = infer_types(df, share)
-    return df.sparkSession.createDataFrame(
+    return small_frame(
+        df.sparkSession,
         [(f.name, logical_type(f.dataType)) for f in typed.schema.fields],
         "column string, logical_type string",
     )

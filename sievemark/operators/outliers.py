@@ -16,6 +16,7 @@ from sievemark.operators.profile import (
 )
 from sievemark.operators.quantiles import DIRECT_LIMIT
 from sievemark.operators.reshape import as_pairs
+from sievemark.session import small_frame
 
 FLAG = "_is_outlier"
 
@@ -47,7 +48,8 @@ def iqr_fences(
     columns = list(columns or column_classes(df).numeric)
     quartiles = quartile_map(df, columns, limit)
     fences = fence_map(df, columns, limit)
-    return df.sparkSession.createDataFrame(
+    return small_frame(
+        df.sparkSession,
         [(c, quartiles[c][0], quartiles[c][2], *fences[c]) for c in columns],
         "column string, q1 double, q3 double, lower_fence double, upper_fence double",
     )
@@ -81,7 +83,8 @@ def iqr_anomalies(
     first = Window.partitionBy("column").orderBy("_at")
     capped = cells.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= cap)
     rows = capped.groupBy("column").agg(F.sort_array(F.collect_list("_at")).alias("row_indices"))
-    bounds = df.sparkSession.createDataFrame(
+    bounds = small_frame(
+        df.sparkSession,
         [(c, *f) for c, f in fences.items()],
         "column string, lower_fence double, upper_fence double",
     )
@@ -156,7 +159,7 @@ def outlier_counts(
     for i, (c, (q1, _, q3)) in enumerate(quartile_map(df, columns, limit).items()):
         spread = q1 is not None and q3 > q1
         bounds.append((c, i, *(fences_of(q1, q3) if spread else (None, None))))
-    frame = df.sparkSession.createDataFrame(bounds, schema)
+    frame = small_frame(df.sparkSession, bounds, schema)
     if not columns:
         return frame.select("position", "column", F.lit(0).alias("n"), F.lit(0).alias("outliers"))
     v = F.col("value")

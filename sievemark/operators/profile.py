@@ -19,6 +19,7 @@ from sievemark.operators.categorical import numeric_modes
 from sievemark.operators.correlation import trend_labels
 from sievemark.operators.quantiles import DIRECT_LIMIT, exact_quantiles
 from sievemark.operators.reshape import as_pairs
+from sievemark.session import small_frame
 
 QUARTILES = (0.25, 0.5, 0.75)
 MIN_FENCE_VALUES = 4
@@ -54,7 +55,8 @@ def numeric_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def quartile_frame(df: DataFrame, quartiles: Quartiles) -> DataFrame:
     """(column, position, q1, median, q3, low, high), one row per column."""
-    return df.sparkSession.createDataFrame(
+    return small_frame(
+        df.sparkSession,
         [(c, i, *q, *fences_of(q[0], q[2])) for i, (c, q) in enumerate(quartiles.items())],
         "column string, position int, q1 double, median double, q3 double, low double, high double",
     )

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col
+from sievemark.session import small_frame
 
 DIRECT_LIMIT = 100_000  # rows up to which one in-memory percentile is used
 INSIDE_LIMIT = 500_000  # values of an interval that may be sorted in one task
@@ -66,7 +67,7 @@ def _held_values(df: DataFrame, intervals: list[_Interval], sample: bool = False
     schema = "column string, slots int, " + ", ".join(
         f"low{j} double, high{j} double, share{j} double" for j in range(slots)
     )
-    bounds = df.sparkSession.createDataFrame(rows, schema)
+    bounds = small_frame(df.sparkSession, rows, schema)
     v, slot, share = F.col("value"), F.lit(None).cast("int"), F.lit(None).cast("double")
     for j in range(slots):
         mine = (
@@ -89,7 +90,8 @@ def _pick(held: DataFrame, intervals: list[_Interval], at: Callable, name: str)
     places = {
         (c, j): at(b) for c, bs in _numbered(intervals).items() for j, b in enumerate(bs)
     }
-    asked = held.sparkSession.createDataFrame(
+    asked = small_frame(
+        held.sparkSession,
         [(c, j, [float(x) for x in xs]) for (c, j), xs in places.items()],
         f"column string, slot int, {name} array<double>",
     )
@@ -145,7 +147,8 @@ def _narrow(df: DataFrame, intervals: list[_Interval], answers: dict) -> list[_I
         points |= {e for b in bs for e in (b.low, b.high) if e is not None}
         edges[c] = sorted(points)
     most = max(map(len, edges.values()))
-    bounds = df.sparkSession.createDataFrame(
+    bounds = small_frame(
+        df.sparkSession,
         [(c, *es, *[math.nan] * (most - len(es))) for c, es in edges.items()],  # NaN tops all
         "column string, " + ", ".join(f"e{i} double" for i in range(most)),
     )
@@ -267,7 +270,8 @@ def quantile_table(
 ) -> DataFrame:
     """Long form (column, prob, value), one row per column and probability."""
     found = exact_quantiles(df, columns, probs, limit)
-    return df.sparkSession.createDataFrame(
+    return small_frame(
+        df.sparkSession,
         [(c, float(p), v) for (c, p), v in found.items()],
         "column string, prob double, value double",
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sievemark.functions.casts import to_number
 from sievemark.functions.columns import col, column_classes
 from sievemark.operators.reshape import one_row_to_long
+from sievemark.session import small_frame
 
 # Names that promise counts or percentages.
 COUNT_NAME = r"(count|total|freq|num_|n_)"
@@ -84,7 +85,7 @@ def percent_out_of_range(df: DataFrame) -> DataFrame:
 
 def _violations(df: DataFrame, names: list[str], test) -> DataFrame:
     if not names:
-        return df.sparkSession.createDataFrame([], "column string, violations bigint")
+        return small_frame(df.sparkSession, [], "column string, violations bigint")
     row = df.agg(*[F.count_if(test(col(c))).alias(f"v{i}") for i, c in enumerate(names)])
     return one_row_to_long(row, [
         {"column": F.lit(c), "violations": F.col(f"v{i}")} for i, c in enumerate(names)
@@ -122,4 +123,4 @@ def numeric_first(df: DataFrame) -> DataFrame:
         (c, "numeric" if c in classes.numeric else "datetime" if c in classes.datetime else "categorical")
         for c in df.columns
     ]
-    return df.sparkSession.createDataFrame(roles, "column string, role string")
+    return small_frame(df.sparkSession, roles, "column string, role string")

@@ -16,7 +16,7 @@ from sievemark.operators.infer import coerce_numeric
 from sievemark.operators.order import forward_fill
 from sievemark.operators.quantiles import DIRECT_LIMIT
 from sievemark.operators.rows import drop_empty_rows
-from sievemark.session import materialize
+from sievemark.session import materialize, small_frame
 
 
 @dataclass(frozen=True)
@@ -100,7 +100,8 @@ def clean_table(
             limit=limit,
         )
         rows_out = kept.count()
-    metrics = spark.createDataFrame(
+    metrics = small_frame(
+        spark,
         [(
             rows_in, len(before_names), renamed, rows_in - rows_full, len(empty_columns),
             rows_full - rows_distinct, filled, rows_filled - rows_out, rows_out, len(kept.columns),
