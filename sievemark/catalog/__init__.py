@@ -1 +1,6 @@
+"""Every operator as a named query over the supplied tables."""
 
+from sievemark.catalog import categories, row_queries, statistics  # noqa: F401
+from sievemark.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -10,6 +10,15 @@ def dbl(c: Column) -> Column:
     return c.cast("double")
 
 
+def stable_round(c: Column, places: int) -> Column:
+    """Half-even rounding that does not depend on the order in which tasks were summed.
+
+    The noise of a distributed sum is cut off first, or a value on a rounding edge would
+    fall to either side from run to run.
+    """
+    return F.bround(F.round(c, 10), places)
+
+
 def skew_adjusted(c: Column) -> Column:
     """Bias-corrected skewness: null under 3 values, 0 for a constant."""
     n = dbl(F.count(c))

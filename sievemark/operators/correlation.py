@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col, column_classes
+from sievemark.functions.stats import stable_round
 from sievemark.operators.order import running_totals, with_row_id
 from sievemark.operators.reshape import as_pairs, one_row_to_long
 from sievemark.session import small_frame
@@ -16,7 +17,7 @@ from sievemark.session import small_frame
 # Strength bands of |r|.
 STRONG, MODERATE = 0.7, 0.4
 
-_SUMS_PER_AGG = 20
+_SUMS_PER_AGG = 36
 
 # Two-sided 5 % points of Student's t for 3 to 41 degrees of freedom.
 # Beyond that a correlation of 0.3 is always significant.
@@ -101,7 +102,7 @@ def correlation_pairs(
     r = F.col("r")
     rated = _pair_frame(df, pairs).filter(r.isNotNull()).select(
         "col_a", "col_b",
-        F.bround(r, 6).alias("pearson_r"),
+        stable_round(r, 6).alias("pearson_r"),
         F.when(F.abs(r) >= STRONG, "strong").when(F.abs(r) >= MODERATE, "moderate")
         .otherwise("weak").alias("strength"),
         F.when(r >= 0, "positive").otherwise("negative").alias("direction"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.casts import number_prefix
 from sievemark.functions.columns import col, column_classes
-from sievemark.functions.stats import coef_variation, kurt_adjusted, skew_adjusted
+from sievemark.functions.stats import coef_variation, kurt_adjusted, skew_adjusted, stable_round
 from sievemark.operators.categorical import numeric_modes
 from sievemark.operators.correlation import trend_labels
 from sievemark.operators.quantiles import DIRECT_LIMIT, exact_quantiles
@@ -72,7 +72,7 @@ def column_profile(
     """
     numeric = list(column_classes(df).numeric)
     others = [c for c in df.columns if c not in numeric]
-    six = lambda e: F.bround(e, 6)
+    six = lambda e: stable_round(e, 6)
     missing_pct = F.coalesce(
         F.bround(F.try_divide(F.col("missing_count") * 100.0, F.col("rows")), 2), F.lit(0.0)
     )
