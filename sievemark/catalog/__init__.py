@@ -1,6 +1,8 @@
 """Every operator as a named query over the supplied tables."""
 
-from sievemark.catalog import categories, cleaning, row_queries, statistics  # noqa: F401
+from sievemark.catalog import (  # noqa: F401
+    categories, chart_queries, cleaning, quality, row_queries, statistics,
+)
 from sievemark.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

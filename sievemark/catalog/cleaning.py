@@ -203,11 +203,11 @@ _DOCS = View("documents", ("doc_id", "source", "CASE WHEN lang = 'fr' THEN NULL
                            "CASE WHEN n_chars > 5000 THEN NULL ELSE length(text) / 2.0 END AS half_chars"))
 
 
-@query("fill_train_median", with_t(_DOCS, """SELECT doc_id, coalesce(CAST(n_chars AS DOUBLE), (SELECT quantile_cont(n_chars, 0.5) FROM t WHERE source < 's3')) AS n_chars,
-  coalesce(CAST(half_chars AS DOUBLE), (SELECT CAST(quantile_cont(half_chars, 0.5) AS DOUBLE) FROM t WHERE source < 's3')) AS half_chars FROM t"""))
+@query("fill_train_median", with_t(_DOCS, """SELECT doc_id, coalesce(CAST(n_chars AS DOUBLE), (SELECT quantile_cont(n_chars, 0.5) FROM t WHERE source < 'src3')) AS n_chars,
+  coalesce(CAST(half_chars AS DOUBLE), (SELECT CAST(quantile_cont(half_chars, 0.5) AS DOUBLE) FROM t WHERE source < 'src3')) AS half_chars FROM t"""))
 def fill_train_median(spark, d):
     docs = _DOCS.df(spark, d)
-    medians = impute.train_medians(docs.filter("source < 's3'"), ["n_chars", "half_chars"])
+    medians = impute.train_medians(docs.filter("source < 'src3'"), ["n_chars", "half_chars"])
     return impute.fill_constants(docs, medians).drop("source")
 
 
