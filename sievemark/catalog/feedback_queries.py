@@ -107,7 +107,7 @@ _CAND = View("pages", (
     "page_id AS seq", "regexp_replace(url, '[?#].*$', '') || CASE WHEN length(html) > 9000 THEN '.csv' WHEN length(html) > 7000 THEN '.zip' WHEN length(html) > 6000 THEN '.txt' ELSE '' END AS url",
     "CASE WHEN url LIKE '%/fr/%' THEN 'fr' WHEN url LIKE '%/en%' THEN 'en' ELSE 'other' END AS domain",
     "CASE WHEN length(html) > 9000 THEN 'CSV' WHEN length(html) > 7000 THEN 'zip' WHEN length(html) > 5000 THEN 'json' WHEN length(html) > 4000 THEN 'html_table' ELSE 'unknown' END AS file_format",
-    "CAST(floor(length(html) * length(html) / 200.0) AS BIGINT) - 30000 AS estimated_rows", "html AS description"))
+    "CAST(floor(CAST(length(html) AS BIGINT) * length(html) / 200.0) AS BIGINT) - 30000 AS estimated_rows", "html AS description"))
 _POINTS = """(CASE lower(file_format) WHEN 'csv' THEN 40 WHEN 'zip' THEN 20 WHEN 'json' THEN 20 WHEN 'html_table' THEN 10 ELSE 0 END
  + CASE WHEN estimated_rows > 100000 THEN 30 WHEN estimated_rows > 10000 THEN 20 WHEN estimated_rows > 1000 THEN 10 WHEN estimated_rows > 0 THEN 5 ELSE 0 END
  + CASE WHEN ends_with(lower(url), '.csv') OR ends_with(lower(url), '.csv.gz') OR ends_with(lower(url), '.zip') THEN 15 ELSE 0 END

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col
 from sievemark.functions.hashing import row_hash
+from sievemark.session import materialize
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -31,18 +32,26 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_counts_hashed(df: DataFrame) -> DataFrame:
+BROADCAST_HASHES = 2_000_000  # 16 MB of 64-bit hashes
+
+
+def duplicate_counts_hashed(df: DataFrame, broadcast_limit: int = BROADCAST_HASHES) -> DataFrame:
     """``duplicate_counts`` for wide rows: only suspects are shuffled whole.
 
     Pass one shuffles 64-bit hashes. Rows whose hash is unique cannot be copies. The
-    others are compared in full, so a hash collision never counts as a duplicate.
+    others are compared in full, so a hash collision never counts as a duplicate. The
+    repeated hashes are written and counted first: a set of known small size is broadcast,
+    which leaves the wide rows in place; a larger one is joined on the hash.
     """
     hashes = df.select(row_hash(df).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    alone = hashes.agg(
+    counted = materialize(hashes, "row-hashes")
+    repeated_hashes = counted.filter(F.col("_n") > 1).select("_h")
+    alone = counted.agg(
         F.count_if(F.col("_n") == 1).alias("rows"), F.count_if(F.col("_n") == 1).alias("distinct_rows")
     )
+    small = repeated_hashes.count() <= broadcast_limit
     suspects = df.withColumn("_h", row_hash(df)).join(
-        hashes.filter(F.col("_n") > 1).select("_h"), "_h", "left_semi"
+        F.broadcast(repeated_hashes) if small else repeated_hashes, "_h", "left_semi"
     ).drop("_h")
     repeated = duplicate_counts(suspects).select("rows", "distinct_rows")
     both = alone.unionByName(repeated).agg(

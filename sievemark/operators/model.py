@@ -20,10 +20,10 @@ from sievemark.session import small_frame
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """n / (2 * n_class) per row; the class totals are two rows."""
+    """n / (2 * n_class) per row."""
     totals = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("_k"))
     n = df.count()
-    return df.join(F.broadcast(totals), label).withColumn(
+    return df.join(totals, label).withColumn(
         name, F.lit(float(n)) / (2.0 * F.col("_k"))
     ).drop("_k")
 

@@ -39,8 +39,8 @@ def balance_classes(
     Ranks inside a class come from one global order, so a class with most of the rows is
     not one task. The class totals are two numbers.
     """
-    counts = {r["label"]: r["n"] for r in df.groupBy(col(label).alias("label")).agg(
-        F.count(F.lit(1)).alias("n")).collect()}
+    both = df.filter(col(label).isin(0, 1)).groupBy(col(label).alias("label"))
+    counts = {r["label"]: r["n"] for r in both.agg(F.count(F.lit(1)).alias("n")).collect()}
     if ratio is None:
         smallest = min(counts.get(0, 0), counts.get(1, 0))
         allowed = {0: smallest, 1: smallest}
@@ -92,9 +92,9 @@ def split_stratified(
 ) -> DataFrame:
     """Add ``split`` with the test share exact inside every class."""
     ranked = rank_within(_drawn(df, key, seed, "strata", algorithm), [label], [_U, *key])
-    totals = ranked.groupBy(col(label)).agg(F.max("_rank").alias("_total"))  # a row per class
+    totals = ranked.groupBy(col(label)).agg(F.max("_rank").alias("_total"))
     held = F.bround(F.col("_total") * test, 0)
-    return ranked.join(F.broadcast(totals), label).withColumn(
+    return ranked.join(totals, label).withColumn(
         "split", F.when(F.col("_rank") <= held, "test").otherwise("train")
     ).select(*[col(c) for c in df.columns], "split")
 
