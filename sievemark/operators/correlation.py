@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col, column_classes
 from sievemark.functions.stats import stable_round
-from sievemark.operators.order import running_totals, with_row_id
+from sievemark.operators.order import number_rows, running_totals, with_row_id
 from sievemark.operators.reshape import as_pairs, one_row_to_long
 from sievemark.session import small_frame
 
@@ -162,11 +162,11 @@ def spearman_with_order(
     freq = placed.groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum(F.col("_pos").cast("double")).alias("sum_pos")
     )
-    numbered = with_row_id(freq, ["column", "value"])
-    ranked = running_totals(numbered, {"upto": "cnt"}).withColumn(
+    numbered, n_values = number_rows(freq, ["column", "value"])
+    ranked = running_totals(numbered, n_values, {"upto": "cnt"}).withColumn(
         "avg_rank", F.col("upto") - (F.col("cnt") - 1) / 2
     )
-    sizes = freq.groupBy("column").agg(F.sum("cnt").alias("n"))
+    sizes = numbered.groupBy("column").agg(F.sum("cnt").alias("n"))
     # One row per column. Positions and ranks of a column cover the same whole numbers.
     earlier = Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)
     centre = sizes.select(
@@ -190,11 +190,10 @@ def trend_labels(
     df: DataFrame, order_by: Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
     """increasing / decreasing / flat per column, null under 5 values."""
-    critical = F.lit(0.0)
-    for i, t in enumerate(T_CRITICAL):
-        freedom = _T_FIRST_DF + i
-        edge = t / (freedom + t * t) ** 0.5
-        critical = F.when(F.col("n") == freedom + 2, F.lit(edge)).otherwise(critical)
+    edges = " ".join(
+        f"WHEN {df_ + 2} THEN {t / (df_ + t * t) ** 0.5!r}D" for df_, t in enumerate(T_CRITICAL, _T_FIRST_DF)
+    )
+    critical = F.expr(f"CASE n {edges} ELSE 0.0D END")
     rho = F.col("rho")
     return spearman_with_order(df, order_by, columns).select(
         "column", "n", "rho",

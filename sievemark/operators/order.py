@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col
-from sievemark.session import materialize
+from sievemark.session import materialize, small_frame
 
 BUCKET_ROWS = 65_536
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
@@ -28,44 +28,65 @@ def _keys(order_by: Sequence[OrderKey]) -> list[Column]:
     return [col(k) if isinstance(k, str) else k for k in order_by]
 
 
-def with_row_id(
+def number_rows(
     df: DataFrame, order_by: Sequence[OrderKey], name: str = "_row_id", partitions: int | None = None
-) -> DataFrame:
-    """Number the rows 1..n in the given order, which should be total.
+) -> tuple[DataFrame, int]:
+    """(numbered rows, row count): numbers 1..n in the given order, which should be total.
 
     One range shuffle. The sorted rows are written once to shared scratch, because the
-    offsets and the numbers must come from the same partitioning.
+    offsets and the numbers must come from the same partitioning. What comes back to the
+    driver is one size per range partition.
     """
     keys = _keys(order_by)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pos", F.monotonically_increasing_id()),
         "ordered",
-    ).withColumn("_part", F.shiftright("_pos", _POSITION_BITS))
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per range partition: bounded by the number of partitions, not by the data.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
+    part = F.shiftright("_pos", _POSITION_BITS)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size")).collect()
+    rows, offsets = 0, []
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        offsets.append((r["part"], rows))
+        rows += r["size"]
+    before = small_frame(spark, offsets, "_part bigint, _offset bigint")
     inside = F.col("_pos").bitwiseAND(F.lit(2**_POSITION_BITS - 1))
-    return placed.join(F.broadcast(offsets), "_part").select(
+    numbered = placed.withColumn("_part", part).join(F.broadcast(before), "_part").select(
         *[col(c) for c in df.columns], (F.col("_offset") + inside + 1).alias(name)
     )
+    return numbered, rows
+
+
+def with_row_id(
+    df: DataFrame, order_by: Sequence[OrderKey], name: str = "_row_id", partitions: int | None = None
+) -> DataFrame:
+    """``number_rows`` without the count."""
+    return number_rows(df, order_by, name, partitions)[0]
 
 
 def _bucketed(df: DataFrame, row_id: str) -> DataFrame:
     return df.withColumn("_bucket", F.floor((col(row_id) - 1) / F.lit(BUCKET_ROWS)))
 
 
-def _carry(buckets: DataFrame, fold: dict[str, callable]) -> DataFrame:
+def _carry(buckets: DataFrame, fold: dict[str, dict], rows: int) -> DataFrame:
     """For each bucket, every folded value over all buckets before it.
 
-    Two levels: 65,536 buckets form a super bucket, so even 10^12 rows leave a few
-    hundred super buckets for the only window that has no partition.
+    Up to 65,536 buckets are one small window. Beyond that, 65,536 buckets form a super
+    bucket, so even 10^12 rows leave a few hundred super buckets for the only window that
+    has no partition.
     """
+    before = lambda *by: Window.partitionBy(*by).orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    if rows <= BUCKET_ROWS * BUCKET_ROWS:
+        none = {n: F.lit(None) for n in fold}
+        return buckets.select("_bucket", *[
+            f["combine"](f["over_window"](n, before()), none[n]).alias(f"{n}_carry")
+            for n, f in fold.items()
+        ])
     supers = buckets.withColumn("_super", F.floor(F.col("_bucket") / F.lit(BUCKET_ROWS)))
     per_super = supers.groupBy("_super").agg(
         *[f["over_group"](n, "_bucket").alias(n) for n, f in fold.items()]
@@ -74,13 +95,10 @@ def _carry(buckets: DataFrame, fold: dict[str, callable]) -> DataFrame:
     top = per_super.select(
         "_super", *[f["over_window"](n, prior_super).alias(f"{n}_top") for n, f in fold.items()]
     )
-    prior = (
-        Window.partitionBy("_super").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
     return supers.join(F.broadcast(top), "_super").select(
         "_bucket",
         *[
-            f["combine"](f["over_window"](n, prior), F.col(f"{n}_top")).alias(f"{n}_carry")
+            f["combine"](f["over_window"](n, before("_super")), F.col(f"{n}_top")).alias(f"{n}_carry")
             for n, f in fold.items()
         ],
     )
@@ -98,12 +116,22 @@ _LAST = {
 }
 
 
-def running_totals(numbered: DataFrame, totals: dict[str, str], row_id: str = "_row_id") -> DataFrame:
-    """Add inclusive running sums; ``totals`` maps new name to summed column."""
+def running_totals(
+    numbered: DataFrame, n: int, totals: dict[str, str], row_id: str = "_row_id"
+) -> DataFrame:
+    """Add inclusive running sums to n numbered rows; ``totals`` maps new name to column.
+
+    No more rows than a bucket holds are one window; larger tables go bucket by bucket.
+    """
+    if n <= BUCKET_ROWS:
+        every = Window.orderBy(col(row_id)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return numbered.withColumns({
+            new: F.coalesce(F.sum(col(old)).over(every), F.lit(0)) for new, old in totals.items()
+        })
     rows = _bucketed(numbered, row_id)
     temp = {f"_rt{i}": (new, old) for i, (new, old) in enumerate(totals.items())}
     sums = rows.groupBy("_bucket").agg(*[F.sum(col(old)).alias(t) for t, (_, old) in temp.items()])
-    carry = _carry(sums, {t: _SUM for t in temp})
+    carry = _carry(sums, {t: _SUM for t in temp}, n)
     inside = Window.partitionBy("_bucket").orderBy(col(row_id)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -128,7 +156,8 @@ def forward_fill(
     with a third of the rows is spread over many buckets.
     """
     keys = [*within, *order_by]
-    rows = _bucketed(with_row_id(df, keys), "_row_id")
+    numbered, n = number_rows(df, keys)
+    rows = _bucketed(numbered, "_row_id")
     held = {
         f"_ff{i}": F.when(
             col(c).isNotNull(), F.struct(*[col(k).alias(f"k{j}") for j, k in enumerate(within)],
@@ -137,19 +166,18 @@ def forward_fill(
         for i, c in enumerate(columns)
     }
     rows = rows.withColumns(held)
-    last = rows.groupBy("_bucket").agg(*[
-        F.max_by(t, F.when(F.col(t).isNotNull(), F.col("_row_id"))).alias(t) for t in held
-    ])
-    carry = _carry(last, {t: _LAST for t in held})
     inside = Window.partitionBy("_bucket").orderBy("_row_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     target = dict(zip(columns, held))
-    seen = {
-        t: F.coalesce(F.last(t, ignorenulls=True).over(inside), F.col(f"{t}_carry"))
-        for t in held
-    }
-    wide = rows.join(carry, "_bucket").withColumns({f"{t}_seen": e for t, e in seen.items()})
+    seen = {t: F.last(t, ignorenulls=True).over(inside) for t in held}
+    if n > BUCKET_ROWS:
+        last = rows.groupBy("_bucket").agg(*[
+            F.max_by(t, F.when(F.col(t).isNotNull(), F.col("_row_id"))).alias(t) for t in held
+        ])
+        rows = rows.join(_carry(last, {t: _LAST for t in held}, n), "_bucket")
+        seen = {t: F.coalesce(e, F.col(f"{t}_carry")) for t, e in seen.items()}
+    wide = rows.withColumns({f"{t}_seen": e for t, e in seen.items()})
 
     def filled(c: str) -> Column:
         s = F.col(f"{target[c]}_seen")

@@ -30,7 +30,7 @@ def test_order_is_required(rows):
 @pytest.mark.parametrize("bucket", [7, 65_536])
 def test_running_totals(rows, monkeypatch, bucket):
     monkeypatch.setattr(order, "BUCKET_ROWS", bucket)
-    got = order.running_totals(order.with_row_id(rows, ["o"]), {"run": "k"}).toPandas().sort_values("_row_id")
+    got = order.running_totals(*order.number_rows(rows, ["o"]), {"run": "k"}).toPandas().sort_values("_row_id")
     assert list(got["run"]) == list(rows.toPandas().sort_values("o")["k"].cumsum())
 
 
