@@ -64,6 +64,18 @@ def _copies(df: DataFrame, key: list[str], data: Sequence[str]) -> DataFrame:
     )
 
 
+def _merge(parts: list[DataFrame], key: list[str]) -> DataFrame:
+    """One row per dataset with the columns of all parts, each of which has it at most once.
+
+    Stacked and grouped instead of joined: one shuffle of small rows, and no join without
+    a condition when there is a single dataset.
+    """
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.groupBy(*key).agg(*[F.max(col(c)).alias(c) for c in out.columns if c not in key])
+
+
 def _finish(frame: DataFrame, key: list[str], names: list[str]) -> DataFrame:
     keep = [] if key == [_ONE] else key
     return frame.select(*[col(k) for k in keep], *names)
@@ -79,7 +91,7 @@ def _base(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
         F.count_if(F.col("distinct") <= 1).alias("constant_cols"),
         F.avg("distinct").alias("mean_distinct"),
     )
-    joined = counts.join(_copies(df, key, data), key)
+    copies = _copies(df, key, data)
     share = F.lit(len(numeric) / len(data))
     zero = lambda e: F.coalesce(e, F.lit(0.0))
     if numeric:
@@ -93,9 +105,9 @@ def _base(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
             zero(F.var_pop(F.abs("skew_adj"))).alias("skewness_variance"),
             zero(F.avg(F.abs("kurt_adj"))).alias("kurtosis"),
         )
-        joined = joined.join(m, key)
+        joined = _merge([counts, copies, m], key)
     else:
-        joined = joined.withColumns({
+        joined = _merge([counts, copies], key).withColumns({
             k: F.lit(0.0) for k in (
                 "norm_variance", "mean_variance", "mean_positive_variance", "skewness",
                 "skewness_pop", "skewness_variance", "kurtosis",
@@ -198,7 +210,7 @@ def features17(df: DataFrame, key: Sequence[str] = (), order_by: Sequence[OrderK
     empty = df.groupBy(*key).agg(
         (F.count_if(all_null(only)) / F.count(F.lit(1))).alias("empty_row_ratio")
     )
-    out = out.join(empty, key)
+    parts = [out, empty]
     zero = lambda e: F.coalesce(e, F.lit(0.0))
     if text:
         lengths = as_pairs(df, text, "string", keep=key).groupBy(*key, "column").agg(
@@ -209,23 +221,23 @@ def features17(df: DataFrame, key: Sequence[str] = (), order_by: Sequence[OrderK
         mixed = mixed_type_columns(df, list(order_by) or [F.lit(0)], text, groups=key).groupBy(*key).agg(
             F.count_if("mixed").cast("double").alias("num_mixed_type_columns")
         )
-        out = out.join(lengths, key, "left").join(mixed, key, "left")
-    else:
-        out = out.withColumns({
-            c: F.lit(0.0) for c in
-            ("avg_string_length_variance", "max_string_length_variance", "num_mixed_type_columns")
-        })
+        parts += [lengths, mixed]
     if numeric:
         shape = _moments(df, key, numeric).groupBy(*key).agg(
             F.avg("skew_pop").alias("avg_skewness"), F.avg("kurt_pop").alias("avg_kurtosis")
         )
-        out = out.join(shape, key, "left")
-    else:
-        out = out.withColumns({c: F.lit(0.0) for c in ("avg_skewness", "avg_kurtosis")})
-    out = out.withColumns({
+        parts.append(shape)
+    out = _merge(parts, key)
+    missing = [c for c in (
+        "avg_string_length_variance", "max_string_length_variance", "num_mixed_type_columns",
+        "avg_skewness", "avg_kurtosis",
+    ) if c not in out.columns]
+    out = out.withColumns({c: F.lit(None).cast("double") for c in missing}).withColumns({
         "num_columns": F.lit(float(len(data))), "num_numeric_columns": F.lit(float(len(numeric))),
         "num_string_columns": F.lit(float(len(text))),
         "num_mixed_type_columns": zero(F.col("num_mixed_type_columns")),
+        "avg_string_length_variance": zero(F.col("avg_string_length_variance")),
+        "max_string_length_variance": zero(F.col("max_string_length_variance")),
         "avg_skewness": zero(F.col("avg_skewness")), "avg_kurtosis": zero(F.col("avg_kurtosis")),
     })
     return _finish(out, key, FEATURES17)

@@ -62,6 +62,14 @@ def quartile_frame(df: DataFrame, quartiles: Quartiles) -> DataFrame:
     )
 
 
+def median_frame(df: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT) -> DataFrame:
+    """(column, median), one row per column."""
+    found = exact_quantiles(df, columns, [0.5], limit)
+    return small_frame(
+        df.sparkSession, [(c, found[c, 0.5]) for c in columns], "column string, median double"
+    )
+
+
 def column_profile(
     df: DataFrame, order_by: Sequence[str] | None = None, limit: int = DIRECT_LIMIT
 ) -> DataFrame:
@@ -131,7 +139,7 @@ def descriptive_stats(
 ) -> DataFrame:
     """Sample deviation and variance, range, median and mode of numeric columns."""
     columns = list(columns or column_classes(df).numeric)
-    bounds = quartile_frame(df, quartile_map(df, columns, limit))
+    bounds = median_frame(df, columns, limit)
     v = F.col("value")
     stats = numeric_pairs(df, columns).join(F.broadcast(bounds), "column").groupBy("column").agg(
         F.count(v).alias("n"),
@@ -148,7 +156,7 @@ def descriptive_stats(
 def viewer_stats(df: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT) -> DataFrame:
     """Population statistics over the leading numbers of any columns; mode is the smallest."""
     parsed = df.select(*[number_prefix(col(c)).alias(c) for c in columns])
-    bounds = quartile_frame(parsed, quartile_map(parsed, columns, limit))
+    bounds = median_frame(parsed, columns, limit)
     v = F.col("value")
     stats = numeric_pairs(parsed, columns).join(F.broadcast(bounds), "column").groupBy("column").agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.first("median").alias("median"),

@@ -224,6 +224,12 @@ def exact_quantiles(
             for i, c in enumerate(columns)
             for j, p in enumerate(probs)
         }
+    # A table of a few hundred megabytes is spread over all cores and kept for the passes;
+    # a larger one is scanned again each time, as its files are already spread.
+    small = rows * len(columns) <= _CACHED_CELLS
+    if small:
+        tasks = df.sparkSession.sparkContext.defaultParallelism
+        df = df.repartition(tasks, *[col(c) for c in columns]).persist()
     counts = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     sizes = {c: counts[f"n{i}"] for i, c in enumerate(columns)}
     wanted = {
@@ -231,11 +237,6 @@ def exact_quantiles(
         for c in columns
         if sizes[c]
     }
-    # A table of a few hundred megabytes is spread over all cores and kept for the passes;
-    # a larger one is scanned again each time, as its files are already spread.
-    small = rows * len(columns) <= _CACHED_CELLS
-    if small:
-        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
     stats = _order_statistics(df, wanted, sizes, inside)
     if small:
         df.unpersist()

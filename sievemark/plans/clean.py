@@ -15,7 +15,7 @@ from sievemark.operators.impute import Fill, apply_fills, fill_log, fill_plan, r
 from sievemark.operators.infer import coerce_numeric
 from sievemark.operators.order import forward_fill
 from sievemark.operators.quantiles import DIRECT_LIMIT
-from sievemark.operators.rows import drop_empty_rows
+from sievemark.operators.rows import all_null, drop_empty_rows
 from sievemark.session import materialize, small_frame
 
 
@@ -42,12 +42,14 @@ class Cleaned:
         return fill_log(self.table, self.fills)
 
 
-def _counts(df: DataFrame) -> tuple[int, dict[str, int]]:
+def _counts(df: DataFrame) -> tuple[int, int, dict[str, int]]:
+    """(rows, rows with any value, values per column) from one scan."""
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
+        F.count_if(~all_null(df)).alias("filled_rows"),
         *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)],
     ).first()
-    return row["rows"], {c: row[f"n{i}"] for i, c in enumerate(df.columns)}
+    return row["rows"], row["filled_rows"], {c: row[f"n{i}"] for i, c in enumerate(df.columns)}
 
 
 def clean_table(
@@ -68,11 +70,11 @@ def clean_table(
         df = rename_snake(df)
     renamed = renamed_count(before_names, df.columns)
 
-    rows_in, present = _counts(df)
+    rows_in, rows_with_value, present = _counts(df)
     kept = drop_empty_rows(df) if profile.drop_empty_rows else df
     empty_columns = [c for c in df.columns if not present[c]] if profile.drop_empty_cols else []
     kept = kept.select(*[col(c) for c in df.columns if c not in empty_columns])
-    rows_full = kept.count() if profile.drop_empty_rows else rows_in
+    rows_full = rows_with_value if profile.drop_empty_rows else rows_in
     if profile.drop_duplicates:
         kept = dedup_rows(kept)
     kept = materialize(kept, "distinct")
@@ -80,18 +82,18 @@ def clean_table(
 
     if profile.auto_detect_dtypes:
         kept = coerce_numeric(kept)
-    _, typed_present = _counts(kept)
     fills: list[Fill] = []
+    filled = 0
     strategy = profile.fill_missing_strategy
     if strategy == "ffill":
+        gaps = _counts(kept)[2]
         kept = forward_fill(kept, kept.columns, order_by or [])
+        filled = sum(_counts(kept)[2].values()) - sum(gaps.values())
     elif strategy in ("mean", "median", "smart"):
         fills = fill_plan(kept, strategy, limit)
         kept = apply_fills(kept, fills)
-    rows_filled, filled_present = _counts(kept)
-    filled = sum(filled_present.values()) - sum(typed_present.values())
-
-    rows_out = rows_filled
+        filled = sum(f.filled for f in fills)
+    rows_out = rows_distinct
     if profile.handle_outliers:
         kept = remove_outliers(
             kept,
@@ -104,7 +106,7 @@ def clean_table(
         spark,
         [(
             rows_in, len(before_names), renamed, rows_in - rows_full, len(empty_columns),
-            rows_full - rows_distinct, filled, rows_filled - rows_out, rows_out, len(kept.columns),
+            rows_full - rows_distinct, filled, rows_distinct - rows_out, rows_out, len(kept.columns),
         )],
         "rows_input bigint, columns_input int, columns_standardized int, empty_rows_removed bigint, "
         "empty_columns_removed int, duplicates_removed bigint, missing_values_filled bigint, "
