@@ -15,7 +15,7 @@ ROW = "__row"
 #: Rows that cross into Python at once; texts keep a batch at some megabytes.
 BATCH = 1024
 
-PerText = Callable[[bytes | None], tuple]
+PerText = Callable[..., tuple]
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
@@ -23,26 +23,32 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def per_text(df: DataFrame, column: str, make: Callable[[], PerText], fields: str, keep: Sequence[str] | None = None) -> DataFrame:
+def per_text(
+    df: DataFrame, column: str, make: Callable[[], PerText], fields: str, keep: Sequence[str] | None = None,
+    also: str | None = None,
+) -> DataFrame:
     """Append ``fields`` computed from one text at a time.
 
     ``make`` runs once per task and returns the function of a text. ``keep`` names the columns
-    that stay (default all); a kept column with the name of a new one is replaced.
+    that stay (default all); a kept column with the name of a new one is replaced. The values of
+    the column ``also`` are passed to the function too.
     """
     added = T.StructType.fromDDL(fields)
     kept = [c for c in (df.columns if keep is None else keep) if c not in added.names]
     schema = T.StructType([df.schema[c] for c in kept] + list(added))
-    needed = df.select(*kept, F.col(column).alias("__text"))
+    name = column if column in kept else "__text"
+    needed = df.select(*kept, *([] if name in kept else [F.col(column).alias(name)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
-        function = make()
+        function, extra = make(), [also] if also else []
         types = [to_arrow_type(f.dataType) for f in added]
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
-                results = [function(t) for t in texts_of(batch, "__text")]
+                texts = texts_of(batch, name)
+                results = [function(*x) for x in zip(texts, *[batch.column(c).to_pylist() for c in extra])]
                 columns = [pa.array([r[i] for r in results], type=t) for i, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in kept] + columns, names=kept + added.names

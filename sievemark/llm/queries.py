@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievemark.llm.decontamination import contamination
+from sievemark.llm.language_id import train, training_sample, with_language
+from sievemark.llm.line_dedup import dedup_lines
 from sievemark.llm.quality_rules import ACCURACY, METRICS, quality_rules
 from sievemark.llm.simhash import near_duplicates
+from sievemark.llm.url_filters import Rule, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +21,23 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    model = train(training_sample(docs.filter("NOT held_out"), "text", "lang", "doc_id"))
+    return with_language(docs, model, keep=["doc_id", "held_out"])
+
+
+URL_RULES = (
+    Rule("allow", "com/"), Rule("block", "example.com/en/"), Rule("allow", "www.example.com/en/"),
+    Rule("block", "net/es/"), Rule("block", "net/fr/"),
+)
+
+
+def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter(_table(spark, folder, "pages"), _table(spark, folder, "labels"), URL_RULES)
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -28,13 +49,20 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Run] = {
+    "op1_language_id": op1_language_id,
+    "op3_url_filters": op3_url_filters,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
     "op10_simhash": op10_simhash,
 }
 
