@@ -12,6 +12,8 @@ from sievemark.llm.language_id import train, training_sample, with_language
 from sievemark.llm.line_dedup import dedup_lines
 from sievemark.llm.quality_rules import ACCURACY, METRICS, quality_rules
 from sievemark.llm.simhash import near_duplicates
+from sievemark.llm.substring_dedup import dedup_substrings
+from sievemark.llm.token_counts import token_lengths
 from sievemark.llm.url_filters import Rule, url_filter
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +30,13 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return with_language(docs, model, keep=["doc_id", "held_out"])
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return token_lengths(_table(spark, folder, "documents"), str(path), public_tokenizers.PATTERN, ["lang"])
+
+
 URL_RULES = (
     Rule("allow", "com/"), Rule("block", "example.com/en/"), Rule("allow", "www.example.com/en/"),
     Rule("block", "net/es/"), Rule("block", "net/fr/"),
@@ -53,16 +62,22 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_substrings(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Run] = {
     "op1_language_id": op1_language_id,
+    "op2_token_counts": op2_token_counts,
     "op3_url_filters": op3_url_filters,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_simhash": op10_simhash,
 }
 
