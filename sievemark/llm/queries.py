@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sievemark.llm.decontamination import contamination
 from sievemark.llm.language_id import train, training_sample, with_language
 from sievemark.llm.line_dedup import dedup_lines
+from sievemark.llm.pii import replace_pii
 from sievemark.llm.quality_rules import ACCURACY, METRICS, quality_rules
 from sievemark.llm.simhash import near_duplicates
 from sievemark.llm.substring_dedup import dedup_substrings
@@ -66,6 +67,10 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_substrings(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return replace_pii(_table(spark, folder, "documents").select("doc_id", "text"), key="change-me")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Run] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
 }
 
