@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sievemark.llm.decontamination import contamination
 from sievemark.llm.language_id import train, training_sample, with_language
 from sievemark.llm.line_dedup import dedup_lines
+from sievemark.llm.mixing import labelled_sample, mix, train_domains
 from sievemark.llm.pii import replace_pii
 from sievemark.llm.quality_rules import ACCURACY, METRICS, quality_rules
 from sievemark.llm.simhash import near_duplicates
@@ -63,6 +64,15 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+MIX_TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = train_domains(labelled_sample(docs, _table(spark, folder, "labels"), "text", "doc_id", "doc_id", 3000))
+    return mix(docs, model, MIX_TARGETS).drop("text")
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_substrings(_table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -82,6 +92,7 @@ QUERIES: dict[str, Run] = {
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op7_mixing": op7_mixing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
