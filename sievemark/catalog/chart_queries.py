@@ -31,7 +31,7 @@ def hist_bins_20(spark, d):
 _SERIES = View("events", ("event_id", "ts", "CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value"))
 
 
-@query("line_rowindex", with_t(_SERIES, """, z AS (SELECT value, row_number() OVER (ORDER BY ts, event_id) - 1 AS i, CAST(ceil(count(*) OVER () / 1000.0) AS BIGINT) AS run FROM t WHERE value IS NOT NULL)
+@query("line_rowindex", with_t(_SERIES, """, z AS (SELECT value, row_number() OVER (ORDER BY ts, event_id) - 1 AS i, 1 AS run FROM t WHERE value IS NOT NULL)
 SELECT i // run AS point, min(i) AS first_index, round(avg(value), 6) AS mean, count(*) AS count FROM z GROUP BY 1""").replace(") ,", "),", 1))
 def line_rowindex(spark, d):
     return charts.line_rowindex(_SERIES.df(spark, d), "value", ["ts", "event_id"]).withColumn("mean", F.round("mean", 6))
@@ -65,9 +65,17 @@ def box_stats(spark, d):
     return _box(charts.box_stats(table(spark, d, "events"), _EVENT_NUMBERS))
 
 
+_FLAGGED = f"({' OR '.join(_outside(c) for c in ('event_id', 'user_id', 'value'))}) AS _is_outlier"
+
+
 @query("scatter_points", with_fences("SELECT * FROM events", ["event_id", "user_id", "value"],
-    f"SELECT ({' OR '.join(_outside(c) for c in ('event_id', 'user_id', 'value'))}) AS _is_outlier, count(*) AS n FROM t GROUP BY 1"))
+    f"SELECT CAST(user_id AS DOUBLE) AS x, CAST(value AS DOUBLE) AS y, {_FLAGGED} FROM t"))
 def scatter_points(spark, d):
+    return charts.scatter_points(table(spark, d, "events"), "user_id", "value")
+
+
+@query("scatter_summary", with_fences("SELECT * FROM events", ["event_id", "user_id", "value"], f"SELECT {_FLAGGED}, count(*) AS n FROM t GROUP BY 1"))
+def scatter_summary(spark, d):
     return charts.scatter_summary(table(spark, d, "events"), "user_id", "value")
 
 
@@ -90,7 +98,8 @@ _SELECTED = with_t(_PICK, """SELECT * FROM (VALUES
  ('hist_o_orderkey', 'histogram', 'o_orderkey'), ('hist_o_custkey', 'histogram', 'o_custkey'), ('hist_o_totalprice', 'histogram', 'o_totalprice'),
  ('hist_linked', 'histogram', 'linked'), ('line_o_orderkey', 'line', 'o_orderkey'), ('scatter_o_totalprice_linked', 'scatter', 'o_totalprice,linked'),
  ('correlation_heatmap', 'heatmap', 'o_orderkey,o_custkey,o_totalprice,linked'), ('boxplot_numeric', 'box', 'o_orderkey,o_custkey,o_totalprice,linked'),
- ('ts_o_orderdate_o_orderkey', 'line', 'o_orderdate,o_orderkey'), ('ts_o_orderdate_o_custkey', 'line', 'o_orderdate,o_custkey')) AS v(chart_id, chart_type, columns_used)
+ ('ts_o_orderdate_o_orderkey', 'line', 'o_orderdate,o_orderkey'), ('ts_o_orderdate_o_custkey', 'line', 'o_orderdate,o_custkey'),
+ ('ts_o_orderdate_o_totalprice', 'line', 'o_orderdate,o_totalprice'), ('ts_o_orderdate_linked', 'line', 'o_orderdate,linked')) AS v(chart_id, chart_type, columns_used)
 UNION ALL SELECT CASE WHEN n <= 8 THEN 'pie_' ELSE 'bar_' END || c, CASE WHEN n <= 8 THEN 'pie' ELSE 'bar' END, c FROM (
   SELECT 'o_orderstatus' AS c, count(DISTINCT o_orderstatus) AS n FROM t UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority) FROM t
   UNION ALL SELECT 'year_text', count(DISTINCT year_text) FROM t) AS z WHERE n BETWEEN 1 AND 30

@@ -139,7 +139,7 @@ def reject_ext(spark, d):
     return discovery.reject_ext(_CAND.df(spark, d)).select("seq", "url")
 
 
-@query("session_totals", with_t(_CAND, "SELECT count(*) FILTER (WHERE file_format <> 'unknown') AS saved, CAST(sum(estimated_rows) FILTER (WHERE file_format <> 'unknown') AS BIGINT) AS rows, count(*) FILTER (WHERE file_format = 'unknown') AS errors FROM (SELECT * FROM t ORDER BY seq LIMIT 300) AS z"))
+@query("session_totals", with_t(_CAND, "SELECT count(*) FILTER (WHERE file_format <> 'unknown') AS saved, CAST(sum(estimated_rows) FILTER (WHERE file_format <> 'unknown') AS BIGINT) AS rows, count(*) FILTER (WHERE file_format = 'unknown') AS errors FROM t"))
 def session_totals(spark, d):
     got = _CAND.df(spark, d).select("seq", F.col("estimated_rows").alias("rows"), F.when(F.col("file_format") != "unknown", "ok").otherwise("failed").alias("status"))
     return discovery.session_totals(got)

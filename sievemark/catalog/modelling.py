@@ -85,8 +85,7 @@ def features17_sql(source: str, key: str = "dataset") -> str:
 p AS ({each(_O_NUM, f'''SELECT {key}, CASE WHEN avg(d * d) > 0 THEN avg(d * d * d) / power(avg(d * d), 1.5) END AS sp, CASE WHEN avg(d * d) > 0 THEN avg(d * d * d * d) / power(avg(d * d), 2) - 3 END AS kp
   FROM (SELECT {key}, {{c}} - avg({{c}}) OVER (PARTITION BY {key}) AS d FROM t) AS z GROUP BY 1''')}),
 l AS ({each(_O_TEXT, f'''SELECT {key}, coalesce(var_samp(length({{c}})), 0) AS lv FROM t GROUP BY 1''')}),
-x AS ({each(_O_TEXT, f'''SELECT {key}, count(*) AS present, count(*) FILTER (WHERE regexp_full_match(trim({{c}}), '{_NUMBER}')) AS parsed FROM (
-  SELECT {key}, {{c}}, row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) AS k FROM t WHERE {{c}} IS NOT NULL) AS s WHERE k <= 500 GROUP BY 1''')}),
+x AS ({each(_O_TEXT, f'''SELECT {key}, count(*) AS present, count(*) FILTER (WHERE regexp_full_match(trim({{c}}), '{_NUMBER}')) AS parsed FROM t WHERE {{c}} IS NOT NULL GROUP BY 1''')}),
 cc AS (SELECT {key}, CAST(max(n) AS DOUBLE) AS num_rows, avg(nr) AS null_ratio_mean, max(nr) AS null_ratio_max, stddev_pop(nr) AS null_ratio_std, CAST(count(*) FILTER (WHERE nr > 0.5) AS DOUBLE) AS num_high_null_columns,
   avg(uniq / CAST(n AS DOUBLE)) AS avg_unique_ratio, min(uniq / CAST(n AS DOUBLE)) AS min_unique_ratio, CAST(count(*) FILTER (WHERE uniq <= 1) AS DOUBLE) AS num_constant_columns FROM c GROUP BY 1),
 pp AS (SELECT {key}, coalesce(avg(sp), 0) AS avg_skewness, coalesce(avg(kp), 0) AS avg_kurtosis FROM p GROUP BY 1),
@@ -99,27 +98,27 @@ FROM cc JOIN pp USING ({key}) JOIN ll USING ({key}) JOIN xx USING ({key})"""
 
 @query("features17", features17_sql(_OFF.sql()))
 def features17(spark, d):
-    return _round(features.features17(_OFF.df(spark, d), ["dataset"], ["ts", "event_id"]))
+    return _round(features.features17(_OFF.df(spark, d), ["dataset"]))
 
 
 _BATCHED = """SELECT batch_no, count(*) AS rows, min(l_orderkey) AS first_order, max(l_orderkey) AS last_order FROM (
   SELECT l_orderkey, (row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_extendedprice, l_discount, l_tax, l_partkey) - 1) // 10000 + 1 AS batch_no FROM lineitem) AS z
-GROUP BY 1 HAVING count(*) >= 10"""
+GROUP BY 1"""
 
 
 @query("src_batches", _BATCHED)
 def src_batches(spark, d):
     order = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_partkey"]
-    batches = features.with_batches(table(spark, d, "lineitem").select(*order), order, size=10_000, most=None)
+    batches = features.with_batches(table(spark, d, "lineitem").select(*order), order, size=10_000)
     return batches.groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("rows"), F.min("l_orderkey").alias("first_order"), F.max("l_orderkey").alias("last_order"))
 
 
 @query("src_batches_by_file", """SELECT event_type, batch_no, count(*) AS rows, min(event_id) AS first_event FROM (SELECT event_type, event_id,
-  (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) // 700 + 1 AS batch_no FROM events) AS z GROUP BY 1, 2 HAVING count(*) >= 10""")
+  (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) // 700 + 1 AS batch_no FROM events) AS z GROUP BY 1, 2""")
 def src_batches_by_file(spark, d):
     events = table(spark, d, "events").select("event_type", "event_id", "ts")
-    return features.with_batches(events, ["ts", "event_id"], "event_type", 700, most=None).groupBy("event_type", "batch_no").agg(
+    return features.with_batches(events, ["ts", "event_id"], "event_type", 700).groupBy("event_type", "batch_no").agg(
         F.count(F.lit(1)).alias("rows"), F.min("event_id").alias("first_event"))
 
 
@@ -199,7 +198,39 @@ def split_stratified(spark, d):
     return splits.split_stratified(_labels(spark, d), "quality", ["doc_id"], algorithm="md5").select("doc_id", "split")
 
 
-@query("kfold_stratified", f"""SELECT doc_id, CAST((row_number() OVER (PARTITION BY quality ORDER BY {sql_u('folds', 'doc_id')}, doc_id) - 1) % 5 AS INT) AS fold FROM labels""")
+_FOLD = " + ".join(f"CASE WHEN p >= n * {j} // 5 THEN 1 ELSE 0 END" for j in range(1, 5))
+_GAPS = View("labels", ("doc_id", "CASE WHEN doc_id % 4 = 0 THEN NULL ELSE quality END AS quality"))
+
+
+@query("split_stratified_nulls", with_t(_GAPS, f"""SELECT doc_id, CASE WHEN k <= round_even(n * 0.25, 0) THEN 'test' ELSE 'train' END AS split FROM (SELECT doc_id,
+  row_number() OVER (PARTITION BY quality ORDER BY {sql_u('strata', 'doc_id')}, doc_id) AS k, count(*) OVER (PARTITION BY quality) AS n FROM t) AS z"""))
+def split_stratified_nulls(spark, d):
+    return splits.split_stratified(_GAPS.df(spark, d), "quality", ["doc_id"], algorithm="md5").select("doc_id", "split")
+
+
+@query("kfold_nulls", with_t(_GAPS, f"""SELECT doc_id, CAST({_FOLD} AS INT) AS fold FROM (
+  SELECT doc_id, row_number() OVER (PARTITION BY quality ORDER BY {sql_u('folds', 'doc_id')}, doc_id) - 1 AS p, count(*) OVER (PARTITION BY quality) AS n FROM t) AS z"""))
+def kfold_nulls(spark, d):
+    return splits.kfold_stratified(_GAPS.df(spark, d), "quality", ["doc_id"], algorithm="md5").select("doc_id", "fold")
+
+
+@query("class_weight_nulls", with_t(_GAPS, "SELECT quality, round((SELECT count(*) FROM t) / (2.0 * count(*)), 6) AS weight, count(*) AS n FROM t GROUP BY 1"))
+def class_weight_nulls(spark, d):
+    return model.with_class_weight(_GAPS.df(spark, d), "quality").groupBy("quality").agg(F.round(F.max("weight"), 6).alias("weight"), F.count(F.lit(1)).alias("n"))
+
+
+_FILES = View("events", ("CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS file", "event_id", "ts"))
+
+
+@query("src_batches_null_file", with_t(_FILES, """SELECT file, batch_no, count(*) AS rows, min(event_id) AS first_event FROM (SELECT file, event_id,
+  (row_number() OVER (PARTITION BY file ORDER BY ts, event_id) - 1) // 700 + 1 AS batch_no FROM t) AS z GROUP BY 1, 2"""))
+def src_batches_null_file(spark, d):
+    return features.with_batches(_FILES.df(spark, d), ["ts", "event_id"], "file", 700).groupBy("file", "batch_no").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("event_id").alias("first_event"))
+
+
+@query("kfold_stratified", f"""SELECT doc_id, CAST({_FOLD} AS INT) AS fold FROM (
+  SELECT doc_id, row_number() OVER (PARTITION BY quality ORDER BY {sql_u('folds', 'doc_id')}, doc_id) - 1 AS p, count(*) OVER (PARTITION BY quality) AS n FROM labels) AS z""")
 def kfold_stratified(spark, d):
     return splits.kfold_stratified(_labels(spark, d), "quality", ["doc_id"], algorithm="md5").select("doc_id", "fold")
 

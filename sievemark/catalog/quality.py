@@ -234,7 +234,8 @@ _OUT3 = ["value", "user_id", "event_id"]
 p AS (SELECT *, (o0 + o1 + o2) * 100.0 / (3 * n) AS pct FROM z)
 SELECT 'outliers_evaluation' AS check_id, 'outliers' AS category, pct < 5 AS passed,
   CASE WHEN pct < 3 THEN 'info' WHEN pct < 7 THEN 'warning' ELSE 'error' END AS severity,
-  printf('%d outliers detected (%.1f%% of %d values)', o0 + o1 + o2, pct, 3 * n) || CASE WHEN o0 > 0 THEN printf(' - value: %d (%.1f%%)', o0, o0 * 100.0 / n) ELSE '' END AS detail FROM p""").replace(") ,", "),"))
+  'pooled=' || (o0 + o1 + o2) || '/' || (3 * n) || CASE WHEN o0 > 0 THEN ' value=' || o0 || '/' || n ELSE '' END
+  || CASE WHEN o1 > 0 THEN ' user_id=' || o1 || '/' || n ELSE '' END || CASE WHEN o2 > 0 THEN ' event_id=' || o2 || '/' || n ELSE '' END AS detail FROM p""").replace(") ,", "),"))
 def outlier_check(spark, d):
     return checks.checks_outliers(table(spark, d, "events").select(*_OUT3))
 
@@ -292,11 +293,25 @@ def issues_by_category(spark, d):
     return checks.issues_by_category(_sanity(spark, d))
 
 
-@query("key_insights")
+_SAID = View("events", ("event_id", "ts", "value", "value * 2 + user_id / 1000.0 AS linked",
+                        "CASE WHEN value < 40 THEN NULL ELSE user_id END AS sparse", "event_type"))
+_SAID_NUMBERS = ["event_id", "value", "linked", "sparse"]
+_SAID_SQL = with_fences(_SAID.sql(), _SAID_NUMBERS, """, p AS (""" + each(_SAID_NUMBERS, """SELECT '{c}' AS c, avg({c}) AS m, stddev_samp({c}) AS s, CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS md,
+  count(*) AS n, count(*) - count({c}) AS gone FROM t""") + """)
+SELECT 'missing' AS kind, c AS "column", NULL AS other, round(gone * 100.0 / n, 2) AS value FROM p WHERE gone * 100.0 / n > 20
+UNION ALL SELECT 'skew', c, NULL, round((m - md) / s, 4) FROM p WHERE s > 0 AND abs((m - md) / s) > 0.5
+UNION ALL SELECT 'correlation', a, b, round(r, 4) FROM (""" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM t" for i, a in enumerate(_SAID_NUMBERS) for b in _SAID_NUMBERS[i + 1:]) + """) AS r WHERE abs(r) >= 0.7
+UNION ALL SELECT * FROM (""" + each(_SAID_NUMBERS, "SELECT 'outliers' AS kind, '{c}' AS c, NULL AS other, CAST(count(*) AS DOUBLE) AS value FROM t WHERE "
+    "{c} < (SELECT lower_fence FROM f WHERE \"column\" = '{c}') OR {c} > (SELECT upper_fence FROM f WHERE \"column\" = '{c}')") + """) AS o WHERE value > 0
+UNION ALL SELECT 'dominance', 'event_type', event_type, round(n * 100.0 / total, 1) FROM (SELECT event_type, count(*) AS n, sum(count(*)) OVER () AS total FROM t GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1) AS e
+  WHERE n * 100.0 / total > 20""")
+
+
+@query("key_insights", _SAID_SQL)
 def key_insights_q(spark, d):
-    """Sentences; their numbers come from tables that have SQL equivalents of their own."""
-    events = table(spark, d, "events").selectExpr("event_id", "ts", "value", "value * 2 + user_id / 1000 AS linked",
-                                                  "CASE WHEN value < 40 THEN NULL ELSE user_id END AS sparse", "event_type")
-    order = ["ts", "event_id"]
-    small = [materialize(f) for f in (column_profile(events, order), correlation_pairs(events), iqr_anomalies(events, order))]
-    return key_insights(*small, dominant_categories(events, ["event_type"], share=20.0))
+    """The trend has a query of its own, so the profile goes without."""
+    events = _SAID.df(spark, d)
+    small = [materialize(f) for f in (column_profile(events), correlation_pairs(events), iqr_anomalies(events))]
+    found = key_insights(*small, dominant_categories(events, ["event_type"], share=20.0, imbalance=1e9))
+    return found.withColumn("value", F.round("value", 4))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sievemark.catalog.base import ORACLES
 from sievemark.catalog.base import (
     GAPPY, GAPPY_NUMBERS, GAPPY_TEXT, LINE_NUMBERS, View, each, query, stacked, table, with_t,
 )
@@ -177,6 +178,22 @@ def corr_matrix(spark, d):
     return correlation.correlation_pairs(_CORR_VIEW.df(spark, d), _CORR_NAMES)
 
 
+def _with_nan(df):
+    """The same table with NaN where numbers are missing."""
+    doubles = [c for c, t in df.dtypes if t == "double"]
+    return df.fillna(float("nan"), doubles)
+
+
+@query("corr_matrix_nan", ORACLES["corr_matrix"])
+def corr_matrix_nan(spark, d):
+    return correlation.correlation_pairs(_with_nan(_CORR_VIEW.df(spark, d)), _CORR_NAMES)
+
+
+@query("col_profile_nan", ORACLES["col_profile_gaps"])
+def col_profile_nan(spark, d):
+    return profile.column_profile(_with_nan(GAPPY.df(spark, d)))
+
+
 @query("corr_matrix_full", with_t("SELECT * FROM lineitem", f"{_RATED} FROM ({_corr_sql('t', LINE_NUMBERS)}) AS p"))
 def corr_matrix_full(spark, d):
     return correlation.correlation_pairs(table(spark, d, "lineitem"))
@@ -263,14 +280,12 @@ def iqr_fences(spark, d):
 
 
 @query("iqr_anomalies", with_fences("SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM events", _EVENT_NUMBERS, """
-SELECT f."column", array_to_string(list(z.pos ORDER BY z.pos) FILTER (WHERE z.k <= 100), ',') AS row_indices, round_even(any_value(f.lower_fence), 6) AS lower_fence,
-  round_even(any_value(f.upper_fence), 6) AS upper_fence, count(*) AS outlier_count
-FROM f JOIN (SELECT "column", pos, row_number() OVER (PARTITION BY "column" ORDER BY pos) AS k FROM (""" + each(
-    _EVENT_NUMBERS, "SELECT '{c}' AS \"column\", pos, CAST({c} AS DOUBLE) AS v FROM t") + """) AS u
-JOIN f USING ("column") WHERE v < lower_fence OR v > upper_fence) AS z ON f."column" = z."column" GROUP BY f."column\""""))
+SELECT f."column", pos AS row_index, v AS value, round_even(lower_fence, 6) AS lower_fence, round_even(upper_fence, 6) AS upper_fence,
+  count(*) OVER (PARTITION BY f."column") AS outlier_count FROM (""" + each(
+    _EVENT_NUMBERS, "SELECT '{c}' AS \"column\", pos, CAST({c} AS DOUBLE) AS v FROM t") + """) AS u JOIN f ON u."column" = f."column" WHERE v < lower_fence OR v > upper_fence"""))
 def iqr_anomalies(spark, d):
-    return outliers.iqr_anomalies(table(spark, d, "events"), ["ts", "event_id"]).withColumn(
-        "row_indices", F.array_join(F.col("row_indices").cast("array<string>"), ","))
+    events = table(spark, d, "events")
+    return outliers.anomaly_rows(events, ["ts", "event_id"]).join(F.broadcast(outliers.iqr_anomalies(events)), "column")
 
 
 @query("flag_outliers", with_fences("SELECT * FROM events", _EVENT_NUMBERS,

@@ -41,14 +41,6 @@ def kurt_adjusted(c: Column) -> Column:
     )
 
 
-def safe_corr(a: Column, b: Column) -> Column:
-    """Pearson r over rows where both are present; null if either is constant there."""
-    a, b = dbl(a), dbl(b)
-    sd_a = F.stddev_pop(F.when(b.isNotNull(), a))
-    sd_b = F.stddev_pop(F.when(a.isNotNull(), b))
-    return F.try_divide(F.covar_pop(a, b), sd_a * sd_b)
-
-
 def coef_variation(c: Column) -> Column:
     """|std / mean| up to 100, null where the mean is almost zero."""
     mean = F.avg(dbl(c))
@@ -56,23 +48,3 @@ def coef_variation(c: Column) -> Column:
         F.abs(mean) > 1e-10,
         F.least(F.abs(F.try_divide(F.stddev_samp(dbl(c)), mean)), F.lit(100.0)),
     )
-
-
-def mean_of(values: list[Column]) -> Column:
-    """Mean of the non-null members of a short list of scalars, null if there is none."""
-    if not values:
-        return F.lit(None).cast("double")
-    kept = F.array_compact(F.array(*values))
-    total = F.aggregate(kept, F.lit(0.0), lambda acc, v: acc + v)
-    return F.try_divide(total, dbl(F.size(kept)))
-
-
-def pvar_of(values: list[Column]) -> Column:
-    """Population variance of the non-null members, 0 when there are fewer than two."""
-    if not values:
-        return F.lit(0.0)
-    kept = F.array_compact(F.array(*values))
-    n = dbl(F.size(kept))
-    mean = F.try_divide(F.aggregate(kept, F.lit(0.0), lambda acc, v: acc + v), n)
-    squares = F.aggregate(kept, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
-    return F.when(F.size(kept) > 1, F.try_divide(squares, n)).otherwise(F.lit(0.0))

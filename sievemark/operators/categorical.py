@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col, column_classes
 from sievemark.operators.reshape import as_pairs, families
+from sievemark.session import small_frame
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str], to: str = "string") -> DataFrame:
@@ -207,6 +208,8 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 (-F.col("best.neg")).alias("count"),
             )
         )
+    if not parts:
+        return small_frame(df.sparkSession, [], "column string, mode string, count bigint")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -73,18 +73,16 @@ def counts_top20(df: DataFrame, column: str) -> DataFrame:
 
 
 def line_rowindex(
-    df: DataFrame, column: str, order_by: Sequence[str], points: int = 1000
+    df: DataFrame, column: str, order_by: Sequence[str], run: int = 1
 ) -> DataFrame:
     """(point, first_index, mean, count): non-null values over their own row index.
 
-    Up to ``points`` rows come out as they are; longer series are averaged in equal runs.
+    Every value is a point; ``run`` averages that many neighbours instead.
     """
     kept = df.filter(col(column).isNotNull()).select(
         *[col(k).alias(f"_k{i}") for i, k in enumerate(order_by)], col(column).cast("double").alias("y")
     )
     numbered = with_row_id(kept, [f"_k{i}" for i in range(len(order_by))])
-    n = numbered.count()
-    run = max(1, math.ceil(n / points))
     index = F.col("_row_id") - 1
     return numbered.groupBy(F.floor(index / F.lit(run)).alias("point")).agg(
         F.min(index).alias("first_index"), F.avg("y").alias("mean"), F.count("y").alias("count")
@@ -113,13 +111,13 @@ def box_stats(df: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT)
 
 
 def scatter_points(
-    df: DataFrame, x: str, y: str, points: int = 5000, seed: int = 42, limit: int = DIRECT_LIMIT
+    df: DataFrame, x: str, y: str, points: int | None = None, seed: int = 42, limit: int = DIRECT_LIMIT
 ) -> DataFrame:
-    """(x, y, _is_outlier): a bounded, seeded sample of the points for drawing."""
+    """(x, y, _is_outlier): all points, or a seeded sample of so many for drawing."""
     flagged = flag_outliers(df, limit=limit).select(
         col(x).cast("double").alias("x"), col(y).cast("double").alias("y"), FLAG
     ).na.drop(subset=["x", "y"])
-    return flagged.orderBy(F.xxhash64("x", "y", F.lit(seed)), "x", "y").limit(points)
+    return flagged.orderBy(F.xxhash64("x", "y", F.lit(seed)), "x", "y").limit(points) if points else flagged
 
 
 def scatter_summary(df: DataFrame, x: str, y: str, limit: int = DIRECT_LIMIT) -> DataFrame:
@@ -129,20 +127,20 @@ def scatter_summary(df: DataFrame, x: str, y: str, limit: int = DIRECT_LIMIT) ->
 
 @dataclass(frozen=True)
 class ChartLimits:
-    """How many charts of each kind are worth drawing."""
+    """What is worth drawing; a number of charts is unlimited unless the caller sets it."""
 
-    histograms: int = 6
-    trends: int = 3
-    scatters: int = 4
+    histograms: int | None = None
+    trends: int | None = None
+    scatters: int | None = None
     scatter_r: float = 0.4
-    boxes: int = 8
-    categories: int = 6
+    boxes: int | None = None
+    categories: int | None = None
     pie_max: int = 8
     bar_max: int = 30
-    grouped: int = 3
+    grouped: int | None = None
     grouped_range: tuple[int, int] = (2, 15)
-    time_columns: int = 2
-    time_numbers: int = 2
+    time_columns: int | None = None
+    time_numbers: int | None = None
 
 
 def chart_select(
@@ -173,14 +171,15 @@ def chart_select(
             F.format_string(title, *used).alias("title"), F.concat_ws(",", *used).alias("columns_used"),
         )
 
+    first = lambda frame, n: frame if n is None else frame.limit(n)
     out = charts(place(numeric[: limits.histograms]), "hist", "histogram", "Distribution of %s", "column")
     trending = profile.filter(F.col("trend").isin("increasing", "decreasing")).join(place(numeric), "column")
     out = out.unionByName(charts(
-        trending.orderBy("position").limit(limits.trends), "line", "line", "Trend of %s", "column"
+        first(trending.orderBy("position"), limits.trends), "line", "line", "Trend of %s", "column"
     ))
-    paired = correlations.filter(F.abs("pearson_r") >= limits.scatter_r).orderBy(
+    paired = first(correlations.filter(F.abs("pearson_r") >= limits.scatter_r).orderBy(
         F.desc(F.abs("pearson_r")), "col_a", "col_b"
-    ).limit(limits.scatters)
+    ), limits.scatters)
     out = out.unionByName(charts(paired, "scatter", "scatter", "%s against %s", "col_a", "col_b"))
     fixed = []
     if len(numeric) >= 2:
@@ -193,7 +192,7 @@ def chart_select(
             fixed.append((f"ts_{ts}_{n}", "line", f"{n} over {ts}", f"{ts},{n}"))
     out = out.unionByName(small_frame(spark, fixed, schema))
     counted = place(cats).join(distinct, "column")
-    early = counted.filter(F.col("position") < limits.categories)
+    early = counted if limits.categories is None else counted.filter(F.col("position") < limits.categories)
     n = F.col("n_distinct")
     out = out.unionByName(charts(
         early.filter((n > 0) & (n <= limits.pie_max)), "pie", "pie", "Share of %s", "column"
@@ -201,7 +200,7 @@ def chart_select(
         early.filter((n > limits.pie_max) & (n <= limits.bar_max)), "bar", "bar", "Top values of %s", "column"
     ))
     if numeric:
-        ranged = counted.filter(n.between(*limits.grouped_range)).orderBy("position").limit(limits.grouped)
+        ranged = first(counted.filter(n.between(*limits.grouped_range)).orderBy("position"), limits.grouped)
         out = out.unionByName(charts(
             ranged, "grouped", "bar", "By %s: mean of %s", "column", F.lit(numeric[0])
         ))

@@ -129,10 +129,9 @@ def checks_consistency(df: DataFrame, reported: DataFrame) -> DataFrame:
     return tested.unionByName(missing)
 
 
-def checks_correlation_sign(actual: DataFrame, reported: DataFrame, k: int = 10) -> DataFrame:
-    """The k strongest reported pairs keep their sign when recomputed."""
-    strongest = reported.orderBy(F.desc(F.abs("pearson_r")), "col_a", "col_b").limit(k)
-    both = strongest.select("col_a", "col_b", F.col("pearson_r").alias("rep")).join(
+def checks_correlation_sign(actual: DataFrame, reported: DataFrame) -> DataFrame:
+    """Reported pairs keep their sign when recomputed."""
+    both = reported.select("col_a", "col_b", F.col("pearson_r").alias("rep")).join(
         actual.select("col_a", "col_b", F.col("pearson_r").alias("act")), ["col_a", "col_b"]
     )
     ok = (F.col("act") >= 0) == (F.col("rep") >= 0)
@@ -159,11 +158,10 @@ def checks_charts(chart_rows: DataFrame) -> DataFrame:
 
 
 def checks_outliers(df: DataFrame, limit: int = DIRECT_LIMIT) -> DataFrame:
-    """Pooled outlier share under 5 %, with the first three affected columns."""
+    """Pooled outlier share under 5 %; the detail lists every affected column."""
     per_column = outlier_counts(df, limit=limit)
     hit = F.when(F.col("outliers") > 0, F.struct(
-        "position",
-        F.format_string("%s: %d (%.1f%%)", "column", "outliers", F.col("outliers") * 100.0 / F.col("n")).alias("t"),
+        "position", F.format_string("%s=%d/%d", "column", "outliers", "n").alias("t"),
     ))
     pooled = per_column.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
@@ -171,18 +169,14 @@ def checks_outliers(df: DataFrame, limit: int = DIRECT_LIMIT) -> DataFrame:
         F.sort_array(F.collect_list(hit)).alias("hits"),  # at most one entry per column
     )
     pct = F.try_divide(F.col("out") * 100.0, F.col("n"))
-    detail = F.concat(
-        F.format_string("%d outliers detected (%.1f%% of %d values)", "out", pct, "n"),
-        F.when(F.size("hits") > 0, F.concat(
-            F.lit(" - "),
-            F.array_join(F.transform(F.slice("hits", 1, 3), lambda h: h["t"]), "; "),
-        )).otherwise(""),
-    )
+    detail = F.array_join(F.concat(
+        F.array(F.format_string("pooled=%d/%d", "out", "n")), F.transform("hits", lambda h: h["t"])
+    ), " ")
     return pooled.select(
         F.lit("outliers_evaluation").alias("check_id"), F.lit("outliers").alias("category"),
         F.coalesce(pct < 5.0, F.lit(True)).alias("passed"),
         F.when(pct.isNull() | (pct < 3.0), "info").when(pct < 7.0, "warning").otherwise("error").alias("severity"),
-        F.coalesce(detail, F.lit("no numeric values")).alias("detail"),
+        F.when(F.col("n") > 0, detail).otherwise("pooled=0/0").alias("detail"),
     )
 
 
@@ -193,9 +187,8 @@ def check_ml(scored: DataFrame) -> DataFrame:
         F.lit("ml_quality_assessment").alias("check_id"), F.lit("ml_assessment").alias("category"),
         (good & (F.col("score") > 70)).alias("passed"),
         F.when(good & (F.col("score") > 75), "info").otherwise("warning").alias("severity"),
-        F.format_string(
-            "ML Prediction: %s (confidence: %.1f%%), P(GOOD)=%.2f%%, P(BAD)=%.2f%%", "quality", "score",
-            F.col("probability_good") * 100, F.col("probability_bad") * 100).alias("detail"),
+        F.format_string("verdict=%s score=%.1f good=%.4f bad=%.4f", "quality", "score",
+                        "probability_good", "probability_bad").alias("detail"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sievemark.functions.columns import col, column_classes
 from sievemark.functions.stats import stable_round
 from sievemark.operators.order import number_rows, running_totals, with_row_id
-from sievemark.operators.reshape import as_pairs, one_row_to_long
+from sievemark.operators.reshape import as_pairs, number, one_row_to_long
 from sievemark.session import small_frame
 
 # Strength bands of |r|.
@@ -39,13 +39,13 @@ def _pair_frame(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     names = list(dict.fromkeys(c for p in pairs for c in p))
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(names)],
-        *[F.avg(col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(names)],
+        *[F.count(number(df, c)).alias(f"n{i}") for i, c in enumerate(names)],
+        *[F.avg(number(df, c)).alias(f"m{i}") for i, c in enumerate(names)],
     ).first()
     rows = row["rows"]
     gaps = {c: row[f"n{i}"] < rows for i, c in enumerate(names)}
     dev = {
-        c: col(c).cast("double") - F.lit(row[f"m{i}"] if row[f"m{i}"] is not None else 0.0)
+        c: number(df, c) - F.lit(row[f"m{i}"] if row[f"m{i}"] is not None else 0.0)
         for i, c in enumerate(names)
     }
     own = lambda c: F.sum(dev[c] * dev[c])
@@ -89,9 +89,9 @@ def _pair_frame(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def correlation_pairs(
-    df: DataFrame, columns: Sequence[str] | None = None, k: int | None = 50
+    df: DataFrame, columns: Sequence[str] | None = None, k: int | None = None
 ) -> DataFrame:
-    """Pearson r of every numeric pair, strongest first; undefined pairs are left out."""
+    """Pearson r of every numeric pair (or the ``k`` strongest), strongest first; undefined pairs are left out."""
     columns = list(columns or column_classes(df).numeric)
     pairs = list(combinations(columns, 2))
     if not pairs:

@@ -16,7 +16,6 @@ DIRECT_ENDINGS, DIRECT_POINTS = (".csv", ".csv.gz", ".zip"), 15
 LONG_DESCRIPTION, DESCRIPTION_POINTS = 100, 5
 REJECTED_ENDINGS = (".txt",)
 BYTES_PER_ROW = 200
-SESSION_LIMIT = 300
 URL_PATTERN = r"^[a-z][a-z0-9+.-]*://([^/?#]*)([^?#]*)"
 
 
@@ -88,9 +87,9 @@ def manifest_upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.join(new.select("slug"), "slug", "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def session_totals(acquired: DataFrame, most: int = SESSION_LIMIT, seq: str = "seq") -> DataFrame:
-    """Saved datasets, rows and errors of the first ``most`` attempts."""
-    seen = acquired.orderBy(seq).limit(most)
+def session_totals(acquired: DataFrame, most: int | None = None, seq: str = "seq") -> DataFrame:
+    """Saved datasets, rows and errors of all attempts, or of the first ``most``."""
+    seen = acquired.orderBy(seq).limit(most) if most else acquired
     ok = F.col("status") == "ok"
     return seen.agg(
         F.count_if(ok).alias("saved"),

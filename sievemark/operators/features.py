@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col, column_classes
 from sievemark.functions.stats import coef_variation, kurt_adjusted, skew_adjusted
+from sievemark.operators.correlation import heatmap_cells
 from sievemark.operators.infer import mixed_type_columns
-from sievemark.operators.order import OrderKey, with_row_id
+from sievemark.operators.order import same_keys, with_row_id
 from sievemark.operators.reshape import as_pairs, families
 from sievemark.operators.rows import all_null
 
@@ -116,6 +117,7 @@ def _base(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return joined.withColumn("numeric_ratio", share), key
 
 
+# Names of the model's inputs.
 FEATURES8 = [
     "missing_ratio", "duplicate_ratio", "numeric_ratio", "constant_cols", "norm_variance",
     "skewness", "cardinality_ratio", "mean_kurtosis",
@@ -180,6 +182,7 @@ def features10(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     ])
 
 
+# Names of the training features.
 FEATURES17 = [
     "num_rows", "num_columns", "num_numeric_columns", "num_string_columns", "null_ratio_mean",
     "null_ratio_max", "null_ratio_std", "num_high_null_columns", "avg_unique_ratio", "min_unique_ratio",
@@ -188,8 +191,8 @@ FEATURES17 = [
 ]
 
 
-def features17(df: DataFrame, key: Sequence[str] = (), order_by: Sequence[OrderKey] = ()) -> DataFrame:
-    """The offline training features of every dataset; order picks the mixed-type sample."""
+def features17(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """The offline training features of every dataset."""
     df, key, data = _keyed(df, key)
     classes = column_classes(df)
     numeric = [c for c in classes.numeric if c in data]
@@ -218,7 +221,7 @@ def features17(df: DataFrame, key: Sequence[str] = (), order_by: Sequence[OrderK
         ).groupBy(*key).agg(
             F.avg("lv").alias("avg_string_length_variance"), F.max("lv").alias("max_string_length_variance")
         )
-        mixed = mixed_type_columns(df, list(order_by) or [F.lit(0)], text, groups=key).groupBy(*key).agg(
+        mixed = mixed_type_columns(df, text, groups=key).groupBy(*key).agg(
             F.count_if("mixed").cast("double").alias("num_mixed_type_columns")
         )
         parts += [lengths, mixed]
@@ -245,19 +248,20 @@ def features17(df: DataFrame, key: Sequence[str] = (), order_by: Sequence[OrderK
 
 def with_batches(
     df: DataFrame, order_by: Sequence[str], file: str | None = None, size: int = 100_000,
-    most: int | None = 50, least: int = 10,
+    most: int | None = None, least: int = 0,
 ) -> DataFrame:
     """Add ``batch_no``: runs of ``size`` rows of a file, numbered from 1.
 
-    Short last runs and runs past ``most`` are left out, as training samples need.
+    Every row has a batch unless the caller asks to leave out runs past ``most`` or of
+    fewer than ``least`` rows. Rows without a file are a file of their own.
     """
     keys = ([file] if file else []) + list(order_by)
     numbered = with_row_id(df, keys)
     if file:
-        starts = numbered.groupBy(col(file)).agg(
+        starts = numbered.groupBy(col(file).alias("_f0")).agg(
             F.min("_row_id").alias("_start"), F.count(F.lit(1)).alias("_rows")
         )
-        numbered = numbered.join(starts, file)
+        numbered = numbered.join(starts, same_keys([file], "_f"))
     else:
         numbered = numbered.withColumns({
             "_start": F.lit(1), "_rows": F.lit(numbered.count()),
@@ -271,19 +275,16 @@ def with_batches(
 
 
 def feature_correlation(features: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Correlation matrix of features in long form (row, col, r), with Spark ML."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    from sievemark.session import small_frame
-
-    vec = VectorAssembler(inputCols=list(names), outputCol="v", handleInvalid="skip").transform(features)
-    m = Correlation.corr(vec, "v").first()[0].toArray()
-    return small_frame(
-        features.sparkSession,
-        [(a, b, float(m[i][j])) for i, a in enumerate(names) for j, b in enumerate(names)],
-        "row string, col string, r double",
-    )
+    """Correlation matrix of features in long form (row, col, r).
+
+    Each pair uses the rows that have both; r is null if either feature is constant there.
+    """
+    below = heatmap_cells(features, names)
+    above = below.select(F.col("col").alias("row"), F.col("row").alias("col"), "r")
+    same = as_pairs(features, list(names), "double").groupBy("column").agg(
+        F.when(F.var_pop("value") > 0, F.lit(1.0)).alias("r")
+    ).select(F.col("column").alias("row"), F.col("column").alias("col"), "r")
+    return below.unionByName(above).unionByName(same)
 
 
 def class_separation(features: DataFrame, names: Sequence[str], label: str) -> DataFrame:

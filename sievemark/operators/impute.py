@@ -128,9 +128,9 @@ def fill_log(df: DataFrame, plan: Sequence[Fill]) -> DataFrame:
     )
 
 
-def fill_from_sample(df: DataFrame, fraction: float = 0.1, seed: int = 42, limit: int = DIRECT_LIMIT):
-    """Plan from a seeded sample, for tables too large to plan on in full."""
-    return fill_plan(df.sample(False, fraction, seed), "median", limit)
+def global_fills(df: DataFrame, limit: int = DIRECT_LIMIT) -> list[Fill]:
+    """One plan from all rows, for parts of a table that are filled separately."""
+    return fill_plan(df, "median", limit)
 
 
 def train_medians(train: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT) -> dict[str, float]:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.casts import number_prefix, to_boolean, to_number, to_timestamp
 from sievemark.functions.columns import col, column_classes, logical_type
-from sievemark.operators.order import OrderKey
 from sievemark.operators.reshape import as_pairs, one_row_to_long
 from sievemark.session import small_frame
 
@@ -137,27 +136,12 @@ def prefix_numeric(df: DataFrame, columns: Sequence[str], share: float = 0.8) ->
 
 
 def mixed_type_columns(
-    df: DataFrame, order_by: Sequence[OrderKey], columns: Sequence[str] | None = None,
-    groups: Sequence[str] = (), first: int = 500,
+    df: DataFrame, columns: Sequence[str] | None = None, groups: Sequence[str] = ()
 ) -> DataFrame:
-    """Text columns whose first ``first`` present values parse in part.
-
-    The sample size is the operator's definition. rank <= first is applied in every task
-    before the shuffle, so no column or group gathers more than that per task.
-    """
+    """Text columns whose present values parse in part, judged on all of them."""
     columns = list(columns or column_classes(df).text)
-    keys = [f"_k{i}" for i in range(len(order_by))]
-    slim = df.select(
-        *[col(g) for g in groups],
-        *[(col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(order_by, keys)],
-        *[col(c) for c in columns],
-    )
-    pairs = as_pairs(slim, columns, "string", keep=[*groups, *keys])
-    pairs = pairs.filter(F.col("value").isNotNull())
-    by = [*groups, "column"]
-    head = Window.partitionBy(*by).orderBy(*keys)
-    sample = pairs.withColumn("_n", F.row_number().over(head)).filter(F.col("_n") <= first)
-    tested = sample.groupBy(*by).agg(
+    pairs = as_pairs(df, columns, "string", keep=list(groups)).filter(F.col("value").isNotNull())
+    tested = pairs.groupBy(*groups, "column").agg(
         F.count(F.lit(1)).alias("present"), F.count(to_number(F.col("value"))).alias("parsed")
     )
     return tested.withColumn(

@@ -1,73 +1,44 @@
-"""Plain sentences over the small profile tables."""
+"""Findings over the small profile tables, as rows of values; wording is left to the reader."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Shares and sizes from which something is worth telling.
+MISSING_PCT, SKEW = 20, 0.5
 
-def _tick(c: str):
-    return F.concat(F.lit("`"), F.col(c), F.lit("`"))
+
+def _finding(df: DataFrame, kind: str | Column, column: str, value: Column, other: str | None = None) -> DataFrame:
+    return df.select(
+        (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+        F.col(column).alias("column"),
+        (F.col(other) if other else F.lit(None)).cast("string").alias("other"),
+        value.cast("double").alias("value"),
+    )
 
 
 def key_insights(
     profile: DataFrame, correlations: DataFrame, anomalies: DataFrame, dominant: DataFrame
 ) -> DataFrame:
-    """(kind, insight) sentences; every input has one row per column or column pair."""
-    # The inputs are bounded by the number of columns, so gathering their names is too.
-    names = lambda c: F.array_join(F.slice(F.sort_array(F.collect_list(c)), 1, 5), ", ")
-    high = profile.filter(F.col("missing_pct") > 20).agg(
-        F.count(F.lit(1)).alias("n"),
-        names(F.concat(_tick("column"), F.format_string(" (%.1f%%)", "missing_pct"))).alias("t"),
-    ).filter("n > 0").select(
-        F.lit("missing").alias("kind"),
-        F.concat(F.lit("High missingness detected in: "), "t", F.lit(".")).alias("insight"),
-    )
-    strong = correlations.filter(F.col("strength") == "strong")
-    best = strong.orderBy(F.desc(F.abs("pearson_r")), "col_a", "col_b").limit(1).select(
-        F.lit("correlation").alias("kind"),
-        F.format_string("Strongest correlation: `%s` and `%s` (r=%+.3f, %s).",
-                        "col_a", "col_b", "pearson_r", "direction").alias("insight"),
-    )
-    many = strong.agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-        F.lit("multicollinearity").alias("kind"),
-        F.format_string("%d strong correlation pairs found.", "n").alias("insight"),
-    )
-    trends = [
-        profile.filter(F.col("trend") == trend).agg(
-            F.count(F.lit(1)).alias("n"), names(_tick("column")).alias("t")
-        ).filter("n > 0").select(
-            F.lit("trend").alias("kind"),
-            F.concat(F.lit(f"{word} trend detected in: "), "t", F.lit(".")).alias("insight"),
-        )
-        for trend, word in (("increasing", "Upward"), ("decreasing", "Downward"))
-    ]
-    heavy = anomalies.orderBy(F.desc("outlier_count"), "column").limit(1).select(
-        F.lit("outliers").alias("kind"),
-        F.format_string("Most outlier-heavy column: `%s` (%d outliers outside [%.3g, %.3g]).",
-                        "column", "outlier_count", "lower_fence", "upper_fence").alias("insight"),
-    )
+    """(kind, column, other, value), a row per column or pair with a finding.
+
+    Kinds: missing (share in %), correlation (r with the other column), increasing and
+    decreasing, outliers (their number), skew ((mean - median) / std), dominance (share of
+    the value in ``other``, in %), imbalance (most frequent over rarest).
+    """
     skew = F.try_divide(F.col("mean") - F.col("median"), F.col("std"))
-    skewed = profile.filter((F.col("std") > 0) & (F.abs(skew) > 0.5)).select(
-        F.lit("skew").alias("kind"),
-        F.format_string("`%s` appears %s-skewed (%+.2f).", "column",
-                        F.when(skew > 0, "right").otherwise("left"), skew).alias("insight"),
-    )
-    found = high.unionByName(best).unionByName(many)
-    for part in (*trends, heavy, skewed):
-        found = found.unionByName(part)
-    none = found.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(
-        F.lit("none").alias("kind"),
-        F.lit("No strong patterns detected: data appears uniformly distributed.").alias("insight"),
-    )
-    ruled = dominant.filter("dominant").select(
-        F.lit("dominance").alias("kind"),
-        F.format_string("Dominant category in `%s`: '%s' represents %.1f%% of all records.",
-                        "column", "top_value", "top_pct").alias("insight"),
-    )
-    uneven = dominant.filter("imbalanced").select(
-        F.lit("imbalance").alias("kind"),
-        F.format_string("Severe class imbalance in `%s`: most-frequent class is %.2fx more common than the rarest.",
-                        "column", "imbalance").alias("insight"),
-    )
-    return found.unionByName(none).unionByName(ruled).unionByName(uneven)
+    trending = profile.filter(F.col("trend").isin("increasing", "decreasing"))
+    parts = [
+        _finding(profile.filter(F.col("missing_pct") > MISSING_PCT), "missing", "column", F.col("missing_pct")),
+        _finding(correlations.filter("strength = 'strong'"), "correlation", "col_a", F.col("pearson_r"), "col_b"),
+        _finding(trending, F.col("trend"), "column", F.lit(None)),
+        _finding(anomalies, "outliers", "column", F.col("outlier_count")),
+        _finding(profile.filter((F.col("std") > 0) & (F.abs(skew) > SKEW)), "skew", "column", skew),
+        _finding(dominant.filter("dominant"), "dominance", "column", F.col("top_pct"), "top_value"),
+        _finding(dominant.filter("imbalanced"), "imbalance", "column", F.col("imbalance")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -20,12 +20,13 @@ from sievemark.session import small_frame
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """n / (2 * n_class) per row."""
-    totals = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("_k"))
-    n = df.count()
-    return df.join(totals, label).withColumn(
-        name, F.lit(float(n)) / (2.0 * F.col("_k"))
-    ).drop("_k")
+    """n / (2 * n_class) per row; rows without a label are a class."""
+    sizes = df.groupBy(col(label).alias("label")).agg(F.count(F.lit(1)).alias("k")).collect()  # one row per class
+    n = sum(r["k"] for r in sizes)
+    weight = F.lit(None).cast("double")
+    for r in sizes:
+        weight = F.when(col(label).eqNullSafe(F.lit(r["label"])), F.lit(n / (2.0 * r["k"]))).otherwise(weight)
+    return df.withColumn(name, weight)
 
 
 def positive_ratio(df: DataFrame, label: str) -> DataFrame:

@@ -28,6 +28,14 @@ def _keys(order_by: Sequence[OrderKey]) -> list[Column]:
     return [col(k) if isinstance(k, str) else k for k in order_by]
 
 
+def same_keys(names: Sequence[str], prefix: str) -> Column:
+    """Join condition on columns renamed to ``prefix`` and their place; nulls are equal."""
+    out = F.lit(True)
+    for i, c in enumerate(names):
+        out = out & col(c).eqNullSafe(F.col(f"{prefix}{i}"))
+    return out
+
+
 def number_rows(
     df: DataFrame, order_by: Sequence[OrderKey], name: str = "_row_id", partitions: int | None = None
 ) -> tuple[DataFrame, int]:
@@ -194,7 +202,7 @@ def rank_within(
 ) -> DataFrame:
     """Row number inside each group without putting a group into one task."""
     numbered = with_row_id(df, [*groups, *order_by], name="_global")
-    starts = numbered.groupBy(*[col(g) for g in groups]).agg(F.min("_global").alias("_start"))
-    return numbered.join(starts, list(groups)).select(
+    starts = numbered.groupBy(*[col(g).alias(f"_g{i}") for i, g in enumerate(groups)]).agg(F.min("_global").alias("_start"))
+    return numbered.join(starts, same_keys(groups, "_g")).select(
         *[col(c) for c in df.columns], (F.col("_global") - F.col("_start") + 1).alias(name)
     )

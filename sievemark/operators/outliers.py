@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from sievemark.functions.columns import col, column_classes
 from sievemark.operators.order import with_row_id
 from sievemark.operators.profile import (
-    MIN_FENCE_VALUES, fences_of, numeric_pairs, outside, quartile_map,
+    MIN_FENCE_VALUES, Quartiles, fences_of, numeric_pairs, outside, quartile_map,
 )
 from sievemark.operators.quantiles import DIRECT_LIMIT
-from sievemark.operators.reshape import as_pairs
+from sievemark.operators.reshape import as_pairs, number
 from sievemark.session import small_frame
 
 FLAG = "_is_outlier"
@@ -26,14 +26,14 @@ def drop_internal(df: DataFrame) -> DataFrame:
 
 
 def fence_map(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int = DIRECT_LIMIT
+    df: DataFrame, columns: Sequence[str] | None = None, limit: int = DIRECT_LIMIT, quartiles: Quartiles | None = None
 ) -> dict[str, tuple[float | None, float | None]]:
     """(low, high) per numeric column; none for columns with fewer than four values."""
     columns = list(columns or column_classes(df).numeric)
     if not columns:
         return {}
-    counts = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    quartiles = quartile_map(df, columns, limit)
+    counts = df.agg(*[F.count(number(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    quartiles = quartiles or quartile_map(df, columns, limit)
     return {
         c: fences_of(quartiles[c][0], quartiles[c][2])
         if counts[f"n{i}"] >= MIN_FENCE_VALUES else (None, None)
@@ -47,7 +47,7 @@ def iqr_fences(
     """(column, q1, q3, lower_fence, upper_fence), one row per numeric column."""
     columns = list(columns or column_classes(df).numeric)
     quartiles = quartile_map(df, columns, limit)
-    fences = fence_map(df, columns, limit)
+    fences = fence_map(df, columns, limit, quartiles)
     return small_frame(
         df.sparkSession,
         [(c, quartiles[c][0], quartiles[c][2], *fences[c]) for c in columns],
@@ -57,43 +57,48 @@ def iqr_fences(
 
 def outlier_predicate(fences: dict[str, tuple[float | None, float | None]]) -> Column:
     """True where any column is outside its fences."""
-    tests = [outside(col(c).cast("double"), lo, hi) for c, (lo, hi) in fences.items()]
+    tests = [outside(F.nanvl(col(c).cast("double"), F.lit(None)), lo, hi) for c, (lo, hi) in fences.items()]
     return reduce(or_, tests) if tests else F.lit(False)
 
 
-def iqr_anomalies(
-    df: DataFrame, order_by: Sequence[str], cap: int = 100, limit: int = DIRECT_LIMIT
+def _outlying_cells(df: DataFrame, fences: dict, keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., column, value) of the cells outside the fences of their column."""
+    slim = df.select(*[col(k) for k in keep], *[
+        F.when(outside(col(c).cast("double"), *f), col(c).cast("double")).alias(c) for c, f in fences.items()
+    ])
+    return as_pairs(slim, list(fences), "double", keep=keep).filter(F.col("value").isNotNull())
+
+
+def iqr_anomalies(df: DataFrame, limit: int = DIRECT_LIMIT) -> DataFrame:
+    """(column, lower_fence, upper_fence, outlier_count) of the columns with outliers."""
+    fences = {c: f for c, f in fence_map(df, limit=limit).items() if f[0] is not None}
+    schema = "column string, lower_fence double, upper_fence double"
+    bounds = small_frame(df.sparkSession, [(c, *f) for c, f in fences.items()], schema)
+    if not fences:
+        return bounds.withColumn("outlier_count", F.lit(0).cast("bigint"))
+    counts = _outlying_cells(df, fences).groupBy("column").agg(F.count(F.lit(1)).alias("outlier_count"))
+    return counts.join(F.broadcast(bounds), "column").select(
+        "column", F.bround("lower_fence", 6).alias("lower_fence"),
+        F.bround("upper_fence", 6).alias("upper_fence"), "outlier_count",
+    )
+
+
+def anomaly_rows(
+    df: DataFrame, order_by: Sequence[str], cap: int | None = None, limit: int = DIRECT_LIMIT
 ) -> DataFrame:
-    """Columns with outliers: count, fences and the 0-based positions of the first ``cap``.
+    """(column, row_index, value): every outlying cell with the 0-based position of its row.
 
-    Only outlying cells are spread into long form; the counts come from partial
-    aggregation and each task keeps at most ``cap`` rows per column before the shuffle.
+    ``cap`` keeps the first so many per column.
     """
     fences = {c: f for c, f in fence_map(df, limit=limit).items() if f[0] is not None}
-    columns = list(fences)
-    slim = with_row_id(df, order_by).select(
-        (F.col("_row_id") - 1).alias("_at"),
-        *[
-            F.when(outside(col(c).cast("double"), *fences[c]), col(c).cast("double")).alias(c)
-            for c in columns
-        ],
-    )
-    cells = as_pairs(slim, columns, "double", keep=["_at"]).filter(F.col("value").isNotNull())
-    counts = cells.groupBy("column").agg(F.count(F.lit(1)).alias("outlier_count"))
-    first = Window.partitionBy("column").orderBy("_at")
-    capped = cells.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= cap)
-    rows = capped.groupBy("column").agg(F.sort_array(F.collect_list("_at")).alias("row_indices"))
-    bounds = small_frame(
-        df.sparkSession,
-        [(c, *f) for c, f in fences.items()],
-        "column string, lower_fence double, upper_fence double",
-    )
-    return counts.join(rows, "column").join(F.broadcast(bounds), "column").select(
-        "column", "row_indices",
-        F.bround("lower_fence", 6).alias("lower_fence"),
-        F.bround("upper_fence", 6).alias("upper_fence"),
-        "outlier_count",
-    )
+    if not fences:
+        return small_frame(df.sparkSession, [], "column string, row_index bigint, value double")
+    numbered = with_row_id(df, order_by).withColumn("row_index", F.col("_row_id") - 1)
+    cells = _outlying_cells(numbered, fences, ["row_index"]).select("column", "row_index", "value")
+    if cap is None:
+        return cells
+    first = Window.partitionBy("column").orderBy("row_index")
+    return cells.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= cap).drop("_n")
 
 
 def flag_outliers(

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievemark.functions.casts import number_prefix
 from sievemark.functions.columns import col, column_classes
@@ -18,7 +19,7 @@ from sievemark.functions.stats import coef_variation, kurt_adjusted, skew_adjust
 from sievemark.operators.categorical import numeric_modes
 from sievemark.operators.correlation import trend_labels
 from sievemark.operators.quantiles import DIRECT_LIMIT, exact_quantiles
-from sievemark.operators.reshape import as_pairs
+from sievemark.operators.reshape import as_pairs, number
 from sievemark.session import small_frame
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -203,7 +204,8 @@ def describe(
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """(column, rows, missing, ratio) of every column from one scan."""
-    flags = df.select(*[F.isnull(col(c)).alias(c) for c in df.columns]).unpivot(
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    flags = df.select(*[F.isnull(number(df, c) if c in floats else col(c)).alias(c) for c in df.columns]).unpivot(
         [], [col(c) for c in df.columns], "column", "gone"
     )
     return flags.groupBy("column").agg(

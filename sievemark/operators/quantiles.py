@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col
+from sievemark.operators.reshape import number
 from sievemark.session import small_frame
 
 DIRECT_LIMIT = 100_000  # rows up to which one in-memory percentile is used
@@ -130,11 +131,8 @@ def _around(b: _Interval) -> list[float]:
 
 def _propose(df: DataFrame, intervals: list[_Interval]) -> list[list[float]]:
     """Edges around the wanted ranks, read off a sample of each interval."""
-    share = max(_sample_size(b.inside) / b.inside for b in intervals)
-    if all(b.low is None and b.high is None for b in intervals):
-        held = _held_values(df.sample(False, share, 17) if share < 1 else df, intervals)
-    else:
-        held = _held_values(df, intervals, sample=True)
+    # Each interval by its own share, so a sparse column does not enlarge the sample of a dense one.
+    held = _held_values(df, intervals, sample=True)
     return _pick(held, intervals, _around, "fraction")
 
 
@@ -149,14 +147,14 @@ def _narrow(df: DataFrame, intervals: list[_Interval], answers: dict) -> list[_I
     most = max(map(len, edges.values()))
     bounds = small_frame(
         df.sparkSession,
-        [(c, *es, *[math.nan] * (most - len(es))) for c, es in edges.items()],  # NaN tops all
+        [(c, *es, *[None] * (most - len(es))) for c, es in edges.items()],
         "column string, " + ", ".join(f"e{i} double" for i in range(most)),
     )
     # Zone 2i lies before edge i and zone 2i + 1 on it.
     zone = F.lit(0)
     for i in range(most):
         e = F.col(f"e{i}")
-        zone = zone + (F.col("value") >= e).cast("int") + (F.col("value") > e).cast("int")
+        zone = zone + F.coalesce((F.col("value") >= e).cast("int") + (F.col("value") > e).cast("int"), F.lit(0))
     # One scan for all columns; a few rows per column come back.
     coded = _pairs(df.select(*[col(c) for c in edges])).join(F.broadcast(bounds), "column").select(
         "column", zone.alias("zone")
@@ -189,9 +187,10 @@ def _select(df: DataFrame, intervals: list[_Interval], answers: dict) -> None:
         answers.update({(b.column, k): v for k, v in zip(b.ranks, values)})
 
 
-def _order_statistics(
-    df: DataFrame, wanted: dict[str, set[int]], sizes: dict[str, int], inside: int
+def order_statistics(
+    df: DataFrame, wanted: dict[str, set[int]], sizes: dict[str, int], inside: int = INSIDE_LIMIT
 ) -> dict[tuple[str, int], float]:
+    """{(column, rank): value} for 0-based ranks among the ``sizes`` non-null doubles of each column."""
     answers: dict[tuple[str, int], float] = {}
     open_ = [_Interval(c, tuple(sorted(rs)), None, None, 0, sizes[c]) for c, rs in wanted.items()]
     while open_:
@@ -214,7 +213,7 @@ def exact_quantiles(
     columns = list(columns)
     if not columns:
         return {}
-    df = df.select(*[col(c).cast("double").alias(c) for c in columns])
+    df = df.select(*[number(df, c).alias(c) for c in columns])
     rows = df.count()
     if rows <= limit:
         ask = F.array(*[F.lit(float(p)) for p in probs])
@@ -237,7 +236,7 @@ def exact_quantiles(
         for c in columns
         if sizes[c]
     }
-    stats = _order_statistics(df, wanted, sizes, inside)
+    stats = order_statistics(df, wanted, sizes, inside)
     if small:
         df.unpersist()
 

@@ -29,7 +29,14 @@ def _plain(df: DataFrame, c: str, to: str) -> Column:
     data_type = df.schema[c].dataType
     if to == "string" and isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(col(c))
-    return col(c).cast(to)
+    return number(df, c) if to == "double" else col(c).cast(to)
+
+
+def number(df: DataFrame, c: str) -> Column:
+    """A column as double in which NaN is null."""
+    value = col(c).cast("double")
+    is_float = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+    return F.when(~F.isnan(value), value) if is_float else value
 
 
 def families(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:

@@ -1,4 +1,9 @@
-"""Balanced classes, splits and folds fixed by a seeded hash of the row key."""
+"""Balanced classes, splits and folds fixed by a seeded hash of the row key.
+
+A cut through a class is an order statistic of that hash. It is found by counting, and
+rows are then told apart by a comparison with it: they are neither sorted nor moved. Sizes
+are exact while keys are unique; rows with the same key stay together.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col
 from sievemark.functions.hashing import uniform
-from sievemark.operators.order import rank_within, with_row_id
+from sievemark.operators.quantiles import order_statistics
 
 _U = "_u"
 
@@ -30,25 +35,49 @@ def sample_frac(
     return df.filter(uniform([col(k) for k in key], seed, "sample", algorithm) < fraction)
 
 
+def _is(label: str, value: object) -> Column:
+    return col(label).isNull() if value is None else col(label) == F.lit(value)
+
+
+def _class_sizes(df: DataFrame, label: str) -> dict[object, int]:
+    """Rows of every class, null being one; a table has few classes."""
+    return {r["label"]: r["n"] for r in df.groupBy(col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _class_cuts(
+    drawn: DataFrame, label: str, sizes: dict[object, int], cuts: dict[object, Sequence[int]]
+) -> dict[object, list[float]]:
+    """For each class and number of rows, a hash that so many rows of the class do not exceed.
+
+    Minus infinity for none of them, infinity for all.
+    """
+    known = [c for c in cuts if sizes.get(c)]
+    names = {c: f"class{i}" for i, c in enumerate(known)}
+    frame = drawn.select(*[F.when(_is(label, c), F.col(_U)).alias(n) for c, n in names.items()])
+    ranks = {names[c]: {k - 1 for k in cuts[c] if 0 < k < sizes[c]} for c in known}
+    ranks = {n: r for n, r in ranks.items() if r}
+    found = order_statistics(frame, ranks, {names[c]: sizes[c] for c in known}) if ranks else {}
+
+    def edge(c: object, k: int) -> float:
+        return float("-inf") if k <= 0 else float("inf") if k >= sizes[c] else found[names[c], k - 1]
+
+    return {c: [edge(c, k) for k in cuts[c]] for c in known}
+
+
 def balance_classes(
     df: DataFrame, label: str, key: Sequence[str], seed: int = 42,
     ratio: float | None = None, algorithm: str = "xxhash64",
 ) -> DataFrame:
-    """Cut both classes to the smaller, or class 0 to ``ratio`` times class 1.
-
-    Ranks inside a class come from one global order, so a class with most of the rows is
-    not one task. The class totals are two numbers.
-    """
-    both = df.filter(col(label).isin(0, 1)).groupBy(col(label).alias("label"))
-    counts = {r["label"]: r["n"] for r in both.agg(F.count(F.lit(1)).alias("n")).collect()}
-    if ratio is None:
-        smallest = min(counts.get(0, 0), counts.get(1, 0))
-        allowed = {0: smallest, 1: smallest}
-    else:
-        allowed = {1: counts.get(1, 0), 0: int(ratio * counts.get(1, 0))}
-    ranked = rank_within(_drawn(df, key, seed, "balance", algorithm), [label], [_U, *key])
-    room = F.when(col(label) == 1, F.lit(allowed[1])).when(col(label) == 0, F.lit(allowed[0]))
-    return ranked.filter(F.col("_rank") <= room).drop("_rank", _U)
+    """Cut both classes to the smaller, or class 0 to ``ratio`` times class 1."""
+    sizes = _class_sizes(df.filter(col(label).isin(0, 1)), label)
+    ones = sizes.get(1, 0)
+    allowed = {1: ones, 0: int(ratio * ones)} if ratio is not None else dict.fromkeys((0, 1), min(sizes.get(0, 0), ones))
+    drawn = _drawn(df, key, seed, "balance", algorithm)
+    cuts = _class_cuts(drawn, label, sizes, {c: [k] for c, k in allowed.items()})
+    kept = F.lit(False)
+    for c, (edge,) in cuts.items():
+        kept = kept | (_is(label, c) & (F.col(_U) <= edge))
+    return drawn.filter(kept).drop(_U)
 
 
 def filter_class(df: DataFrame, extra: DataFrame, label: str, keep: int = 1) -> DataFrame:
@@ -71,40 +100,46 @@ def split_ratio(
         total += r
         edges.append(total)
 
-    def place(position: Column, scale: Column | float) -> Column:
-        out = F.lit(names[-1])
-        for name, edge in reversed(list(zip(names, edges))):
-            out = F.when(position < scale(edge), F.lit(name)).otherwise(out)
-        return out
-
     if by:
         u = uniform([col(b) for b in by], seed, "split", algorithm)
-        return df.withColumn("split", place(u, F.lit))
-    numbered = with_row_id(_drawn(df, key, seed, "split", algorithm), [_U, *key])
+        out = F.lit(names[-1])
+        for name, edge in reversed(list(zip(names, edges))):
+            out = F.when(u < F.lit(edge), F.lit(name)).otherwise(out)
+        return df.withColumn("split", out)
+    drawn = _drawn(df, key, seed, "split", algorithm).withColumn("_all", F.lit(0))
     n = df.count()
-    at = F.col("_row_id") - 1
-    return numbered.withColumn("split", place(at, lambda e: F.lit(int(n * e)))).drop("_row_id", _U)
+    found = _class_cuts(drawn, "_all", {0: n}, {0: [int(n * e) for e in edges]}).get(0, [0.0] * len(edges))
+    out = F.lit(names[-1])
+    for name, edge in reversed(list(zip(names, found))):
+        out = F.when(F.col(_U) <= edge, F.lit(name)).otherwise(out)
+    return drawn.withColumn("split", out).drop(_U, "_all")
 
 
 def split_stratified(
     df: DataFrame, label: str, key: Sequence[str], test: float = 0.25, seed: int = 42,
     algorithm: str = "xxhash64",
 ) -> DataFrame:
-    """Add ``split`` with the test share exact inside every class."""
-    ranked = rank_within(_drawn(df, key, seed, "strata", algorithm), [label], [_U, *key])
-    totals = ranked.groupBy(col(label)).agg(F.max("_rank").alias("_total"))
-    held = F.bround(F.col("_total") * test, 0)
-    return ranked.join(totals, label).withColumn(
-        "split", F.when(F.col("_rank") <= held, "test").otherwise("train")
-    ).select(*[col(c) for c in df.columns], "split")
+    """Add ``split`` with the test share exact inside every class; a null label is a class."""
+    sizes = _class_sizes(df, label)
+    drawn = _drawn(df, key, seed, "strata", algorithm)
+    held = F.lit(False)
+    for c, (edge,) in _class_cuts(drawn, label, sizes, {c: [round(n * test)] for c, n in sizes.items()}).items():
+        held = held | (_is(label, c) & (F.col(_U) <= edge))
+    return drawn.withColumn("split", F.when(held, "test").otherwise("train")).select(*[col(c) for c in df.columns], "split")
 
 
 def kfold_stratified(
     df: DataFrame, label: str, key: Sequence[str], k: int = 5, seed: int = 42, algorithm: str = "xxhash64"
 ) -> DataFrame:
-    """Add ``fold`` 0..k-1, level inside every class."""
-    ranked = rank_within(_drawn(df, key, seed, "folds", algorithm), [label], [_U, *key])
-    return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", _U)
+    """Add ``fold`` 0..k-1: equal runs of every class in the order of the hash; a null label is a class."""
+    sizes = _class_sizes(df, label)
+    drawn = _drawn(df, key, seed, "folds", algorithm)
+    cuts = _class_cuts(drawn, label, sizes, {c: [n * j // k for j in range(1, k)] for c, n in sizes.items()})
+    fold = F.lit(None).cast("int")
+    for c, edges in cuts.items():
+        passed = sum(((F.col(_U) > e).cast("int") for e in edges), F.lit(0))
+        fold = F.when(_is(label, c), passed).otherwise(fold)
+    return drawn.withColumn("fold", fold).drop(_U)
 
 
 def kfold_group(

@@ -36,7 +36,7 @@ def analyse(df: DataFrame, order_by: Sequence[str]) -> Analysis:
     classes = column_classes(df)
     profile = materialize(column_profile(df, order_by), "profile")
     correlations = materialize(correlation_pairs(df), "correlations")
-    anomalies = materialize(iqr_anomalies(df, order_by), "anomalies")
+    anomalies = materialize(iqr_anomalies(df), "anomalies")
     dominant = dominant_categories(df, classes.categorical)
     distinct = materialize(distinct_counts(df), "distinct")
     return Analysis(

@@ -20,15 +20,21 @@ MIN_ROWS_ACQUIRED, MIN_ROWS_FEATURES = 50, 10
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
     """CSV with a header; NA tokens become null and types come from the values.
 
+    Quoted values may hold line breaks and doubled quotes. Without ``multi_line`` a file is
+    split over many tasks, for data that is known to have one record per line.
+
     Without a schema the text is read once to count what parses and once with the types;
     give a schema to read once.
     """
     if schema is not None:
-        return nan_to_null(spark.read.csv(path, header=True, schema=schema))
-    text = spark.read.csv(path, header=True, inferSchema=False, multiLine=False)
+        return nan_to_null(spark.read.csv(path, header=True, schema=schema, multiLine=multi_line, escape='"'))
+    # Quoted line breaks need whole files; Spark then splits the work by file.
+    text = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
     return narrow_integers(infer_types(na_tokens_to_null(text)))
 
 
@@ -122,12 +128,18 @@ def read_json(spark: SparkSession, path: str | list[str], multi_line: bool = Tru
     """A list of records, or the first list-valued key of a record, else the record."""
     df = spark.read.json(path, multiLine=multi_line)
     lists = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
-    # The reader sorts the keys of a record; a list of records has no single-array shape.
+    # A list of records has no single-array shape.
     if lists and not multi_line_records(df):
-        return _records_of(df, lists[0])
+        return _records_of(df, _first_key(spark, path, lists) if len(lists) > 1 else lists[0])
     return flatten(df)
 
 
+def _first_key(spark: SparkSession, path: str | list[str], names: Sequence[str]) -> str:
+    """The name that stands first in the text of the record; the reader sorts the keys."""
+    keys = spark.read.text(path, wholetext=True).select(F.json_object_keys("value").alias("keys")).first()["keys"] or []
+    return next((k for k in keys if k in names), names[0])
+
+
 def multi_line_records(df: DataFrame) -> bool:
     """Whether a file held many records rather than one wrapper record."""
     return len(df.take(2)) > 1
@@ -149,9 +161,16 @@ def read_folder(spark: SparkSession, folder: str, schema: T.StructType | str | N
     return reader.csv(folder).select("*", F.col("_metadata.file_path").alias("_file"))
 
 
-def union_files(spark: SparkSession, paths: Sequence[str], most: int = 10) -> DataFrame:
-    """Up to ``most`` files of one dataset stacked by column name."""
-    frames = [read_csv_tolerant(spark, p) for p in list(paths)[:most]]
+def union_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """All files of one dataset stacked by column name.
+
+    Files with the same header are one read, so the plan grows with the number of headers.
+    """
+    by_header: dict[str, list[str]] = {}
+    for p in paths:
+        head = spark.read.text(p).head()
+        by_header.setdefault(head["value"] if head else "", []).append(p)
+    frames = [read_csv_tolerant(spark, ps) for ps in by_header.values()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -178,10 +197,7 @@ def gate_min_shape(df: DataFrame, min_rows: int = MIN_ROWS, min_columns: int = M
     ok = (F.col("rows_seen") >= min_rows) & F.lit(width >= min_columns)
     return seen.select(
         ok.alias("accepted"), "rows_seen", F.lit(width).alias("columns"),
-        F.when(~ok, F.format_string(
-            f"Dataset too small: %d row(s), {width} column(s). Minimum required: "
-            f"{min_rows} rows x {min_columns} columns.", "rows_seen"
-        )).alias("reason"),
+        F.when(F.col("rows_seen") < min_rows, f"rows<{min_rows}").when(~ok, f"columns<{min_columns}").alias("reason"),
     )
 
 

@@ -19,13 +19,13 @@ def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     flat = df.select(*[
         F.to_json(col(f.name)).alias(f.name) if is_nested(f.dataType) else col(f.name) for f in df.schema.fields
     ])
-    flat.write.mode(mode).csv(path, header=True)
+    # Quotes are doubled and blanks kept, so that any text comes back as it was.
+    flat.write.mode(mode).csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-def csv_export(df: DataFrame, path: str, max_rows_single: int = 1_000_000) -> None:
-    """A download: one CSV file while the table is small enough for one task, else several."""
-    few = df.select(F.lit(1).alias("one")).limit(max_rows_single + 1).count() <= max_rows_single
-    sink_csv(df.coalesce(1) if few else df, path)
+def csv_export(df: DataFrame, path: str) -> None:
+    """A download: a folder of CSV files, each with the header; the caller may coalesce first."""
+    sink_csv(df, path)
 
 
 def sink_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

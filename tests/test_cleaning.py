@@ -102,7 +102,7 @@ def test_assessment(spark):
     checks, status = validate(df, analysis, 400, 4)
     assert checks.filter("NOT passed").count() == 0
     assert status.first()["status"] == "APPROVED"
-    assert any("Strongest correlation" in r["insight"] for r in analysis.insights.collect())
+    assert any(r["kind"] == "correlation" and r["value"] > 0.7 for r in analysis.insights.collect())
     assert {r["chart_type"] for r in analysis.charts.collect()} >= {"histogram", "line", "scatter", "heatmap", "box", "pie", "bar"}
     broken, verdict = validate(df, analysis, 399, 4)
     assert verdict.first()["status"] == "REJECTED"

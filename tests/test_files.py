@@ -56,8 +56,28 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "train"), (2, "test")], "x int, split string")
     sinks.sink_splits(df, str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s/split=train")).count() == 1
-    sinks.csv_export(df, str(tmp_path / "e"), max_rows_single=10)
-    assert len(list((tmp_path / "e").glob("*.csv"))) == 1
+    sinks.csv_export(df, str(tmp_path / "e"))
+    assert spark.read.csv(str(tmp_path / "e"), header=True).count() == 2
+
+
+def test_quoted_cells_survive_a_round_trip(spark, tmp_path):
+    rows = [(1, 'a "b"\nc'), (2, " x,y "), (3, "\\"), (4, None)]
+    sinks.sink_csv(spark.createDataFrame(rows, "k int, t string"), str(tmp_path / "q"))
+    assert sorted((r["k"], r["t"]) for r in readers.read_csv(spark, str(tmp_path / "q")).collect()) == rows
+
+
+def test_first_list_key_of_a_record(spark, tmp_path):
+    path = tmp_path / "r.json"
+    path.write_text('{"name": "x", "quarters": [5, 7], "more": {"z": 1}, "markets": ["a", "b", "c"]}')
+    assert [r["quarters"] for r in readers.read_json(spark, str(path)).collect()] == [5, 7]
+
+
+def test_all_files_are_stacked(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"{i}.csv").write_text(("b,a\n1,%d\n" if i % 2 else "a,b\n%d,1\n") % i)
+    df = readers.union_files(spark, [str(tmp_path / f"{i}.csv") for i in range(12)])
+    assert sorted(r["a"] for r in df.collect()) == list(range(12))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
 
 
 @pytest.mark.parametrize("function,raw,clean", [

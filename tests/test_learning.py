@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievemark.operators import corrupt, feedback, metrics, model, splits
-from sievemark.operators.features import FEATURES8, FEATURES17, features8, features17
+from sievemark.operators.features import FEATURES8, FEATURES17, features8, features17, with_batches
 from sievemark.plans.retrain import retrain
 from sievemark.sources.readers import read_log
 
@@ -74,6 +74,23 @@ def test_feedback_edges(spark):
     assert feedback.feedback_cap(feedback.gate_table(df)).count() == 3
 
 
+def test_rows_without_a_label_are_kept(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 4 != 0, (F.col("id") % 3 == 0).cast("int")).alias("label"))
+    split = splits.split_stratified(df, "label", ["id"])
+    assert split.count() == 1000 and split.filter("split = 'test' AND label IS NULL").count() == 62
+    folds = splits.kfold_stratified(df, "label", ["id"], 4).groupBy("label", "fold").count().collect()
+    assert sum(r["count"] for r in folds) == 1000 and {r["count"] for r in folds if r["label"] is None} == {62, 63}
+    assert model.with_class_weight(df, "label").filter("weight IS NULL").count() == 0
+    batches = with_batches(df.withColumn("f", F.when(F.col("id") > 500, "x")), ["id"], "f", 100)
+    assert batches.count() == 1000
+
+
+def test_splitting_moves_no_rows(spark):
+    df = spark.range(50_000).select("id", (F.col("id") % 7 == 0).cast("int").alias("label"))
+    for out in (splits.split_ratio(df, ["id"]), splits.kfold_stratified(df, "label", ["id"]), splits.balance_classes(df, "label", ["id"])):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_corruption_is_seeded(spark):
     df = spark.range(2_000).select("id", (F.col("id") * 1.5).alias("x"), F.col("id").cast("string").alias("t"))
     dice = corrupt.Dice(("id",))

@@ -38,6 +38,17 @@ def test_small_tables_by_selection(spark, values):
         assert found["x", p] == pytest.approx(expected(values, p), rel=1e-9, abs=1e-9)
 
 
+def test_nan_is_missing_on_the_selection_path(spark):
+    df = spark.range(6_000).select(
+        F.when(F.col("id") % 4 == 0, F.lit(float("nan"))).otherwise(F.sin("id")).alias("x"),
+        F.when(F.col("id") < 40, F.col("id") * 1.0).alias("sparse"), F.lit(3.0).alias("same"))
+    pdf = df.toPandas()
+    found = exact_quantiles(df, df.columns, PROBS, limit=10, inside=20)
+    for c in df.columns:
+        for p in PROBS:
+            assert found[c, p] == pytest.approx(expected(pdf[c].dropna(), p), rel=1e-12, abs=1e-12), (c, p)
+
+
 def test_long_form_and_sketch(spark):
     df = spark.range(1, 1001).select(F.col("id").cast("double").alias("x"))
     assert quantile_table(df, ["x"], [0.5]).first()["value"] == 500.5
