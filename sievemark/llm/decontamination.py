@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.common import per_text
@@ -126,16 +125,12 @@ class Patterns:
         return len(words), firsts, lasts, sorted(items)
 
 
-def _merged(before: tuple[list, list, list], now: tuple[list, list, list]) -> tuple[list, list, list]:
-    """Hit runs and items of two blocks together."""
-    firsts, lasts = [], []
-    for a, b in sorted([*zip(before[0], before[1]), *zip(now[0], now[1])]):
-        if firsts and a <= lasts[-1] + 1:
-            lasts[-1] = max(lasts[-1], b)
-        else:
-            firsts.append(a)
-            lasts.append(b)
-    return firsts, lasts, sorted({*before[2], *now[2]})
+def _join_run(done: Column, run: Column) -> Column:
+    """Add a run to runs in order, into the last of them if it touches that."""
+    last = F.try_element_at(done, F.lit(-1))
+    wider = F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], run["b"]).alias("b")))
+    before = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+    return F.when(run["a"] <= last["b"] + 1, F.concat(before, wider)).otherwise(F.concat(done, F.array(run)))
 
 
 HITS = "n_words long, hit_first array<int>, hit_last array<int>, items array<string>"
@@ -175,9 +170,12 @@ def with_hits(
         old = {"hit_first": "__f", "hit_last": "__l", "items": "__i"}
         earlier = materialize(result.withColumnsRenamed(old), "benchmark-hits")
         found = per_text(earlier, text, make, HITS)
-        merge = F.udf(_merged, "struct<hit_first:array<int>,hit_last:array<int>,items:array<string>>")
-        both = found.withColumn("__m", merge(F.struct(*old.values()), F.struct(*old)))
-        result = both.select(*[c for c in found.columns if c not in {*old, *old.values()}], "__m.*")
+        runs = lambda a, b: F.transform(F.arrays_zip(a, b), lambda x: F.struct(x[a].alias("a"), x[b].alias("b")))
+        every = F.array_sort(F.concat(runs("__f", "__l"), runs("hit_first", "hit_last")))
+        joined = F.aggregate(every, F.array().cast("array<struct<a:int,b:int>>"), _join_run)
+        both = found.withColumn("__m", joined).withColumn("items", F.array_sort(F.array_union("__i", "items")))
+        both = both.withColumn("hit_first", F.col("__m.a")).withColumn("hit_last", F.col("__m.b"))
+        result = both.drop("__m", *old.values())
     return result
 
 
@@ -203,8 +201,3 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     at = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
     clean = with_hits(own, benchmark, text=at[text], **names).filter(F.size("hit_first") == 0)
     return clean.select(*[F.col(a).alias(c) for c, a in at.items()])
-
-
-def sha256_of(items: list[str]) -> str:
-    """The digest column for a list of items, for checks."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

@@ -156,12 +156,12 @@ def adaptive_limits(counted: DataFrame, lang: str, source: str, min_docs: int =
 
     by_both = table(_quartiles(fine, ["g_lang", "g_source"]), ["g_lang", "g_source"], "f_")
     by_lang = table(_quartiles(coarse, ["g_lang"]), ["g_lang"], "c_").withColumnRenamed("g_lang", "l_lang")
-    of_all = table(_quartiles(total.withColumn("one", F.lit(1)), ["one"]), ["one"], "t_")
-    merged = by_both.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang"))).withColumn("one", F.lit(1)).join(of_all, "one")
+    of_all = table(_quartiles(total, []), [], "").first()  # one row
+    merged = by_both.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")))
     picked = [
         F.when(F.col("f_size") >= min_docs, F.col(f"f_{m.name}_{end}"))
         .when(F.col("c_size") >= min_docs, F.col(f"c_{m.name}_{end}"))
-        .otherwise(F.col(f"t_{m.name}_{end}"))
+        .otherwise(F.lit(of_all[f"{m.name}_{end}"]))
         .alias(f"{m.name}_{end}")
         for m in METRICS for end in ("low", "high")
     ]
