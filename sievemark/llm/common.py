@@ -13,7 +13,8 @@ from sievemark.session import materialize
 
 ROW = "__row"
 #: Rows that cross into Python at once; texts keep a batch at some megabytes.
-BATCH = 1024
+BATCH = 512
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 PerText = Callable[..., tuple]
 
@@ -23,6 +24,14 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; lowers the session's Arrow batch size, since texts are long for the default of 10,000 rows."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING, "10000")) <= BATCH:
+        conf.set(_BATCH_SETTING, str(BATCH))
+    return df
+
+
 def per_text(
     df: DataFrame, column: str, make: Callable[[], PerText], fields: str, keep: Sequence[str] | None = None,
     also: str | None = None,
@@ -54,7 +63,7 @@ def per_text(
                     [batch.column(c) for c in kept] + columns, names=kept + added.names
                 )
 
-    return needed.mapInArrow(run, schema)
+    return small_batches(needed).mapInArrow(run, schema)
 
 
 def with_rows(df: DataFrame, label: str) -> DataFrame:

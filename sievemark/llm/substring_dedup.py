@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.common import BATCH, ROW, per_text, texts_of, with_rows
+from sievemark.llm.common import BATCH, ROW, per_text, small_batches, texts_of, with_rows
 from sievemark.session import materialize
 
 #: A random 32-bit number per byte value.
@@ -89,11 +89,11 @@ def chunk_table(rows: DataFrame, text: str, doc_id: str) -> DataFrame:
                 )
 
     needed = rows.select(ROW, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return needed.mapInArrow(run, _CHUNKS)
+    return small_batches(needed).mapInArrow(run, _CHUNKS)
 
 
 def taken_chunks(chunks: DataFrame) -> DataFrame:
-    """(row, taken): the digests of each document that an earlier one has, with its id.
+    """(row, __taken): the digests of each document that an earlier one has, with its id.
 
     Counts by 64 bits of the digest come first; only chunks that may repeat go on to whole digests.
     """
@@ -103,7 +103,7 @@ def taken_chunks(chunks: DataFrame) -> DataFrame:
     first = maybe.groupBy("k1", "k2").agg(F.min(order).alias("first"), F.count("*").alias("__n")).filter("__n > 1")
     later = maybe.join(first, ["k1", "k2"]).filter(F.col("first.row") != F.col(ROW))
     taken = F.collect_list(F.struct("k1", "k2", F.col("first.id").alias("id")))
-    return materialize(later.groupBy(ROW).agg(taken.alias("taken")), "chunk-taken")
+    return materialize(later.groupBy(ROW).agg(taken.alias("__taken")), "chunk-taken")
 
 
 RESULT = "__cut binary, n_chunks long, n_deleted long, deleted_bytes long, spans array<struct<start:int,bytes:int>>, copied_from array<long>"
@@ -163,5 +163,5 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     names = [c for c in docs.columns if c not in added]
     rows = with_rows(docs.select(*names), "chunk-input")
     taken = taken_chunks(chunk_table(rows, text, doc_id))
-    cut = per_text(rows.join(taken, ROW, "left"), text, lambda: without_chunks(min_run), RESULT, also="taken")
+    cut = per_text(rows.join(taken.hint("merge"), ROW, "left"), text, lambda: without_chunks(min_run), RESULT, also="__taken")
     return cut.select(*[F.col("__cut").cast("string").alias(c) if c == text else F.col(c) for c in names], *added)
