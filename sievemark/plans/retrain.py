@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievemark.operators.feedback import feedback_cap, feedback_train, feedback_trim
 from sievemark.operators.metrics import promotion
-from sievemark.operators.model import cross_validate, cross_validation_summary, evaluate, train
+from sievemark.operators.model import cross_validate, cross_validation_summary, evaluate, score, train
 from sievemark.operators.splits import kfold_stratified
 from sievemark.session import materialize, small_frame
 from sievemark.sources.readers import RETRAIN_LOG_SCHEMA
@@ -36,12 +39,55 @@ def stack_feedback(base: DataFrame, feedback: DataFrame, features: Sequence[str]
     return base.select("sample_id", *features, F.col(label).cast("int").alias(label)).unionByName(spread)
 
 
+def save_version(model: PipelineModel, root: str) -> str:
+    """Save a model beside the earlier ones; it is current once its line in the log is written."""
+    spark = SparkSession.active()
+    path = f"{root}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    line = small_frame(spark, [(path,)], "path string").withColumn("saved_at", F.current_timestamp().cast("string"))
+    line.write.mode("append").json(f"{root}/versions")
+    return path
+
+
+def current_model(spark: SparkSession, root: str) -> PipelineModel | None:
+    """The model saved last, or none."""
+    try:
+        versions = spark.read.schema("path string, saved_at string").json(f"{root}/versions")
+    except AnalysisException:  # no model yet
+        return None
+    newest = versions.orderBy(F.desc("saved_at")).first()
+    return PipelineModel.load(newest["path"]) if newest else None
+
+
+def score_stored(df: DataFrame, root: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows scored by the current model of a folder."""
+    model = current_model(df.sparkSession, root)
+    if model is None:
+        raise ValueError(f"no model in {root}")
+    return score(model, df, keep)
+
+
+def on_feedback(
+    base: DataFrame, holdout: DataFrame, features: Sequence[str], model_path: str, log_path: str, **settings,
+) -> Callable[[DataFrame], None]:
+    """What ``stream_feedback`` calls when a retrain is due: cap, trim, train, compare, promote."""
+
+    def run(stored: DataFrame) -> None:
+        usable = feedback_train(feedback_trim(feedback_cap(stored)))
+        retrain(base, usable, holdout, features, current_model(base.sparkSession, model_path), model_path, log_path, **settings)
+
+    return run
+
+
 def retrain(
     base: DataFrame, feedback: DataFrame, holdout: DataFrame, features: Sequence[str],
     current: PipelineModel | None, model_path: str, log_path: str,
     label: str = "label", folds: int = 5, min_samples: int = MIN_SAMPLES, kind: str = "forest", **settings,
 ) -> Retrained:
-    """Train a candidate and replace the current model only if the holdout says so."""
+    """Train a candidate and make it the current model only if the holdout says so.
+
+    ``model_path`` is a folder of versions: the model in use stays whole until the next is complete.
+    """
     spark = base.sparkSession
     stacked = materialize(stack_feedback(base, feedback, features, label), "training")
     n, n_feedback = stacked.count(), feedback.count()
@@ -58,7 +104,7 @@ def retrain(
     verdict = decision.first()
     promoted = current is None or verdict["promoted"]
     if promoted:
-        candidate.write().overwrite().save(model_path)
+        save_version(candidate, model_path)
     entry = small_frame(spark, [(
         None, float(cv), n_feedback, n, kind, "promoted" if promoted else "archived", promoted, verdict["reason"],
         [(k, verdict[k]) for k in ("f1_delta", "balanced_accuracy_delta", "auc_roc_delta")],

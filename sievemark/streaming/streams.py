@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemark.functions.columns import col
-from sievemark.operators.feedback import RETRAIN_EVERY, gate_table, retrain_due
+from sievemark.operators.feedback import RETRAIN_EVERY, gate_table
 from sievemark.operators.impute import Fill, apply_fills
 from sievemark.session import scratch_path
 
@@ -74,25 +75,37 @@ def stream_profile(
     )
 
 
+def _stored_counts(spark: SparkSession, path: str) -> dict[int, int]:
+    """Rows by batch id of a store that earlier runs have left, if any."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException:  # nothing stored yet
+        return {}
+    return {r["batch"]: r["n"] for r in stored.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def stream_feedback(
     stream: DataFrame, path: str, state: str, every: int = RETRAIN_EVERY,
     on_due: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Gate arriving feedback, append what passes, and call back when a retrain is due.
 
-    A batch id names its folder, so a batch repeated after a failure replaces itself.
+    A retrain is due whenever the number of accepted rows passes a multiple of ``every``, be
+    it in the middle of a batch. A batch id names its folder, so a batch repeated after a
+    failure replaces itself. The rows stored before are counted once, at the start.
     """
     spark = stream.sparkSession
+    counts = _stored_counts(spark, path)
+    total = sum(counts.values())
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        accepted = gate_table(batch).filter("is_quality_gated = 1")
-        accepted.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        if on_due is None:
-            return
-        stored = spark.read.parquet(path)
-        verdict = stored.agg(retrain_due(F.count(F.lit(1)), every).alias("due")).first()
-        if verdict["due"]:
-            on_due(stored)
+        nonlocal total
+        folder = f"{path}/batch={batch_id}"
+        gate_table(batch).filter("is_quality_gated = 1").write.mode("overwrite").parquet(folder)
+        before = total - counts.pop(batch_id, 0)
+        total = before + spark.read.parquet(folder).count()
+        if on_due is not None and before // every < total // every:
+            on_due(spark.read.parquet(path))
 
     query = stream.writeStream.foreachBatch(take).option("checkpointLocation", state).trigger(
         availableNow=True

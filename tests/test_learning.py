@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 
 from sievemark.operators import corrupt, feedback, metrics, model, splits
 from sievemark.operators.features import FEATURES8, FEATURES17, features8, features17, with_batches
-from sievemark.plans.retrain import retrain
+from sievemark.plans.retrain import current_model, on_feedback, retrain, score_stored
 from sievemark.sources.readers import read_log
+from sievemark.streaming import streams
 
 
 @pytest.fixture(scope="module")
@@ -61,10 +62,35 @@ def test_retrain_loop(spark, samples, tmp_path):
     done = retrain(samples, stored, samples, ["a", "b"], None, str(tmp_path / "model"), str(tmp_path / "log"), folds=2, kind="single")
     entry = read_log(spark, str(tmp_path / "log")).first()
     assert done.promoted and entry["action"] == "promoted" and entry["total_training_samples"] == 210
+    assert score_stored(samples, str(tmp_path / "model"), ["sample_id"]).count() == 200
+    assert current_model(spark, str(tmp_path / "nothing")) is None
     with pytest.raises(ValueError):
         retrain(samples.limit(3), stored.limit(0), samples, ["a", "b"], None, str(tmp_path / "m2"), str(tmp_path / "l2"))
 
 
+def test_stream_retrains_when_a_multiple_is_passed(spark, samples, tmp_path):
+    vector = F.to_json(F.array(*[F.lit(0.5)] * 8))
+    rows = spark.range(48).select(
+        "id", F.concat(F.lit("h"), F.col("id").cast("string")).alias("dataset_hash"), F.lit(20.0).alias("predicted_score"),
+        F.when(F.col("id") % 2 == 0, 2).otherwise(1).alias("actual_label"), vector.alias("features"), F.col("id").cast("int").alias("timestamp"))
+    for i in range(3):
+        rows.filter(f"id >= {16 * i} AND id < {16 * i + 16}").coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    names = list("abcdefgh")
+    base = samples.select("sample_id", "label", *[(F.col("a") + i).alias(c) for i, c in enumerate(names)])
+    seen = []
+    act = on_feedback(base, base, names, str(tmp_path / "models"), str(tmp_path / "log"), folds=2, kind="single")
+
+    def due(stored):
+        seen.append(stored.count())
+        act(stored)
+
+    streams.stream_feedback(stream, str(tmp_path / "store"), str(tmp_path / "state"), every=20, on_due=due)
+    assert seen == [24]  # 8, 16 and 24 accepted rows
+    assert read_log(spark, str(tmp_path / "log")).first()["feedback_samples"] == 24
+    assert current_model(spark, str(tmp_path / "models")) is not None
+
+
 def test_feedback_edges(spark):
     rows = [(i, "h", 90.0, 0, f, i) for i, f in enumerate(["[1,2,3,4,5,6,7,8]", "[]", "{broken", "[1,2,3,4,5,6,7]", None])]
     df = spark.createDataFrame(rows, "id int, dataset_hash string, predicted_score double, actual_label int, features string, timestamp int")
