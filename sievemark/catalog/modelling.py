@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sievemark.catalog.base import GAPPY, GAPPY_NUMBERS, GAPPY_TEXT, View, each, query, stacked, table, with_t
 from sievemark.operators import corrupt, features, metrics, model, splits
 from sievemark.operators.order import with_row_id
+from sievemark.plans import etl
 from sievemark.session import materialize
 
 _ALL = GAPPY_NUMBERS + GAPPY_TEXT
@@ -122,6 +123,47 @@ def src_batches_by_file(spark, d):
         F.count(F.lit(1)).alias("rows"), F.min("event_id").alias("first_event"))
 
 
+def _etl(spark, d):
+    """Batches of 300 events per type; the twin loses three tenths of its cells."""
+    return etl.build_samples(_OFF.df(spark, d), "dataset", ["event_id"], ["ts", "event_id"], 300, 250, algorithm="md5",
+                             damage=lambda df, dice: corrupt.inject_nulls(df, dice, 0.3))
+
+
+_RUNS = f"SELECT *, (row_number() OVER (PARTITION BY dataset ORDER BY ts, event_id) - 1) // 300 + 1 AS batch_no FROM ({_OFF.sql()}) AS o"
+_USED = f"SELECT *, dataset || '#' || batch_no AS k FROM (SELECT *, count(*) OVER (PARTITION BY dataset, batch_no) AS held FROM ({_RUNS}) AS r) AS h WHERE held >= 250"
+
+
+def _hurt(c: str) -> str:
+    u = f"(CAST('0x' || substr(md5(concat_ws('|', '42', 'null:{c}', CAST(event_id AS VARCHAR), dataset, CAST(batch_no AS VARCHAR))), 1, 13) AS BIGINT) / 4503599627370496.0)"
+    return f"CASE WHEN {u} >= 0.3 THEN {c} END AS {c}"
+
+
+_HURT = f"SELECT event_id, {', '.join(_hurt(c) for c in _O_ALL if c != 'event_id')}, k FROM ({_USED}) AS u"
+
+
+def _etl_sql(source: str, label: int) -> str:
+    body = features17_sql(source, "k")
+    return f"SELECT split_part(k, '#', 1) AS source, CAST(split_part(k, '#', 2) AS BIGINT) AS batch_no, {label} AS label, * EXCLUDE (k) FROM ({body}) AS f{label}"
+
+
+@query("etl_samples", f"{_etl_sql(_USED, 1)} UNION ALL {_etl_sql(_HURT, 0)}")
+def etl_samples(spark, d):
+    return _etl(spark, d).samples.select("source", "batch_no", "label", *[F.round(c, 5).alias(c) for c in features.FEATURES17])
+
+
+@query("etl_errors", f"SELECT dataset AS source, 'batch ' || batch_no || ': rows<250' AS reason FROM ({_RUNS}) AS r GROUP BY dataset, batch_no HAVING count(*) < 250")
+def etl_errors(spark, d):
+    return _etl(spark, d).errors
+
+
+@query("etl_splits", f"""SELECT source, label, CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'val' ELSE 'test' END AS split, count(*) AS n FROM (
+  SELECT dataset AS source, label, CAST('0x' || substr(md5(concat_ws('|', '42', 'split', dataset)), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+  FROM (SELECT DISTINCT dataset, batch_no FROM ({_USED}) AS u) AS b, (VALUES (0), (1)) AS l(label)) AS z GROUP BY 1, 2, 3""")
+def etl_splits(spark, d):
+    return etl.split_samples(materialize(_etl(spark, d).samples, "samples"), algorithm="md5").groupBy("source", "label", "split").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 _DOC = ["n_chars", "words", "lines"]
 
 
