@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col, column_classes
+from sievemark.functions.hashing import row_digests
 from sievemark.functions.stats import coef_variation, kurt_adjusted, skew_adjusted
 from sievemark.operators.correlation import heatmap_cells
 from sievemark.operators.infer import mixed_type_columns
@@ -59,7 +60,8 @@ def _distincts(df: DataFrame, key: list[str], data: Sequence[str]) -> DataFrame:
 
 
 def _copies(df: DataFrame, key: list[str], data: Sequence[str]) -> DataFrame:
-    groups = df.groupBy(*key, *[col(c) for c in data]).agg(F.count(F.lit(1)).alias("_n"))
+    slim = df.select(*[col(k) for k in key], *row_digests(df, data))
+    groups = slim.groupBy(*key, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
     return groups.groupBy(*key).agg(
         (1 - F.count(F.lit(1)) / F.sum("_n")).alias("duplicate_ratio")
     )
