@@ -86,7 +86,7 @@ class Metric:
 METRICS = (
     Metric("symbols", "n_symbols / n_words", 0.25),
     Metric("copied_lines", "n_dup_lines / n_lines", 0.3),
-    Metric("repeats", "n_repeat_words / n_words", 0.1),
+    Metric("repeats", "n_repeat_words / n_words", 0.18),
     Metric("word_length", "word_chars / n_words", 3.0, both_sides=True),
 )
 ACCURACY = 0.01
