@@ -1,7 +1,7 @@
 """Exact linear-interpolated quantiles without a shuffle of the data.
 
 ``percentile`` keeps a map of distinct values in one task, which is fine only while that
-map is known to be small. Larger tables go through sampled selection: a small sample
+map is known to be small. Tables go through sampled selection instead: a small sample
 proposes an interval around each wanted order statistic, one scan counts the values under,
 inside and over every interval, and the interval shrinks until what lies inside is few
 enough to sort. The sample only proposes; the counts decide, so the answer is exact, and a
@@ -21,7 +21,7 @@ from sievemark.functions.columns import col
 from sievemark.operators.reshape import number
 from sievemark.session import small_frame
 
-DIRECT_LIMIT = 100_000  # rows up to which one in-memory percentile is used
+DIRECT_LIMIT = 0  # rows up to which one in-memory percentile is used; by default every size takes the same path
 INSIDE_LIMIT = 500_000  # values of an interval that may be sorted in one task
 _CACHED_CELLS = 50_000_000
 _MIN_SAMPLE, _MAX_SAMPLE = 40_000, 1_000_000
@@ -225,7 +225,7 @@ def exact_quantiles(
         }
     # A table of a few hundred megabytes is spread over all cores and kept for the passes;
     # a larger one is scanned again each time, as its files are already spread.
-    small = rows * len(columns) <= _CACHED_CELLS
+    small = inside < rows and rows * len(columns) <= _CACHED_CELLS
     if small:
         tasks = df.sparkSession.sparkContext.defaultParallelism
         df = df.repartition(tasks, *[col(c) for c in columns]).persist()
