@@ -26,7 +26,14 @@ _CARD = r"(?<![\w-])(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}(?:-\d{4}){2}-\
 #: Forms of address by gender; a name is one or two capitalised words behind one.
 MALE = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Don", "Господин", "Г-н", "Κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Señorita", "Doña", "Госпожа", "Г-жа", "Κυρία")
-_TITLE = rf"(?<![\p{{L}}])(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.? "
+
+
+def _either_case(titles: tuple[str, ...]) -> str:
+    """The titles as they are or in capitals, longer ones first."""
+    return "|".join(sorted({*titles, *(t.upper() for t in titles)}, key=lambda t: (-len(t), t)))
+
+
+_TITLE = rf"(?<![\p{{L}}])(?:{_either_case(MALE + FEMALE)})\.? "
 _WORD = r"\p{Lu}[\p{L}'’-]+"
 _NAME = rf"{_TITLE}{_WORD}(?: {_WORD})?"
 #: In order of preference where several could match.
@@ -69,7 +76,7 @@ def _script(word: Column) -> Column:
 
 
 def _gender(match: Column) -> Column:
-    return F.when(match.rlike(rf"^(?:{'|'.join(FEMALE)})\.? "), "f").otherwise("m")
+    return F.when(match.rlike(rf"^(?:{_either_case(FEMALE)})\.? "), "f").otherwise("m")
 
 
 def _words(match: Column) -> Column:
@@ -243,7 +250,7 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     order = F.array_sort(F.collect_list(F.struct("at", "new", "kind")))
     changes = materialize(mentions.join(new, "match").groupBy(ROW).agg(order.alias("__changes")), "pii-changes")
-    joined = rows.join(changes, ROW)
+    joined = rows.join(changes.hint("merge"), ROW)
     gaps = F.split(F.col(text), ENTITY, -1)
     whole = F.array_join(F.zip_with(gaps, F.col("__changes.new"), lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
     out = [whole.alias(c) if c == text else F.col(c) for c in names]
