@@ -117,19 +117,20 @@ def _concentration(children: DataFrame, parent_mean: str) -> float:
     return 1 / rate - 1
 
 
-def host_reputation(outcomes: DataFrame, bound: float = 0.05) -> DataFrame:
+def host_reputation(outcomes: DataFrame, bound: float = 0.05, prior: tuple[float, float] = (1.0, 9.0)) -> DataFrame:
     """(host, n, bad, rate, low): shrunken share of bad pages of each host and its lower posterior bound.
 
     ``outcomes`` has ``host`` and ``bad`` (0, 1, or null where no label is known). A suffix
     is drawn towards the rate of all pages, a domain towards its suffix, a host towards its domain, each
-    by a beta prior whose strength is estimated from all groups of that level.
+    by a beta prior whose strength is estimated from all groups of that level. The rate of all
+    pages itself starts from ``prior`` bad and good pages, so that a few labels decide nothing.
     """
     hosts = materialize(
         with_levels(outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))),
         "host-counts",
     )
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    root = ((total["bad"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)
+    root = ((total["bad"] or 0) + prior[0]) / ((total["n"] or 0) + sum(prior))
 
     def shrunk(table: DataFrame, parent: str, name: str) -> tuple[DataFrame, float]:
         s = _concentration(table, parent)
