@@ -75,6 +75,15 @@ def with_rows(df: DataFrame, label: str) -> DataFrame:
     return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), label)
 
 
+def apart(groups: DataFrame, label: str) -> DataFrame:
+    """Write a table of groups that is joined back to the rows it was made from.
+
+    Planned together, both would share one shuffle, and a group with very many rows would
+    stay in one task; a join of two shuffles of their own is split where it is skewed.
+    """
+    return materialize(groups, label)
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(a, b): every node of an edge list (a, b) but the smallest of its component, and that smallest.
 
@@ -92,9 +101,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             return now
         seen = state
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = apart(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), label)
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = materialize(large, label)
+        lowest = apart(large.groupBy("a").agg(F.min("b").alias("m")), label)
         met = large.join(lowest, "a")
         small = met.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialize(small.unionAll(lowest.select("a", F.col("m").alias("b"))).distinct(), label)

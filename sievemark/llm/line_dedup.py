@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.common import BATCH, ROW, per_text, texts_of, with_rows
+from sievemark.llm.common import BATCH, ROW, apart, per_text, small_batches, texts_of, with_rows
 from sievemark.session import materialize
 
 _LINES = f"{ROW} long, doc_id long, ln int, h1 long, h2 long, upto long"
@@ -62,7 +62,7 @@ def split_lines(rows: DataFrame, text: str, doc_id: str) -> DataFrame:
                 )
 
     needed = rows.select(ROW, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return needed.mapInArrow(run, _LINES)
+    return small_batches(needed).mapInArrow(run, _LINES)
 
 
 def sequence(lines: DataFrame) -> DataFrame:
@@ -75,6 +75,7 @@ def sequence(lines: DataFrame) -> DataFrame:
 def _buckets(suffixes: DataFrame, keys: list[str], label: str) -> DataFrame:
     """(pos, name): suffixes that share their keys with another, named by the first of them."""
     shared = suffixes.groupBy(*keys).agg(F.min("pos").alias("__first"), F.count("*").alias("__n")).filter("__n > 1")
+    shared = apart(shared.drop("__n"), label)
     return materialize(suffixes.join(shared, keys).select("pos", F.col("__first").alias("name")), label)
 
 
@@ -125,13 +126,13 @@ def repeated_runs(seq: DataFrame) -> DataFrame:
 
 
 def later_copies(seq: DataFrame, min_words: int) -> DataFrame:
-    """(row, spans): the runs of at least ``min_words`` words to delete, as [first line, lines] of each document."""
+    """(row, __spans): the runs of at least ``min_words`` words to delete, as [first line, lines] of each document."""
     at = seq.select("pos", ROW, "ln", "upto")
     ends = seq.select(F.col("pos").alias("__end"), F.col("upto").alias("__upto"))
     runs = repeated_runs(seq).join(at, "pos").join(ends, F.col("pos") + F.col("len") == F.col("__end"))
     long = runs.filter(F.col("__upto") - F.col("upto") >= min_words)
     spans = F.collect_list(F.struct("ln", F.col("len").cast("int").alias("len")))
-    return materialize(long.groupBy(ROW).agg(spans.alias("spans")), "line-spans")
+    return materialize(long.groupBy(ROW).agg(spans.alias("__spans")), "line-spans")
 
 
 def without_lines(text: bytes | None, spans: list[dict] | None) -> tuple[bytes | None, int, int]:
@@ -170,7 +171,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     def make() -> Callable[..., tuple]:
         return without_lines
 
-    cut = per_text(rows.join(spans, ROW, "left"), text, make, fields, also="spans")
+    cut = per_text(rows.join(spans.hint("merge"), ROW, "left"), text, make, fields, also="__spans")
     names = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
     out = [F.col("__cut").cast("string").alias(c) if c == text else F.col(c) for c in names]
     return cut.select(*out, "n_lines", "n_deleted")
