@@ -8,12 +8,14 @@ number of rows, so no key, however hot, makes a task larger than a bucket.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col
+from sievemark.functions.hashing import row_hash
 from sievemark.session import materialize, small_frame
 
 BUCKET_ROWS = 65_536
@@ -39,13 +41,16 @@ def same_keys(names: Sequence[str], prefix: str) -> Column:
 def number_rows(
     df: DataFrame, order_by: Sequence[OrderKey], name: str = "_row_id", partitions: int | None = None
 ) -> tuple[DataFrame, int]:
-    """(numbered rows, row count): numbers 1..n in the given order, which should be total.
+    """(numbered rows, row count): numbers 1..n in the given order; a hash of the row breaks ties.
 
-    One range shuffle. The sorted rows are written once to shared scratch, because the
+    So numbers do not depend on chance, and a key with few values is still dealt to many
+    tasks. One range shuffle. The sorted rows are written once to shared scratch, because the
     offsets and the numbers must come from the same partitioning. What comes back to the
     driver is one size per range partition.
     """
     keys = _keys(order_by)
+    if not re.search(r"\b(map|variant)\b", df.schema.simpleString().split("<", 1)[1]):  # these have no hash
+        keys = [*keys, row_hash(df)]
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(
