@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.common import BATCH, ROW, per_text, small_batches, texts_of, with_rows
+from sievemark.llm.common import BATCH, ROW, apart, per_text, small_batches, texts_of, with_rows
 from sievemark.session import materialize
 
 #: A random 32-bit number per byte value.
@@ -101,6 +101,7 @@ def taken_chunks(chunks: DataFrame) -> DataFrame:
     maybe = materialize(chunks.join(often, "k1"), "chunk-repeats")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(ROW).alias("row"))
     first = maybe.groupBy("k1", "k2").agg(F.min(order).alias("first"), F.count("*").alias("__n")).filter("__n > 1")
+    first = apart(first, "chunk-first")
     later = maybe.join(first, ["k1", "k2"]).filter(F.col("first.row") != F.col(ROW))
     taken = F.collect_list(F.struct("k1", "k2", F.col("first.id").alias("id")))
     return materialize(later.groupBy(ROW).agg(taken.alias("__taken")), "chunk-taken")
