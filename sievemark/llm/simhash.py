@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.common import ROW, components, per_text, with_rows
+from sievemark.llm.common import ROW, apart, components, per_text, with_rows
 from sievemark.session import materialize
 
 _AT_ONCE = 1 << 15  # shingles hashed between two bit counts
@@ -69,6 +69,7 @@ def near_links(values: DataFrame, blocks: int = 4, dense: int = 64) -> DataFrame
     keys = F.array(*[F.struct(F.lit(i).alias("k"), fp.bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)])
     buckets = values.select("fp", F.explode(keys).alias("at")).select("fp", "at.k", "at.key")
     sizes = buckets.groupBy("k", "key").agg(F.count("*").alias("size")).filter("size > 1")
+    sizes = apart(sizes, "simhash-sizes")
     members = materialize(buckets.join(sizes, ["k", "key"]), "simhash-buckets")
 
     sparse = members.filter(F.col("size") <= dense)
@@ -105,7 +106,8 @@ def component_heads(marked: DataFrame, head: Column) -> DataFrame:
     links = near_links(own.select(F.col("fingerprint").alias("fp")))
     roots = components(links, "simhash-links").select(F.col("a").alias("fingerprint"), F.col("b").alias("root"))
     rooted = own.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    heads = rooted.groupBy("root").agg(F.min("own").alias("head"))
+    rooted = materialize(rooted, "simhash-roots")
+    heads = apart(rooted.groupBy("root").agg(F.min("own").alias("head")), "simhash-heads")
     return rooted.join(heads, "root").select("fingerprint", "head")
 
 
@@ -134,4 +136,4 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     marked = materialize(with_fingerprints(rows.select(doc_id, text, ROW), text, keep=[doc_id, ROW]), "near-marks")
     order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(ROW).alias("row"))
     kept = component_heads(marked, order).select(F.col("head.row").alias(ROW)).distinct()
-    return rows.join(kept, ROW, "left_semi").select(*names)
+    return rows.join(kept.hint("merge"), ROW, "left_semi").select(*names)
