@@ -80,12 +80,14 @@ def _unique(names: list[str]) -> list[str]:
 
 def snake_names(names: list[str]) -> list[str]:
     """snake_case of every name; clashes get a numeric suffix."""
+    # Which characters become an underscore.
     snake = [re.sub(r"[^a-z0-9]+", "_", n.strip().lower()).strip("_") for n in names]
     return _unique([s or "column" for s in snake])
 
 
 def simple_names(names: list[str]) -> list[str]:
     """Trimmed lower case with spaces and hyphens turned into underscores."""
+    # The two characters that are replaced.
     return _unique([n.strip().lower().replace(" ", "_").replace("-", "_") for n in names])
 
 

@@ -19,6 +19,7 @@ from sievemark.operators.rows import all_null, drop_empty_rows
 from sievemark.session import materialize, small_frame
 
 
+# Names and defaults of the options.
 @dataclass(frozen=True)
 class CleaningProfile:
     drop_empty_rows: bool = True
