@@ -165,17 +165,17 @@ def adaptive_limits(counted: DataFrame, lang: str, source: str, min_docs: int =
         .alias(f"{m.name}_{end}")
         for m in METRICS for end in ("low", "high")
     ]
-    return merged.select("g_lang", "g_source", *picked)
+    return materialize(merged.select("g_lang", "g_source", *picked), "quality-limits")
 
 
-def judge(counted: DataFrame, lang: str = "lang", source: str = "source", min_docs: int = 100, reach: float = 3.0) -> DataFrame:
-    """Append ``kept`` to a written table with base counts.
+def judge(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """Append ``kept`` to a table with base counts.
 
     A document stays if it passes the base rules and each metric lies within the limits of its
-    language and source. The limits are one row per group and join on it; Spark sends the
-    table to all tasks if it measures small, and else splits the partitions of large sources.
+    language and source. The limits are a written table with one row per group: its size is known
+    when the join is planned, so Spark sends it to all tasks if it is small, and else splits the
+    partitions of large sources.
     """
-    limits = adaptive_limits(counted, lang, source, min_docs, reach)
     same = counted[lang].eqNullSafe(limits["g_lang"]) & counted[source].eqNullSafe(limits["g_source"])
     inside = F.lit(True)
     for m in METRICS:
@@ -193,13 +193,19 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     name of a count are replaced.
     """
     rest = [c for c in docs.columns if c != text]
-    return judge(materialize(with_base_counts(docs, text, keep=rest), "quality-counts"), lang, source)
+    counted = materialize(with_base_counts(docs, text, keep=rest), "quality-counts")
+    return judge(counted, adaptive_limits(counted, lang, source), lang, source)
 
 
 def keep_quality(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The documents that the rules keep, unchanged."""
+    """The documents that the rules keep, unchanged.
+
+    The counts are written without the texts to find the limits, and made again where the
+    texts are filtered: counting costs less than another copy of the corpus.
+    """
     own = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(docs.columns)])
     at = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
-    counted = materialize(with_base_counts(own, at[text]), "quality-counted")
-    kept = judge(counted, at[lang], at[source]).filter("kept")
+    counted = materialize(with_base_counts(own, at[text], keep=[at[lang], at[source]]), "quality-counts")
+    limits = adaptive_limits(counted, at[lang], at[source])
+    kept = judge(with_base_counts(own, at[text]), limits, at[lang], at[source]).filter("kept")
     return kept.select(*[F.col(a).alias(c) for c, a in at.items()])
