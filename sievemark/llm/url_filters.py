@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -102,19 +102,41 @@ def beta_quantile(p: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (low + high) / 2
 
 
+#: Prior strengths tried, and the log of a weak prior over them that decides where counts do not.
+STRENGTHS = np.geomspace(1, 999, 40)
+_LEANING = -0.5 * (np.log(STRENGTHS / 10) / 1.5) ** 2
+
+
+def log_likelihoods(n: np.ndarray, bad: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Log marginal likelihood of beta-binomial counts at each of ``STRENGTHS``, summed over the groups."""
+    n, bad, s = n[:, None].astype(float), bad[:, None].astype(float), STRENGTHS[None]
+    a = np.clip(mean[:, None], 1e-9, 1 - 1e-9) * s
+    g = _log_gamma
+    value = g(a + bad) - g(a) + g(s - a + n - bad) - g(s - a) - g(s + n) + g(s + 0 * n)
+    return value.sum(axis=0)
+
+
 def _concentration(children: DataFrame, parent_mean: str) -> float:
-    """Prior strength of a level from the over-dispersion of its counts (method of moments).
+    """Prior strength of a level: the most likely one for the counts of its groups.
 
-    For beta-binomial counts, (x - n m)^2 has the mean n m (1 - m) (1 + (n - 1) r) with r = 1 / (s + 1).
+    The evidence of a group grows with the logarithm of its size, so that one large group does
+    not decide for all. ``parent_mean`` must leave out the group's own counts.
     """
-    m, n, x = F.col(parent_mean), F.col("n"), F.col("bad")
-    spread = m * (1 - m)
-    row = children.filter("n > 0").agg(
-        F.sum((x - n * m) * (x - n * m) - n * spread).alias("over"), F.sum(n * (n - 1) * spread).alias("room")
-    ).first()
-    rate = row["over"] / row["room"] if row["room"] else 0.0
-    rate = min(0.5, max(1e-3, rate))
-    return 1 / rate - 1
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(STRENGTHS))
+        for f in frames:
+            for i in range(0, len(f), 2048):
+                part = f.iloc[i : i + 2048]
+                total += log_likelihoods(*(part[c].to_numpy() for c in ("n", "bad", "mean")))
+        yield pd.DataFrame({"i": np.arange(len(STRENGTHS)), "value": total})
+
+    own = children.filter("n > 0").select("n", "bad", F.col(parent_mean).alias("mean"))
+    sums = own.mapInPandas(run, "i int, value double").groupBy("i").agg(F.sum("value").alias("value")).collect()
+    value = _LEANING.copy()
+    for row in sums:
+        value[row["i"]] += row["value"]
+    return float(STRENGTHS[int(np.argmax(value))])
 
 
 def host_reputation(outcomes: DataFrame, bound: float = 0.05, prior: tuple[float, float] = (1.0, 9.0)) -> DataFrame:
@@ -122,26 +144,33 @@ def host_reputation(outcomes: DataFrame, bound: float = 0.05, prior: tuple[float
 
     ``outcomes`` has ``host`` and ``bad`` (0, 1, or null where no label is known). A suffix
     is drawn towards the rate of all pages, a domain towards its suffix, a host towards its domain, each
-    by a beta prior whose strength is estimated from all groups of that level. The rate of all
-    pages itself starts from ``prior`` bad and good pages, so that a few labels decide nothing.
+    by a beta prior whose strength is estimated from all groups of that level. What a group is drawn towards
+    leaves out its own counts, at each level above it. The rate of all pages itself starts from ``prior`` bad and good pages, so that a few labels decide nothing.
     """
     hosts = materialize(
         with_levels(outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))),
         "host-counts",
     )
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    root = ((total["bad"] or 0) + prior[0]) / ((total["n"] or 0) + sum(prior))
-
-    def shrunk(table: DataFrame, parent: str, name: str) -> tuple[DataFrame, float]:
-        s = _concentration(table, parent)
-        return table.withColumn(name, (F.col(parent) * s + F.col("bad")) / (F.col("n") + s)), s
-
+    n, bad = F.col("n"), F.col("bad")
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    suffixes, _ = shrunk(hosts.groupBy("suffix").agg(*sums).withColumn("root", F.lit(root)), "root", "suffix_rate")
-    domains = hosts.groupBy("domain", "suffix").agg(*sums).join(suffixes.select("suffix", "suffix_rate"), "suffix")
-    domains, _ = shrunk(materialize(domains, "domains"), "suffix_rate", "domain_rate")
-    joined = materialize(hosts.join(domains.select("domain", "domain_rate"), "domain"), "hosts")
-    rated, strength = shrunk(joined, "domain_rate", "rate")
+
+    def without(mean: Column, strength: float, level: str) -> Column:
+        """The rate of the level above without the counts of the group itself."""
+        return (mean * strength + F.col(f"{level}_bad") - bad) / (F.col(f"{level}_n") - n + strength)
+
+    every = lambda t, level: t.withColumnRenamed("n", f"{level}_n").withColumnRenamed("bad", f"{level}_bad")
+    rest = (total["bad"] or 0) + prior[0] - bad
+    suffixes = hosts.groupBy("suffix").agg(*sums).withColumn("root_mean", rest / ((total["n"] or 0) + sum(prior) - n))
+    suffixes = materialize(suffixes, "suffixes")
+    strength = _concentration(suffixes, "root_mean")
+    domains = hosts.groupBy("domain", "suffix").agg(*sums).join(every(suffixes, "suffix"), "suffix")
+    domains = materialize(domains.select("domain", "n", "bad", without(F.col("root_mean"), strength, "suffix").alias("suffix_mean")), "domains")
+    strength = _concentration(domains, "suffix_mean")
+    joined = hosts.join(every(domains, "domain"), "domain")
+    joined = materialize(joined.select("host", "n", "bad", without(F.col("suffix_mean"), strength, "domain").alias("domain_rate")), "hosts")
+    strength = _concentration(joined, "domain_rate")
+    rated = joined.withColumn("rate", (F.col("domain_rate") * strength + bad) / (n + strength))
 
     @F.pandas_udf("double")
     def low(a: pd.Series, b: pd.Series) -> pd.Series:

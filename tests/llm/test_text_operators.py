@@ -527,6 +527,20 @@ def test_reputation_blocks_bad_hosts(spark):
     assert levels == {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "x": ("x", "x"), "": ("", ""), "m.a.org": ("a.org", "org")}
 
 
+@pytest.mark.parametrize("hot", [0, 12000])
+@pytest.mark.parametrize("single", [False, True])
+def test_reputation_under_skew(spark, hot, single):
+    """A bad host is blocked and unknown ones pass, also beside a very large host or one host to a domain."""
+    name = (lambda i: f"www.site{i}.org") if single else (lambda i: f"h{i}.example.org")
+    counts = [(name(i), 40, int(i % 10 == 0)) for i in range(500)] + [(name(900), 60, 60), (name(901), 1, 1), (name(902), 0, 0)]
+    counts += [(name(903), hot, 0)] * (hot > 0)
+    rows = [(h, int(j < bad)) for h, n, bad in counts for j in range(n)] + [(name(902), None)]
+    got = {r.host: r for r in url_filters.host_reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
+    assert got[name(900)].low > 0.5
+    assert all(r.low < 0.5 for h, r in got.items() if h != name(900))
+    assert got[name(902)].rate < 0.05
+
+
 def test_url_filter_odd_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.org/"), (1, "http://a.org/"), (None, None)], "page_id long, url string")
     labels = spark.createDataFrame([(1, 0, 1), (1, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
