@@ -1,10 +1,9 @@
-"""Line dedup: repeated runs of lines from suffix buckets made by distributed prefix doubling.
+"""Line dedup: repeated runs of lines from their shortest windows with enough words.
 
-All lines form one sequence, documents in the order of their ids, with a mark between two
-documents. Suffixes start at its positions. Doubling round k puts those that share their first
-2^k lines into one bucket, named by its first position; a suffix alone in its bucket is settled and
-leaves the work. A bucket is an interval of the suffix array whose longest common prefix
-is 2^k or more. The exact length of a common prefix follows from the rounds in reverse.
+A run that stands earlier does so with each part of it. Of each line, take the shortest window of lines that
+starts there and has enough words, and the shortest that ends there. Every run with enough words
+is the union of such windows in it, so that exactly the lines of windows that stand earlier go: no source
+has to be chosen and no length to be found.
 """
 
 from __future__ import annotations
@@ -20,119 +19,74 @@ from pyspark.sql import functions as F
 from sievemark.llm.common import BATCH, ROW, apart, per_text, small_batches, texts_of, with_rows
 from sievemark.session import materialize
 
-_LINES = f"{ROW} long, doc_id long, ln int, h1 long, h2 long, upto long"
+_WINDOWS = f"{ROW} long, doc_id long, ln int, len int, h1 long, h2 long"
 
 
-def split_lines(rows: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """A row per line with a word: its number among these, a 128-bit digest, the words before it.
+def windows_of(upto: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(first line, line after the last) of the shortest windows from each line and to each line.
 
-    One more row per document, with null digests, ends its lines.
+    ``upto`` has the words before each line, and all words at its end.
     """
+    found, n, e, i = set(), len(upto) - 1, 0, 0
+    for start in range(n):
+        e = max(e, start + 1)
+        while e < n and upto[e] - upto[start] < min_words:
+            e += 1
+        if upto[e] - upto[start] < min_words:
+            break
+        found.add((start, e))
+    for end in range(1, n + 1):
+        while i + 1 < end and upto[end] - upto[i + 1] >= min_words:
+            i += 1
+        if upto[end] - upto[i] >= min_words:
+            found.add((i, end))
+    return sorted(found)
+
+
+def line_windows(rows: DataFrame, text: str, doc_id: str, min_words: int) -> DataFrame:
+    """A row per window: its first line among those with a word, its lines, a 128-bit digest of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
-                counts, numbers, upto, digests, ends = [], [], [], bytearray(), []
+                counts, first, size, digests = [], [], [], bytearray()
                 for t in texts_of(batch, "__text"):
-                    words = ln = 0
+                    upto, own = [0], bytearray()
                     for line in (t or b"").split(b"\n"):
                         if n := len(line.split()):
-                            numbers.append(ln)
-                            upto.append(words)
-                            digests += xxhash.xxh3_128_digest(line)
-                            words += n
-                            ln += 1
-                    ends.append(len(numbers))
-                    numbers.append(ln)
-                    upto.append(words)
-                    digests += bytes(16)
-                    counts.append(ln + 1)
+                            own += xxhash.xxh3_128_digest(line)
+                            upto.append(upto[-1] + n)
+                    windows = windows_of(upto, min_words)
+                    for i, e in windows:
+                        first.append(i)
+                        size.append(e - i)
+                        digests += xxhash.xxh3_128_digest(own[16 * i : 16 * e])
+                    counts.append(len(windows))
                 of = pa.array(np.repeat(np.arange(batch.num_rows), counts))
                 pair = np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
-                none = np.zeros(len(numbers), bool)
-                none[ends] = True
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(of), batch.column(1).take(of), pa.array(numbers, pa.int32()),
-                        pa.array(pair[:, 0], pa.int64(), mask=none), pa.array(pair[:, 1], pa.int64(), mask=none),
-                        pa.array(upto, pa.int64()),
+                        batch.column(0).take(of), batch.column(1).take(of), pa.array(first, pa.int32()),
+                        pa.array(size, pa.int32()), pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64()),
                     ],
-                    names=[ROW, "doc_id", "ln", "h1", "h2", "upto"],
+                    names=[ROW, "doc_id", "ln", "len", "h1", "h2"],
                 )
 
     needed = rows.select(ROW, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return small_batches(needed).mapInArrow(run, _LINES)
+    return materialize(small_batches(needed).mapInArrow(run, _WINDOWS), "line-windows")
 
 
-def sequence(lines: DataFrame) -> DataFrame:
-    """Append ``pos``: consecutive within a document, growing with (doc_id, row); null ids come last."""
-    order = [F.col("doc_id").asc_nulls_last(), F.col(ROW)]
-    dealt = materialize(lines, "lines").repartitionByRange(*order).sortWithinPartitions(*order, "ln")
-    return materialize(dealt.withColumn("pos", F.monotonically_increasing_id()).drop("doc_id"), "line-sequence")
+def later_copies(windows: DataFrame) -> DataFrame:
+    """(row, __spans): the windows that stand earlier, as [first line, lines] of each document.
 
-
-def _buckets(suffixes: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """(pos, name): suffixes that share their keys with another, named by the first of them."""
-    shared = suffixes.groupBy(*keys).agg(F.min("pos").alias("__first"), F.count("*").alias("__n")).filter("__n > 1")
-    shared = apart(shared.drop("__n"), label)
-    return materialize(suffixes.join(shared, keys).select("pos", F.col("__first").alias("name")), label)
-
-
-def doubling_rounds(seq: DataFrame) -> list[DataFrame]:
-    """Bucket names for prefixes of 1, 2, 4, ... lines, as long as any bucket has two suffixes.
-
-    A prefix of 2^(k+1) lines can only repeat where both its halves do, so each round works on
-    what the last has left.
-    """
-    rounds = [_buckets(seq.filter("h1 IS NOT NULL").select("pos", "h1", "h2"), ["h1", "h2"], "line-buckets")]
-    while True:
-        here = rounds[-1]
-        ahead = here.select((F.col("pos") - (1 << len(rounds) - 1)).alias("pos"), F.col("name").alias("next"))
-        pairs = materialize(here.join(ahead, "pos"), "line-pairs")
-        longer = _buckets(pairs, ["name", "next"], "line-buckets")
-        if longer.isEmpty():
-            return rounds
-        rounds.append(longer)
-
-
-def repeated_runs(seq: DataFrame) -> DataFrame:
-    """(pos, src, len): maximal runs of ``len`` lines at ``pos`` that stand at ``src`` before.
-
-    ``src`` is the first place of the longest prefix of 2^k lines that ``pos`` shares with an earlier
-    place. Runs that only continue one that began a line before are left out.
+    Earlier is by document id (null ids last), row and line.
     """
-    rounds = doubling_rounds(seq)
-    later = None
-    for k, names in enumerate(rounds):
-        mine = names.filter("name < pos").withColumn("k", F.lit(k))
-        later = mine if later is None else later.unionAll(mine)
-    best = materialize(later.groupBy("pos").agg(F.max("k").alias("k"), F.max_by("name", "k").alias("src")), "line-sources")
-    before = best.select((F.col("pos") + 1).alias("pos"), (F.col("src") + 1).alias("src"))
-    starts = best.join(before, ["pos", "src"], "left_anti")
-    runs = materialize(starts.withColumn("len", F.expr("shiftleft(1L, k)")), "line-runs")
-    for k in range(len(rounds) - 2, -1, -1):
-        mine = rounds[k].select(F.col("pos").alias("__p"), F.col("name").alias("__a"))
-        theirs = rounds[k].select(F.col("pos").alias("__q"), F.col("name").alias("__b"))
-        met = runs.join(mine, F.col("pos") + F.col("len") == F.col("__p"), "left").join(
-            theirs, F.col("src") + F.col("len") == F.col("__q"), "left"
-        )
-        longer = (F.col("k") > k) & (F.col("__a") == F.col("__b"))
-        runs = materialize(
-            met.select("pos", "src", "k", F.when(longer, F.col("len") + (1 << k)).otherwise(F.col("len")).alias("len")),
-            "line-runs",
-        )
-    return runs.select("pos", "src", "len")
-
-
-def later_copies(seq: DataFrame, min_words: int) -> DataFrame:
-    """(row, __spans): the runs of at least ``min_words`` words to delete, as [first line, lines] of each document."""
-    at = seq.select("pos", ROW, "ln", "upto")
-    ends = seq.select(F.col("pos").alias("__end"), F.col("upto").alias("__upto"))
-    runs = repeated_runs(seq).join(at, "pos").join(ends, F.col("pos") + F.col("len") == F.col("__end"))
-    long = runs.filter(F.col("__upto") - F.col("upto") >= min_words)
-    spans = F.collect_list(F.struct("ln", F.col("len").cast("int").alias("len")))
-    return materialize(long.groupBy(ROW).agg(spans.alias("__spans")), "line-spans")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col(ROW).alias("row"), F.col("ln").alias("ln"))
+    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("__first"), F.count("*").alias("__n")).filter("__n > 1")
+    later = windows.join(apart(first.drop("__n"), "line-firsts"), ["h1", "h2"]).filter(place > F.col("__first"))
+    spans = F.collect_list(F.struct("ln", "len"))
+    return materialize(later.groupBy(ROW).agg(spans.alias("__spans")), "line-spans")
 
 
 def without_lines(text: bytes | None, spans: list[dict] | None) -> tuple[bytes | None, int, int]:
@@ -166,7 +120,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     """
     fields = "__cut binary, n_lines long, n_deleted long"
     rows = with_rows(docs.drop("n_lines", "n_deleted"), "line-input")
-    spans = later_copies(sequence(split_lines(rows, text, doc_id)), min_words)
+    spans = later_copies(line_windows(rows, text, doc_id, min_words))
 
     def make() -> Callable[..., tuple]:
         return without_lines

@@ -310,6 +310,35 @@ def test_line_runs_against_brute_force(spark):
         assert got[d] == ("\n".join(kept), len(gone[d]))
 
 
+def defined_runs(documents, min_words):
+    """Deleted line numbers: all lines of every run with enough words that starts at an earlier line too."""
+    seen, gone = set(), collections.defaultdict(set)
+    for d, t in enumerate(documents):
+        own = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", x)]
+        for i in range(len(own)):
+            runs = [(e, tuple(own[i:e])) for e in range(i + 1, len(own) + 1)]
+            for e, run in runs:
+                if run in seen and sum(len(x.split()) for x in run) >= min_words:
+                    gone[d].update(range(i, e))
+            seen.update(run for _, run in runs)
+    return gone
+
+
+def test_line_runs_with_several_sources(spark):
+    random = np.random.default_rng(18)
+    pool = [" ".join([f"l{i}"] * (1 + i % 4)) for i in range(7)]
+    texts = ["a b c\nd e f\nx", "a b c\nd e f\ng h i", "a b c\nd e f\ng h i"]
+    texts += ["\n".join(pool[i] for i in random.integers(0, 7, int(random.integers(0, 12)))) for _ in range(60)]
+    for words in (1, 8):
+        want = defined_runs(texts, words)
+        assert words == 1 or want[2] == {0, 1, 2}
+        got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), min_words=words)
+        for r in got.collect():
+            own = texts[r.doc_id].split("\n") if texts[r.doc_id] else []
+            assert r.text == "\n".join(x for n, x in enumerate(own) if n not in want[r.doc_id])
+            assert r.n_deleted == len(want[r.doc_id])
+
+
 def test_line_dedup_odd_rows(odd, none):
     rows = line_dedup.dedup_lines(odd).collect()
     assert len(rows) == odd.count()
