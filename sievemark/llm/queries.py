@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievemark.llm.conversations import damaged, repair_conversations, repaired_digests
 from sievemark.llm.decontamination import contamination
 from sievemark.llm.language_id import train, training_sample, with_language
 from sievemark.llm.line_dedup import dedup_lines
@@ -85,6 +86,22 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations")
+    repair = repair_conversations(damaged(rows))
+    digests = repaired_digests(repair.turns).withColumnRenamed("conv", "__conv")
+    found = repair.conversations.withColumnRenamed("conv_id", "__id")
+    every = rows.select("conv_id").distinct()
+    both = every.join(found, F.col("conv_id").eqNullSafe(F.col("__id")), "left").join(
+        digests, F.col("conv_id").eqNullSafe(F.col("__conv")), "left"
+    )
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return both.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Run] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -96,6 +113,7 @@ QUERIES: dict[str, Run] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 _BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -173,7 +191,71 @@ FROM counted LEFT JOIN outside ON counted.r = outside.r
 """
 
 
+def _cell(state: str, cost: str, edit: str, line: str = "") -> str:
+    added = f"list_append({state}.rep, {line})" if line else f"{state}.rep"
+    return f"struct_pack(cost := {state}.cost + {cost}, audit := {state}.audit || '{edit}', rep := {added})"
+
+
+def _least(*cells: str) -> str:
+    return f"list_min([{', '.join(cells)}])"
+
+
+def _repair_sql() -> str:
+    """The same minimum over prefixes of the turns, a state for each column and a turn for each round."""
+    user, assistant = "'user:'", "'assistant:'"
+    line, none = "role || ':' || text", "struct_pack(cost := 1000000000, audit := '', rep := CAST([] AS VARCHAR[]))"
+
+    def turn(state: str, initial: str) -> str:
+        given = "user:" if initial == "u" else "assistant:"
+        kept = f"WHEN initial = '{initial}' THEN {_cell(state, 'late', 'K', line)}"
+        other = f"ELSE {_cell(state, '3 + late', 'R', f"'{given}' || text")}" if initial != "s" else f"ELSE {none}"
+        return f"CASE WHEN gone THEN {none} {kept} {other} END"
+
+    insert = lambda s, x: _cell(s, "3", "I", x)
+    t2 = _least(_cell("p.s2", "4", "D"), turn("p.s0", "u"), turn("p.s1", "u"), turn("p.s3", "u"))
+    t3 = _least(_cell("p.s3", "4", "D"), turn("p.s2", "a"))
+    bits = "list_reduce([CAST(b AS BIGINT)] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    return rf"""
+WITH RECURSIVE crc AS (SELECT list({bits} ORDER BY b) AS t FROM (SELECT unnest(range(256)) AS b)),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+hashed AS (SELECT *, xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lambda x: CAST(unicode(x) AS BIGINT)),
+  lambda c, x: xor(c >> 8, t[CAST(xor(c & 255, x) AS BIGINT) + 1])), 4294967295) % 20 AS fault FROM given, crc),
+spoilt AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+  CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM hashed WHERE fault <> 0),
+placed AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+  substr(role, 1, 1) AS initial FROM spoilt),
+told AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][ 	-]*$') AS late,
+  lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM placed),
+rows_ AS (SELECT conv_id, i, role, text, initial, pair, turn, blank, NOT blank AND again AS dup, NOT blank AND NOT again AND late AS cut FROM told),
+coded AS (SELECT conv_id, i, role, text, initial, blank OR dup AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS late FROM rows_),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+  count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM rows_ GROUP BY conv_id),
+parsed AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, struct_pack(cost := 0, audit := '', rep := CAST([] AS VARCHAR[])) AS s0, {none} AS s1,
+    struct_pack(cost := 3, audit := 'I', rep := [{user}]) AS s2, struct_pack(cost := 6, audit := 'II', rep := [{user}, {assistant}]) AS s3
+  FROM sums
+  UNION ALL
+  SELECT conv_id, i, s0, s1, s2, {_least("s3", insert("s2", assistant))} FROM (
+    SELECT conv_id, i, s0, s1, {_least("t2", insert("s0", user), insert("s1", user), insert("t3", user))} AS s2, t3 AS s3 FROM (
+      SELECT p.conv_id, r.i, {_cell("p.s0", "4", "D")} AS s0, {_least(_cell("p.s1", "4", "D"), turn("p.s0", "s"))} AS s1,
+        {t2} AS t2, {t3} AS t3
+      FROM parsed p JOIN coded r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i + 1))),
+done AS (SELECT p.conv_id, list_min([s0, s3]) AS best FROM parsed p JOIN sums s ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND p.i = s.n)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+  sha256(coalesce(array_to_string(best.rep, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
+  LEFT JOIN done d ON o.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_conversation_repair": _repair_sql(),
     "op4_decontamination": OP4_SQL,
     "op5_quality_rules": _quality_sql(),
 }
