@@ -12,6 +12,7 @@ from sievemark.llm.decontamination import contamination
 from sievemark.llm.language_id import train, training_sample, with_language
 from sievemark.llm.line_dedup import dedup_lines
 from sievemark.llm.mixing import labelled_sample, mix, train_domains
+from sievemark.llm.packing import pack, read_vocabulary
 from sievemark.llm.pii import replace_pii
 from sievemark.llm.quality_rules import ACCURACY, METRICS, quality_rules
 from sievemark.llm.simhash import near_duplicates
@@ -102,6 +103,14 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    packed = pack(_table(spark, folder, "documents"), vocabulary)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Run] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -114,6 +123,7 @@ QUERIES: dict[str, Run] = {
     "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_packing": op13_packing,
 }
 
 _BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -226,9 +236,11 @@ spoilt AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END A
   unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM hashed WHERE fault <> 0),
 placed AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
   substr(role, 1, 1) AS initial FROM spoilt),
-told AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+told AS (SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
-  NOT regexp_matches(text, '[.!?][ 	-]*$') AS late,
+  NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS late,
   lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM placed),
 rows_ AS (SELECT conv_id, i, role, text, initial, pair, turn, blank, NOT blank AND again AS dup, NOT blank AND NOT again AND late AS cut FROM told),
 coded AS (SELECT conv_id, i, role, text, initial, blank OR dup AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS late FROM rows_),
