@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievemark.llm.collocations import collocations
 from sievemark.llm.conversations import damaged, repair_conversations, repaired_digests
 from sievemark.llm.decontamination import contamination
 from sievemark.llm.language_id import train, training_sample, with_language
@@ -103,6 +104,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(_table(spark, folder, "documents"))
+
+
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -123,6 +128,7 @@ QUERIES: dict[str, Run] = {
     "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_collocations": op12_collocations,
     "op13_packing": op13_packing,
 }
 
@@ -201,6 +207,38 @@ FROM counted LEFT JOIN outside ON counted.r = outside.r
 """
 
 
+def _collocations_sql(longest: int = 4, min_count: int = 30, per_lang: int = 2000, inside: int = 80) -> str:
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {m} AS m, array_to_string(list_slice(w, i, i + {m} - 1), ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) - {m} + 2)) AS i FROM pieces WHERE len(w) >= {m})"
+        for m in range(1, longest + 1)
+    )
+    return rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLDED.format(t="coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS ({grams}),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase HAVING count(*) >= {min_count}),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT lang, m, phrase, a, w, unnest(range(1, m)) AS k FROM c),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, l.f AS l, r.f AS r,
+    CAST(CAST(2000000 AS HUGEINT) * a // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(list_slice(w, 1, k), ' ')
+    JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(list_slice(w, k + 1, cuts.m), ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, a, array_to_string(list_slice(w, i, i + s - 1), ' ') AS phrase
+  FROM (SELECT lang, m, a, w, s, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM c))),
+covers AS (SELECT lang, phrase, max(a) AS longer FROM inner_ GROUP BY lang, phrase),
+kept AS (SELECT o.* FROM lowest o LEFT JOIN covers v ON v.lang = o.lang AND v.phrase = o.phrase
+  WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST({inside} AS HUGEINT) * a)
+SELECT kept.lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) kept
+  JOIN total ON total.lang = kept.lang WHERE rank <= {per_lang}
+"""
+
+
 def _cell(state: str, cost: str, edit: str, line: str = "") -> str:
     added = f"list_append({state}.rep, {line})" if line else f"{state}.rep"
     return f"struct_pack(cost := {state}.cost + {cost}, audit := {state}.audit || '{edit}', rep := {added})"
@@ -268,6 +306,7 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums s ON o.conv_i
 
 ORACLES: dict[str, str] = {
     "op11_conversation_repair": _repair_sql(),
+    "op12_collocations": _collocations_sql(),
     "op4_decontamination": OP4_SQL,
     "op5_quality_rules": _quality_sql(),
 }
