@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from sievemark.llm.decontamination import drop_contaminated
 from sievemark.llm.line_dedup import drop_repeated_lines
 from sievemark.llm.mixing import labelled_sample, mix, train_domains
-from sievemark.llm.near_copies import drop_near_copies
 from sievemark.llm.quality_rules import keep_quality
+from sievemark.llm.simhash import drop_near_duplicates
 from sievemark.session import materialize
 
 #: Wanted shares of tokens, and tokens wanted for each token that reaches the last stage. The
@@ -30,7 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_copies(docs)
+    """Fingerprints of three-word shingles, linked at two differing bits or fewer; one document of each group stays."""
+    return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,7 @@ STAGES = [
     ("mixing", mixing),
 ]
 
-#: Minima of hashes, suffix buckets and the classifier are beyond SQL.
+#: Fingerprints, suffix buckets and the classifier are beyond SQL.
 ORACLE_SQL = None
 
 
