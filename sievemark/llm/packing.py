@@ -145,15 +145,18 @@ class Statistics(NamedTuple):
     mean: float
 
 
-def statistics(pieces: DataFrame, size: int, dtype: np.dtype) -> Statistics:
+def statistics(pieces: DataFrame, size: int, dtype: np.dtype, window: int) -> Statistics:
     """Document frequencies over all pieces; at most one row for each id and task is shuffled, one for
     each id comes back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(size, np.int64)
+        found, mark, places = np.zeros(size, np.int64), np.zeros(size, np.int32), np.arange(window, dtype=np.int32)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                found[np.unique(np.frombuffer(ids, dtype))] += 1
+            for data in batch.column(0).to_pylist():
+                ids = np.frombuffer(data, dtype)
+                at = places[: len(ids)]
+                mark[ids] = at  # the last place of each term is where its mark stays
+                found[ids[mark[ids] == at]] += 1
         there = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(found[there], pa.int64())], names=["term", "n"])
 
@@ -170,24 +173,49 @@ def weights(tf: np.ndarray, length: np.ndarray | int, idf: np.ndarray, mean: flo
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
 
 
+def term_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values and how often each occurs."""
+    ordered = np.sort(ids)
+    new = np.ones(len(ids) + 1, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:-1])
+    edges = np.flatnonzero(new)
+    return ordered[edges[:-1]], np.diff(edges)
+
+
 class Index:
-    """An inverted index of one shard of units."""
+    """An inverted index of one shard of units.
+
+    Postings of terms that one unit in ``_DENSE`` has are rows over all units, which add up faster; as each unit has
+    fewer terms than a window has tokens, there are at most ``_DENSE`` times as many rows as that.
+    """
+
+    _DENSE = 16
 
     def __init__(self, units: list[np.ndarray], stats: Statistics):
         n = len(units)
         lengths = np.array([len(u) for u in units])
-        keys = np.concatenate(units).astype(np.int64) * n + np.repeat(np.arange(n), lengths)
-        keys, tf = np.unique(keys, return_counts=True)
-        self.terms, self.units, self.n = keys // n, keys % n, n
-        self.weights = weights(tf, lengths[self.units], stats.idf[self.terms], stats.mean)
+        kind = np.uint32 if len(stats.idf) * n < 1 << 32 else np.int64
+        keys, tf = term_counts(np.concatenate(units).astype(kind) * kind(n) + np.repeat(np.arange(n, dtype=kind), lengths))
+        terms, of, self.n = keys // kind(n), (keys % kind(n)).astype(np.int64), n
+        weight = weights(tf, lengths[of], stats.idf[terms], stats.mean).astype(np.float32)
+        self.terms, first, sizes = np.unique(terms, return_index=True, return_counts=True)
+        dense = sizes * self._DENSE >= n
+        self.row = np.where(dense, np.cumsum(dense) - 1, -1)
+        self.first, self.sizes, self.units, self.weights = first, sizes, of, weight
+        at = np.repeat(dense, sizes)
+        self.rows = np.zeros((int(dense.sum()), n), np.float32)
+        self.rows[np.repeat(self.row, sizes)[at], of[at]] = weight[at]
 
     def scores(self, query: np.ndarray) -> np.ndarray:
         """The score of every unit for the distinct terms of a query."""
-        terms = np.unique(query)
-        first, last = np.searchsorted(self.terms, terms), np.searchsorted(self.terms, terms, "right")
-        sizes = last - first
-        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        return np.bincount(self.units[at], self.weights[at], self.n)
+        wanted = term_counts(query)[0]
+        found = np.searchsorted(self.terms, wanted)
+        found = found[self.terms[np.minimum(found, len(self.terms) - 1)] == wanted]
+        rows = self.row[found]
+        rare = found[rows < 0]
+        sizes = self.sizes[rare]
+        at = np.repeat(self.first[rare] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        return np.bincount(self.units[at], self.weights[at], self.n) + self.rows[rows[rows >= 0]].sum(axis=0)
 
     def ranked(self, query: np.ndarray, free: np.ndarray) -> Iterator[int]:
         """The unused units, best first; of equal ones the first."""
@@ -274,9 +302,11 @@ def _signed(units: DataFrame, held, dtype: np.dtype) -> DataFrame:
         for batch in batches:
             keys = np.zeros((batch.num_rows, 2), np.int32)
             for i, data in enumerate(batch.column("ids").to_pylist()):
-                terms, tf = np.unique(np.frombuffer(data, dtype), return_counts=True)
-                best = np.argsort(-weights(tf, len(data) // dtype.itemsize, stats.idf[terms], stats.mean), kind="stable")[:2]
-                keys[i, : len(best)] = terms[best]
+                terms, tf = term_counts(np.frombuffer(data, dtype))
+                own = weights(tf, len(data) // dtype.itemsize, stats.idf[terms], stats.mean)
+                for k in range(min(2, len(terms))):
+                    keys[i, k] = terms[best := int(own.argmax())]
+                    own[best] = -1.0
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=fields.names)
 
     return small_batches(units).mapInArrow(run, fields)
@@ -304,7 +334,7 @@ def pack(
     """
     spark, dtype = docs.sparkSession, vocabulary.dtype
     pieces = token_pieces(docs, vocabulary, text, doc_id, window, end_id)
-    held = spark.sparkContext.broadcast(statistics(pieces, vocabulary.size, dtype))
+    held = spark.sparkContext.broadcast(statistics(pieces, vocabulary.size, dtype, window))
     id_field = T.StructField(doc_id, pieces.schema["doc_id"].dataType)
     fields = T.StructType([id_field, *T.StructType.fromDDL(_OUT)])
     schema = to_arrow_schema(fields)
