@@ -1,9 +1,14 @@
-"""Line dedup: repeated runs of lines from their shortest windows with enough words.
+"""Line dedup: repeated runs of lines from the suffixes of the line sequence, by distributed prefix doubling.
 
-A run that stands earlier does so with each part of it. Of each line, take the shortest window of lines that
-starts there and has enough words, and the shortest that ends there. Every run with enough words
-is the union of such windows in it, so that exactly the lines of windows that stand earlier go: no source
-has to be chosen and no length to be found.
+The lines of all documents form one sequence, documents in the order of their ids, with a mark behind each. A suffix
+starts at each line. Doubling round k groups the suffixes that share their first 2^k lines: an interval of the
+suffix array whose longest common prefix is 2^k lines or more, named by its first place. Suffixes alone in
+their group are settled and leave the work. The rounds in reverse then split these into the intervals for the lengths between, so that each suffix
+comes to the deepest interval that has an earlier place: the longest prefix it shares with any of them. Order
+among intervals is never needed, only which suffixes lie in one.
+
+The earliest place of a prefix shares less than that with places before it, so at each step it stands in the same
+interval as those that look for it, or is the first of it. These two kinds of rows are all that a step compares.
 """
 
 from __future__ import annotations
@@ -19,85 +24,112 @@ from pyspark.sql import functions as F
 from sievemark.llm.common import BATCH, ROW, apart, per_text, small_batches, texts_of, with_rows
 from sievemark.session import materialize
 
-_WINDOWS = f"{ROW} long, doc_id long, ln int, len int, h1 long, h2 long"
-
+_LINES = f"{ROW} long, doc_id long, ln int, h1 long, h2 long"
 
-def windows_of(upto: list[int], min_words: int) -> list[tuple[int, int]]:
-    """(first line, line after the last) of the shortest windows from each line and to each line.
 
-    ``upto`` has the words before each line, and all words at its end.
-    """
-    found, n, e, i = set(), len(upto) - 1, 0, 0
-    for start in range(n):
-        e = max(e, start + 1)
-        while e < n and upto[e] - upto[start] < min_words:
-            e += 1
-        if upto[e] - upto[start] < min_words:
-            break
-        found.add((start, e))
-    for end in range(1, n + 1):
-        while i + 1 < end and upto[end] - upto[i + 1] >= min_words:
-            i += 1
-        if upto[end] - upto[i] >= min_words:
-            found.add((i, end))
-    return sorted(found)
-
-
-def line_windows(rows: DataFrame, text: str, doc_id: str, min_words: int) -> DataFrame:
-    """A row per window: its first line among those with a word, its lines, a 128-bit digest of them."""
+def split_lines(rows: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """A row per line with a word: its number among these and a 128-bit digest. One more row per
+    document, with null digests, ends its lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
-                counts, first, size, digests = [], [], [], bytearray()
+                counts, digests = [], bytearray()
                 for t in texts_of(batch, "__text"):
-                    upto, own = [0], bytearray()
-                    for line in (t or b"").split(b"\n"):
-                        if n := len(line.split()):
-                            own += xxhash.xxh3_128_digest(line)
-                            upto.append(upto[-1] + n)
-                    windows = windows_of(upto, min_words)
-                    for i, e in windows:
-                        first.append(i)
-                        size.append(e - i)
-                        digests += xxhash.xxh3_128_digest(own[16 * i : 16 * e])
-                    counts.append(len(windows))
+                    own = [xxhash.xxh3_128_digest(line) for line in (t or b"").split(b"\n") if line.strip()]
+                    digests += b"".join(own) + bytes(16)
+                    counts.append(len(own) + 1)
+                ends = np.cumsum(counts)
+                numbers = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
+                none = np.zeros(ends[-1], bool)
+                none[ends - 1] = True
                 of = pa.array(np.repeat(np.arange(batch.num_rows), counts))
                 pair = np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(of), batch.column(1).take(of), pa.array(first, pa.int32()),
-                        pa.array(size, pa.int32()), pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64()),
+                        batch.column(0).take(of), batch.column(1).take(of), pa.array(numbers, pa.int32()),
+                        pa.array(pair[:, 0], pa.int64(), mask=none), pa.array(pair[:, 1], pa.int64(), mask=none),
                     ],
-                    names=[ROW, "doc_id", "ln", "len", "h1", "h2"],
+                    names=[ROW, "doc_id", "ln", "h1", "h2"],
                 )
 
     needed = rows.select(ROW, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return materialize(small_batches(needed).mapInArrow(run, _WINDOWS), "line-windows")
+    return small_batches(needed).mapInArrow(run, _LINES)
 
 
-def later_copies(windows: DataFrame) -> DataFrame:
-    """(row, __spans): the windows that stand earlier, as [first line, lines] of each document.
+def sequence(lines: DataFrame) -> DataFrame:
+    """Append ``pos``: consecutive within a document, growing with (doc_id, row); null ids come last."""
+    order = [F.col("doc_id").asc_nulls_last(), F.col(ROW)]
+    dealt = materialize(lines, "lines").repartitionByRange(*order).sortWithinPartitions(*order, "ln")
+    return materialize(dealt.withColumn("pos", F.monotonically_increasing_id()).drop("doc_id"), "line-sequence")
 
-    Earlier is by document id (null ids last), row and line.
-    """
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col(ROW).alias("row"), F.col("ln").alias("ln"))
-    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("__first"), F.count("*").alias("__n")).filter("__n > 1")
-    later = windows.join(apart(first.drop("__n"), "line-firsts"), ["h1", "h2"]).filter(place > F.col("__first"))
-    spans = F.collect_list(F.struct("ln", "len"))
-    return materialize(later.groupBy(ROW).agg(spans.alias("__spans")), "line-spans")
 
+def _intervals(suffixes: DataFrame, keys: list[str]) -> DataFrame:
+    """(pos, name): suffixes that share their keys with another, named by the first of them."""
+    shared = suffixes.groupBy(*keys).agg(F.min("pos").alias("__first"), F.count("*").alias("__n")).filter("__n > 1")
+    shared = apart(shared.drop("__n"), "line-firsts")
+    return materialize(suffixes.join(shared, keys).select("pos", F.col("__first").alias("name")), "line-intervals")
 
-def without_lines(text: bytes | None, spans: list[dict] | None) -> tuple[bytes | None, int, int]:
-    """Text without the lines of the spans and the blank lines that follow them; lines with a word
+
+def doubling_rounds(seq: DataFrame) -> list[DataFrame]:
+    """Interval names for prefixes of 1, 2, 4, ... lines, as long as any has two suffixes.
+
+    A prefix of 2^(k+1) lines can only repeat where both its halves do, so each round works on what the last has
+    left. A mark is in no interval, so no prefix reaches over the end of its document.
+    """
+    rounds = [_intervals(seq.filter("h1 IS NOT NULL").select("pos", "h1", "h2"), ["h1", "h2"])]
+    while True:
+        here = rounds[-1]
+        ahead = here.select((F.col("pos") - (1 << len(rounds) - 1)).alias("pos"), F.col("name").alias("next"))
+        longer = _intervals(materialize(here.join(ahead, "pos"), "line-pairs"), ["name", "next"])
+        if longer.isEmpty():
+            return rounds
+        rounds.append(longer)
+
+
+def repeated_runs(seq: DataFrame) -> DataFrame:
+    """(pos, first, len): the longest run of lines at ``pos`` that stands at any earlier place, and the first such place."""
+    rounds = doubling_rounds(seq)
+    earlier = None
+    for k, names in enumerate(rounds):
+        mine = names.filter("name < pos").withColumn("k", F.lit(k))
+        earlier = mine if earlier is None else earlier.unionAll(mine)
+    runs = earlier.groupBy("pos").agg(F.max("k").alias("k"), F.max_by("name", "k").alias("first"))
+    runs = materialize(runs.withColumn("len", F.expr("shiftleft(1L, k)")), "line-runs")
+    for step in range(len(rounds) - 2, -1, -1):
+        trying = runs.filter(F.col("k") > step)
+        sought = trying.select("pos", "first", "len").unionAll(trying.select(F.col("first").alias("pos"), "first", "len").distinct())
+        names = rounds[step].select(F.col("pos").alias("__at"), F.col("name").alias("next"))
+        met = materialize(sought.join(names, F.col("pos") + F.col("len") == F.col("__at")).drop("__at"), "line-met")
+        least = apart(met.groupBy("first", "len", "next").agg(F.min("pos").alias("least")), "line-firsts")
+        deeper = met.join(least, ["first", "len", "next"]).filter("least < pos").select("pos", "least")
+        longer = F.when(F.col("least").isNotNull(), F.col("len") + (1 << step)).otherwise(F.col("len"))
+        now = runs.join(deeper, "pos", "left").select("pos", "k", F.coalesce("least", "first").alias("first"), longer.alias("len"))
+        runs = materialize(now, "line-runs")
+    return runs.select("pos", "first", "len")
+
+
+def later_copies(seq: DataFrame) -> DataFrame:
+    """(row, __spans): the runs that stand earlier, as [first line, lines] of each document."""
+    runs = repeated_runs(seq).join(seq.select("pos", ROW, "ln"), "pos")
+    spans = F.collect_list(F.struct("ln", F.col("len").cast("int").alias("len")))
+    return materialize(runs.groupBy(ROW).agg(spans.alias("__spans")), "line-spans")
+
+
+def without_lines(text: bytes | None, spans: list[dict] | None, min_words: int) -> tuple[bytes | None, int, int]:
+    """Text without the lines of the spans with enough words and the blank lines that follow them; lines with a word
     before, lines deleted."""
     lines = (text or b"").split(b"\n")
-    filled = [bool(line.strip()) for line in lines]
-    change = np.zeros(sum(filled) + 1, np.int64)
+    words = np.array([len(line.split()) for line in lines])
+    filled = words > 0
+    upto = np.concatenate([[0], np.cumsum(words[filled])])
+    change = np.zeros(len(upto), np.int64)
     for s in spans or ():
-        change[s["ln"]] += 1
-        change[s["ln"] + s["len"]] -= 1
+        end = s["ln"] + s["len"]
+        if upto[end] - upto[s["ln"]] >= min_words:
+            change[s["ln"]] += 1
+            change[end] -= 1
     gone = np.cumsum(change) > 0
     kept, n, last = [], 0, False
     for line, full in zip(lines, filled):
@@ -120,10 +152,10 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     """
     fields = "__cut binary, n_lines long, n_deleted long"
     rows = with_rows(docs.drop("n_lines", "n_deleted"), "line-input")
-    spans = later_copies(line_windows(rows, text, doc_id, min_words))
+    spans = later_copies(sequence(split_lines(rows, text, doc_id)))
 
     def make() -> Callable[..., tuple]:
-        return without_lines
+        return lambda t, spans: without_lines(t, spans, min_words)
 
     cut = per_text(rows.join(spans.hint("merge"), ROW, "left"), text, make, fields, also="__spans")
     names = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]

@@ -259,30 +259,34 @@ def test_tokens_in_pieces_and_odd_rows(odd, none):
 # --- Line dedup ------------------------------------------------------------------------------
 
 
-def slow_runs(documents, min_words):
-    """Deleted line numbers of each document, straight from the definition."""
-    lines = [[(d, x) for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", x)] for d, t in enumerate(documents)]
-    flat, where = [], []
-    for d, own in enumerate(lines):
-        for n, (_, x) in enumerate(own):
-            flat.append(x)
-            where.append((d, n))
-        flat.append(None)
-        where.append((d, None))
-    gone = collections.defaultdict(set)
-    same = lambda q, p, n: all(flat[q + i] is not None and flat[q + i] == flat[p + i] for i in range(n))
-    for p in range(len(flat)):
-        size = 1
-        while p + size <= len(flat) and any(same(q, p, size) for q in range(p) if q + size <= len(flat)):
-            size *= 2
-        size //= 2
-        if not size:
-            continue
-        q = next(q for q in range(p) if same(q, p, size))
-        while p + size < len(flat) and same(q, p, size + 1):
-            size += 1
-        if sum(len(x.split()) for x in flat[p : p + size]) >= min_words:
-            gone[where[p][0]].update(range(where[p][1], where[p][1] + size))
+def defined_runs(documents, min_words):
+    """Deleted line numbers: all lines of every run with enough words that starts at an earlier line too."""
+    seen, gone = set(), collections.defaultdict(set)
+    for d, t in enumerate(documents):
+        own = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", x)]
+        for i in range(len(own)):
+            runs = [(e, tuple(own[i:e])) for e in range(i + 1, len(own) + 1)]
+            for e, run in runs:
+                if run in seen and sum(len(x.split()) for x in run) >= min_words:
+                    gone[d].update(range(i, e))
+            seen.update(run for _, run in runs)
+    return gone
+
+
+def window_runs(documents, min_words):
+    """The same by another way: of each line the shortest windows with enough words from it and to it; those seen go."""
+    seen, gone = set(), collections.defaultdict(set)
+    for d, t in enumerate(documents):
+        own = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", x)]
+        upto = np.cumsum([0, *(len(x.split()) for x in own)])
+        enough = [(i, e) for i in range(len(own)) for e in range(i + 1, len(own) + 1) if upto[e] - upto[i] >= min_words]
+        shortest = {min(w for w in enough if w[0] == i) for i in {w[0] for w in enough}}
+        shortest |= {max(w for w in enough if w[1] == e) for e in {w[1] for w in enough}}
+        for i, e in sorted(shortest):
+            run = tuple(own[i:e])
+            if run in seen:
+                gone[d].update(range(i, e))
+            seen.add(run)
     return gone
 
 
@@ -297,7 +301,7 @@ def test_line_runs_against_brute_force(spark):
         texts.append("\n".join(own))
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.text, r.n_deleted) for r in line_dedup.dedup_lines(frame, min_words=5).collect()}
-    gone = slow_runs(texts, 5)
+    gone = defined_runs(texts, 5)
     for d, t in enumerate(texts):
         kept, n = [], 0
         last = False
@@ -310,20 +314,6 @@ def test_line_runs_against_brute_force(spark):
         assert got[d] == ("\n".join(kept), len(gone[d]))
 
 
-def defined_runs(documents, min_words):
-    """Deleted line numbers: all lines of every run with enough words that starts at an earlier line too."""
-    seen, gone = set(), collections.defaultdict(set)
-    for d, t in enumerate(documents):
-        own = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", x)]
-        for i in range(len(own)):
-            runs = [(e, tuple(own[i:e])) for e in range(i + 1, len(own) + 1)]
-            for e, run in runs:
-                if run in seen and sum(len(x.split()) for x in run) >= min_words:
-                    gone[d].update(range(i, e))
-            seen.update(run for _, run in runs)
-    return gone
-
-
 def test_line_runs_with_several_sources(spark):
     random = np.random.default_rng(18)
     pool = [" ".join([f"l{i}"] * (1 + i % 4)) for i in range(7)]
@@ -332,6 +322,7 @@ def test_line_runs_with_several_sources(spark):
     for words in (1, 8):
         want = defined_runs(texts, words)
         assert words == 1 or want[2] == {0, 1, 2}
+        assert {d: g for d, g in want.items() if g} == {d: g for d, g in window_runs(texts, words).items() if g}
         got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), min_words=words)
         for r in got.collect():
             own = texts[r.doc_id].split("\n") if texts[r.doc_id] else []
@@ -339,6 +330,33 @@ def test_line_runs_with_several_sources(spark):
             assert r.n_deleted == len(want[r.doc_id])
 
 
+def test_longest_runs_with_any_earlier_place(spark):
+    """Lengths and first places of every suffix, runs of all lengths nested in each other."""
+    random = np.random.default_rng(28)
+    flat, docs = [], []
+    for d in range(30):
+        own = random.integers(0, 3, int(random.integers(0, 30))).tolist()
+        if docs and random.random() < 0.6:
+            other = docs[int(random.integers(len(docs)))]
+            own = own[: int(random.integers(0, 4))] + other[int(random.integers(0, len(other) + 1)) :]
+        docs.append(own)
+        flat += [(d, x) for x in own] + [(d, None)]
+    rows = [(p, d, 0, None if x is None else x, None if x is None else 7) for p, (d, x) in enumerate(flat)]
+    seq = spark.createDataFrame(rows, "pos long, __row long, ln int, h1 long, h2 long")
+    got = {r.pos: (r.len, r.first) for r in line_dedup.repeated_runs(seq).collect()}
+    values, want = [x for _, x in flat], {}
+    for p in range(len(values)):
+        best = (0, 0)
+        for q in range(p):
+            n = 0
+            while p + n < len(values) and values[p + n] is not None and values[p + n] == values[q + n]:
+                n += 1
+            best = max(best, (n, -q))
+        if best[0]:
+            want[p] = (best[0], -best[1])
+    assert max(n for n, _ in want.values()) >= 9 and got == want
+
+
 def test_line_dedup_odd_rows(odd, none):
     rows = line_dedup.dedup_lines(odd).collect()
     assert len(rows) == odd.count()
