@@ -224,22 +224,43 @@ def locally_frequent(docs: DataFrame, longest: int, min_count: int, bits: int =
     return out
 
 
-def _strings(found: list[tuple[Words, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[str, str, int, int]]:
-    """(language, phrase, words, occurrences) of the phrases of some buffers, by two hashes of their words."""
-    h1 = np.concatenate([f[2] for f in found])
-    h2 = np.concatenate([f[3] for f in found])
-    at = np.concatenate([f[4] for f in found])
-    size = np.concatenate([f[5] for f in found])
-    of = np.repeat(np.arange(len(found)), [len(f[2]) for f in found])
+class _Found(NamedTuple):
+    """Phrases of one buffer: two hashes, their first words, their sizes."""
+
+    words: Words
+    langs: list[str]
+    h1: np.ndarray
+    h2: np.ndarray
+    at: np.ndarray
+    size: np.ndarray
+
+
+def _strings(found: list[_Found]) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, words, f) of the phrases of some buffers; equal ones, by two hashes of their words, are added up."""
+    h1, h2 = np.concatenate([f.h1 for f in found]), np.concatenate([f.h2 for f in found])
     order = np.lexsort((h2, h1))
-    first = np.flatnonzero(np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)]) if len(order) else [])
-    counts = np.diff([*first, len(order)])
-    texts = [f[0].data.tobytes() for f in found]
-    for i, n in zip(order[first].tolist(), counts.tolist()):
-        words, names = found[of[i]][:2]
-        here, text, m = at[i], texts[of[i]], size[i]
-        phrase = b" ".join(text[words.begin[k] : words.end[k]] for k in range(here, here + m))
-        yield names[words.block[here]], phrase.decode("utf-8", "replace"), int(m), n
+    if not len(order):
+        return
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)]))
+    counts = np.diff(first, append=len(order))
+    chosen = np.sort(order[first])
+    counts = counts[np.argsort(order[first], kind="stable")]
+    ends = np.cumsum([len(f.h1) for f in found])
+    for i, f in enumerate(found):
+        low, high = np.searchsorted(chosen, [ends[i] - len(f.h1), ends[i]])
+        here = chosen[low:high] - (ends[i] - len(f.h1))
+        at, size, w = f.at[here], f.size[here], f.words
+        plain = (w.begin[1:] - w.end[:-1] == 1) & (w.data[w.end[:-1]] == 32)
+        odd = np.concatenate([[0], np.cumsum(~plain)])
+        plain = odd[at + size - 1] == odd[at]
+        text = w.data.tobytes()
+        cut = zip(w.begin[at].tolist(), w.end[at + size - 1].tolist(), plain.tolist())
+        phrases = [text[b:e] if one else b" ".join(text[b:e].split()) for b, e, one in cut]
+        columns = [
+            pa.array(f.langs, pa.string()).take(pa.array(w.block[at])), pa.array(phrases, pa.binary()).cast(pa.string()),
+            pa.array(size, pa.int32()), pa.array(counts[low:high], pa.int64()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "f"])
 
 
 def phrase_counts(docs: DataFrame, longest: int, held) -> DataFrame:
@@ -248,17 +269,15 @@ def phrase_counts(docs: DataFrame, longest: int, held) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(held.value, np.uint8)
-        found, totals = [], {}
-        names = ["lang", "phrase", "words", "f"]
-        kinds = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+        found: list[_Found] = []
+        totals: dict[str, int] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = list(_strings(found)) + [(lang, "", 0, n) for lang, n in totals.items()]
+            yield from _strings(found)
+            rows = {"lang": list(totals), "phrase": [""] * len(totals), "words": [0] * len(totals), "f": list(totals.values())}
+            yield pa.RecordBatch.from_pydict(rows, pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())]))
             found.clear()
             totals.clear()
-            for i in range(0, len(rows), 1 << 14):
-                columns = zip(*rows[i : i + (1 << 14)])
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
         for words, langs, keys, _ in _buffers(batches, longest):
             key, one, two = keys[words.block], word_hashes(words), word_hashes(words, 1)
@@ -269,8 +288,8 @@ def phrase_counts(docs: DataFrame, longest: int, held) -> DataFrame:
                 h = phrase_hashes(one, key, n)
                 at = np.flatnonzero(_starts(words, n) & _has(table, h))
                 got.append((h[at], phrase_hashes(two, key, n)[at], at, np.full(len(at), n)))
-            found.append((words, langs, *(np.concatenate(x) for x in zip(*got))))
-            if sum(len(f[2]) for f in found) >= _FLUSH:
+            found.append(_Found(words, langs, *(np.concatenate(x) for x in zip(*got))))
+            if sum(len(f.h1) for f in found) >= _FLUSH:
                 yield from flush()
         if found:
             yield from flush()
