@@ -15,8 +15,8 @@ from sievemark.operators.correlation import heatmap_cells, linear_fit
 from sievemark.operators.grouped import group_mean_nlargest, group_mean_top, other_bucket
 from sievemark.operators.order import with_row_id
 from sievemark.operators.outliers import FLAG, flag_outliers
-from sievemark.operators.profile import fences_of, numeric_pairs, quartile_frame, quartile_map
-from sievemark.operators.quantiles import DIRECT_LIMIT
+from sievemark.operators.profile import fences_of, numeric_pairs, quartile_frame, quartile_map, sized_quartiles
+from sievemark.operators.reshape import number
 from sievemark.operators.rows import filter_equals, filter_pairwise
 from sievemark.session import small_frame
 
@@ -32,12 +32,12 @@ def auto_bins(n: int, low: float, high: float, q1: float, q3: float) -> int:
 
 
 def hist_bins(
-    df: DataFrame, column: str, bins: int | None = None, limit: int = DIRECT_LIMIT
+    df: DataFrame, column: str, bins: int | None = None
 ) -> DataFrame:
     """(bin, low, high, count, outliers) of one numeric column, empty bins left out."""
-    x = col(column).cast("double")
-    quartiles = quartile_map(df, [column], limit)[column]
-    row = df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    x, v = number(df, column), F.col("value")
+    found, scanned = sized_quartiles(df, [column], {"n": F.count(v), "lo": F.min(v), "hi": F.max(v)})
+    quartiles, row = found[column], scanned.also[column]
     if not row["n"]:
         return small_frame(
             df.sparkSession, [], "bin int, low double, high double, count bigint, outliers bigint"
@@ -97,9 +97,9 @@ def timeseries(df: DataFrame, ts: str, number: str, unit: str | None = None) ->
     return pairs.orderBy("time", "value")
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT) -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers at the furthest values inside the fences, points beyond."""
-    bounds = quartile_frame(df, quartile_map(df, columns, limit))
+    bounds = quartile_frame(df, quartile_map(df, columns))
     v = F.col("value")
     inside = (v >= F.col("low")) & (v <= F.col("high"))
     return numeric_pairs(df, columns).filter(v.isNotNull()).join(F.broadcast(bounds), "column").groupBy("column").agg(
@@ -111,18 +111,18 @@ def box_stats(df: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT)
 
 
 def scatter_points(
-    df: DataFrame, x: str, y: str, points: int | None = None, seed: int = 42, limit: int = DIRECT_LIMIT
+    df: DataFrame, x: str, y: str, points: int | None = None, seed: int = 42
 ) -> DataFrame:
     """(x, y, _is_outlier): all points, or a seeded sample of so many for drawing."""
-    flagged = flag_outliers(df, limit=limit).select(
+    flagged = flag_outliers(df).select(
         col(x).cast("double").alias("x"), col(y).cast("double").alias("y"), FLAG
     ).na.drop(subset=["x", "y"])
     return flagged.orderBy(F.xxhash64("x", "y", F.lit(seed)), "x", "y").limit(points) if points else flagged
 
 
-def scatter_summary(df: DataFrame, x: str, y: str, limit: int = DIRECT_LIMIT) -> DataFrame:
+def scatter_summary(df: DataFrame, x: str, y: str) -> DataFrame:
     """(_is_outlier, n) over all drawable points."""
-    return flag_outliers(df, limit=limit).na.drop(subset=[x, y]).groupBy(FLAG).agg(F.count(F.lit(1)).alias("n"))
+    return flag_outliers(df).na.drop(subset=[x, y]).groupBy(FLAG).agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass(frozen=True)
@@ -222,31 +222,31 @@ class PlotSpec:
 
 
 def custom_chart_data(
-    df: DataFrame, kind: str, columns: Sequence[str], order_by: Sequence[str] = (), limit: int = DIRECT_LIMIT
+    df: DataFrame, kind: str, columns: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
     """Data of a named chart kind over matched columns, with the usual fallbacks."""
     numeric = [c for c in columns if c in column_classes(df).numeric]
     if kind == "scatter" and len(numeric) < 2:
         kind = "histogram"
     if kind == "scatter":
-        return scatter_points(filter_pairwise(df, *numeric[:2]), *numeric[:2], limit=limit)
+        return scatter_points(filter_pairwise(df, *numeric[:2]), *numeric[:2])
     if kind == "line" and numeric:
         return line_rowindex(df, numeric[0], order_by)
     if kind == "heatmap" and len(numeric) >= 2:
         return heatmap_cells(df, numeric)
     if kind == "box" and numeric:
-        return box_stats(df, numeric, limit)
+        return box_stats(df, numeric)
     if kind == "pie":
         return pie_share(df, columns[0])
     if kind == "bar" and len(columns) >= 2 and numeric:
         category = next(c for c in columns if c != numeric[-1])
         return group_mean_nlargest(df, category, numeric[-1])
     if kind == "histogram" and numeric:
-        return hist_bins(df, numeric[0], limit=limit)
+        return hist_bins(df, numeric[0])
     return counts_top20(df, columns[0])
 
 
-def execute_spec(df: DataFrame, spec: PlotSpec, order_by: Sequence[str] = (), limit: int = DIRECT_LIMIT) -> DataFrame:
+def execute_spec(df: DataFrame, spec: PlotSpec, order_by: Sequence[str] = ()) -> DataFrame:
     """Filters first, then the chart's aggregate over what is left."""
     named = [c for c in (spec.x, spec.y) if c]
-    return custom_chart_data(filter_equals(df, spec.filters), spec.chart_type, named, order_by, limit)
+    return custom_chart_data(filter_equals(df, spec.filters), spec.chart_type, named, order_by)

@@ -12,7 +12,6 @@ from sievemark.functions.columns import col, column_classes
 from sievemark.operators.dedup import duplicate_counts
 from sievemark.operators.outliers import outlier_counts
 from sievemark.operators.profile import numeric_pairs
-from sievemark.operators.quantiles import DIRECT_LIMIT
 from sievemark.operators.reshape import one_row_to_long
 from sievemark.operators.rows import COUNT_NAME, PERCENT_NAME, all_null
 from sievemark.session import small_frame
@@ -157,9 +156,9 @@ def checks_charts(chart_rows: DataFrame) -> DataFrame:
     return first.unionByName(each)
 
 
-def checks_outliers(df: DataFrame, limit: int = DIRECT_LIMIT) -> DataFrame:
+def checks_outliers(df: DataFrame) -> DataFrame:
     """Pooled outlier share under 5 %; the detail lists every affected column."""
-    per_column = outlier_counts(df, limit=limit)
+    per_column = outlier_counts(df)
     hit = F.when(F.col("outliers") > 0, F.struct(
         "position", F.format_string("%s=%d/%d", "column", "outliers", "n").alias("t"),
     ))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col, column_classes
 from sievemark.functions.hashing import uniform
-from sievemark.operators.quantiles import DIRECT_LIMIT, exact_quantiles
+from sievemark.operators.quantiles import exact_quantiles
 
 # Tokens that spoil numeric cells.
 BAD_TOKENS = ("N/A", "NULL", "###", "???", "ERROR", "MISSING")
@@ -70,11 +70,11 @@ def scramble_types(df: DataFrame, dice: Dice, columns: Sequence[str] | None = No
 
 def inject_outliers_median(
     df: DataFrame, dice: Dice, rate: float, multiplier: float,
-    columns: Sequence[str] | None = None, limit: int = DIRECT_LIMIT,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Cells jump to plus or minus the median times a multiplier."""
     names = _data(df, dice, columns, True)
-    medians = exact_quantiles(df, names, [0.5], limit)
+    medians = exact_quantiles(df, names, [0.5])
     spoiled = {}
     for c in names:
         sign = 1.0 if dice.flip(f"sign:{c}") > 0.5 else -1.0
@@ -173,7 +173,7 @@ class CorruptionProfile:
 
 
 def corrupt_mix(
-    df: DataFrame, dice: Dice, profile: CorruptionProfile = CorruptionProfile(), limit: int = DIRECT_LIMIT
+    df: DataFrame, dice: Dice, profile: CorruptionProfile = CorruptionProfile()
 ) -> DataFrame:
     """Each kind of damage is applied or not by chance, as one chained expression."""
     between = lambda tag, span: span[0] + dice.flip(tag) * (span[1] - span[0])
@@ -186,7 +186,7 @@ def corrupt_mix(
     if dice.flip("apply:outliers") < profile.apply_probability:
         df = inject_outliers_median(
             df, dice, between("rate:outliers", profile.outlier_rate),
-            between("size:outliers", profile.outlier_multiplier), limit=limit,
+            between("size:outliers", profile.outlier_multiplier),
         )
     return df
 

@@ -14,7 +14,7 @@ from sievemark.functions.stats import skew_adjusted
 from sievemark.operators.categorical import column_modes
 from sievemark.operators.profile import fences_of, quartile_map
 from sievemark.operators.outliers import outside
-from sievemark.operators.quantiles import DIRECT_LIMIT, approx_quantiles, exact_quantiles
+from sievemark.operators.quantiles import Sketch, approx_quantiles, exact_quantiles, quantiles_of, sketch
 from sievemark.session import small_frame
 
 # When a mean is a fair fill.
@@ -31,19 +31,12 @@ class Fill:
     filled: int
 
 
-def _numeric_state(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
-    """(missing, present, mean, skew) per column."""
-    if not columns:
-        return {}
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(columns):
-        x = col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), skew_adjusted(x).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    return {
-        c: (row["rows"] - row[f"n{i}"], row[f"n{i}"], row[f"m{i}"], row[f"s{i}"])
-        for i, c in enumerate(columns)
-    }
+def _numeric_state(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, tuple], Sketch]:
+    """((missing, present, mean, skew) per column, sketch for their medians) from one scan."""
+    v = F.col("value")
+    scanned = sketch(df, columns, [0.5], {"rows": F.count(F.lit(1)), "mean": F.avg(v), "skew": skew_adjusted(v)})
+    state = {c: ((a["rows"] or 0) - scanned.sizes[c], scanned.sizes[c], a["mean"], a["skew"]) for c, a in scanned.also.items()}
+    return state, scanned
 
 
 def choose_fill(present: int, skew: float | None) -> str:
@@ -52,11 +45,11 @@ def choose_fill(present: int, skew: float | None) -> str:
 
 
 def fill_plan(
-    df: DataFrame, strategy: str = "smart", limit: int = DIRECT_LIMIT, approximate: bool = False
+    df: DataFrame, strategy: str = "smart", approximate: bool = False
 ) -> list[Fill]:
     """What goes into each column that has gaps; the plan is one entry per column."""
     classes = column_classes(df)
-    state = _numeric_state(df, classes.numeric)
+    state, scanned = _numeric_state(df, classes.numeric)
     gaps = [c for c in classes.numeric if state[c][0] and state[c][1]]
     chosen = {
         c: strategy if strategy in ("mean", "median") else choose_fill(state[c][1], state[c][3])
@@ -66,7 +59,7 @@ def fill_plan(
     if approximate and by_median:
         medians = approx_quantiles(df, by_median, [0.5])
     else:
-        medians = exact_quantiles(df, by_median, [0.5], limit)
+        medians = quantiles_of(df, scanned, by_median)
     plan = [
         Fill(c, chosen[c], state[c][2] if chosen[c] == "mean" else medians[c, 0.5], state[c][0])
         for c in gaps
@@ -111,9 +104,9 @@ def apply_fills(df: DataFrame, plan: Sequence[Fill]) -> DataFrame:
 
 
 def fill_missing(
-    df: DataFrame, strategy: str = "smart", limit: int = DIRECT_LIMIT, approximate: bool = False
+    df: DataFrame, strategy: str = "smart", approximate: bool = False
 ) -> DataFrame:
-    return apply_fills(df, fill_plan(df, strategy, limit, approximate))
+    return apply_fills(df, fill_plan(df, strategy, approximate))
 
 
 def fill_log(df: DataFrame, plan: Sequence[Fill]) -> DataFrame:
@@ -128,14 +121,14 @@ def fill_log(df: DataFrame, plan: Sequence[Fill]) -> DataFrame:
     )
 
 
-def global_fills(df: DataFrame, limit: int = DIRECT_LIMIT) -> list[Fill]:
+def global_fills(df: DataFrame) -> list[Fill]:
     """One plan from all rows, for parts of a table that are filled separately."""
-    return fill_plan(df, "median", limit)
+    return fill_plan(df, "median")
 
 
-def train_medians(train: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT) -> dict[str, float]:
+def train_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Medians of the training rows only, to fill any split with."""
-    found = exact_quantiles(train, columns, [0.5], limit)
+    found = exact_quantiles(train, columns, [0.5])
     return {c: v for (c, _), v in found.items() if v is not None}
 
 
@@ -159,7 +152,6 @@ def remove_outliers(
     columns: Sequence[str] | None = None,
     sequential: bool = False,
     keep_nulls: bool = True,
-    limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """Rows inside the IQR fences of every numeric column.
 
@@ -170,7 +162,7 @@ def remove_outliers(
     columns = list(columns or column_classes(df).numeric)
 
     def inside(frame: DataFrame, names: Sequence[str]) -> DataFrame:
-        quartiles = quartile_map(frame, names, limit)
+        quartiles = quartile_map(frame, names)
         for c in names:
             x = col(c).cast("double")
             bad = outside(x, *fences_of(quartiles[c][0], quartiles[c][2]))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col
-from sievemark.operators.order import number_rows, running_totals
+from sievemark.operators.order import running_totals, with_row_id
 from sievemark.session import small_frame
 
 # How much better a candidate must be, and how much worse it may not be.
@@ -65,8 +65,7 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     grouped = df.groupBy(col(score).cast("double").alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
-    ordered, n = number_rows(grouped, [F.desc("score")])
-    run = running_totals(ordered, n, {"tp": "pos", "fp": "neg"})
+    run = running_totals(with_row_id(grouped, [F.desc("score")]), {"tp": "pos", "fp": "neg"})
     totals = df.agg(F.count_if(y == 1).alias("all_pos"), F.count_if(y == 0).alias("all_neg")).first()
     pos, neg = F.lit(totals["all_pos"]), F.lit(totals["all_neg"])
     return run.select(

@@ -18,7 +18,7 @@ from sievemark.functions.columns import col
 from sievemark.functions.hashing import row_hash
 from sievemark.session import materialize, small_frame
 
-BUCKET_ROWS = 65_536
+BUCKET_ROWS = 16_384  # also the number of buckets in a super bucket
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 OrderKey = str | Column
@@ -84,34 +84,26 @@ def _bucketed(df: DataFrame, row_id: str) -> DataFrame:
     return df.withColumn("_bucket", F.floor((col(row_id) - 1) / F.lit(BUCKET_ROWS)))
 
 
-def _carry(buckets: DataFrame, fold: dict[str, dict], rows: int) -> DataFrame:
+def _carry(buckets: DataFrame, fold: dict[str, dict]) -> DataFrame:
     """For each bucket, every folded value over all buckets before it.
 
-    Up to 65,536 buckets are one small window. Beyond that, 65,536 buckets form a super
-    bucket, so even 10^12 rows leave a few hundred super buckets for the only window that
-    has no partition.
+    Buckets are folded within super buckets, and these in the only window that has no
+    partition: a few thousand rows for 10^12 rows of data.
     """
-    before = lambda *by: Window.partitionBy(*by).orderBy("_bucket").rowsBetween(
+    before = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    if rows <= BUCKET_ROWS * BUCKET_ROWS:
-        none = {n: F.lit(None) for n in fold}
-        return buckets.select("_bucket", *[
-            f["combine"](f["over_window"](n, before()), none[n]).alias(f"{n}_carry")
-            for n, f in fold.items()
-        ])
     supers = buckets.withColumn("_super", F.floor(F.col("_bucket") / F.lit(BUCKET_ROWS)))
     per_super = supers.groupBy("_super").agg(
         *[f["over_group"](n, "_bucket").alias(n) for n, f in fold.items()]
     )
-    prior_super = Window.orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
     top = per_super.select(
-        "_super", *[f["over_window"](n, prior_super).alias(f"{n}_top") for n, f in fold.items()]
+        "_super", *[f["over_window"](n, before("_super")).alias(f"{n}_top") for n, f in fold.items()]
     )
     return supers.join(F.broadcast(top), "_super").select(
         "_bucket",
         *[
-            f["combine"](f["over_window"](n, before("_super")), F.col(f"{n}_top")).alias(f"{n}_carry")
+            f["combine"](f["over_window"](n, before("_super", "_bucket")), F.col(f"{n}_top")).alias(f"{n}_carry")
             for n, f in fold.items()
         ],
     )
@@ -129,22 +121,12 @@ _LAST = {
 }
 
 
-def running_totals(
-    numbered: DataFrame, n: int, totals: dict[str, str], row_id: str = "_row_id"
-) -> DataFrame:
-    """Add inclusive running sums to n numbered rows; ``totals`` maps new name to column.
-
-    No more rows than a bucket holds are one window; larger tables go bucket by bucket.
-    """
-    if n <= BUCKET_ROWS:
-        every = Window.orderBy(col(row_id)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return numbered.withColumns({
-            new: F.coalesce(F.sum(col(old)).over(every), F.lit(0)) for new, old in totals.items()
-        })
+def running_totals(numbered: DataFrame, totals: dict[str, str], row_id: str = "_row_id") -> DataFrame:
+    """Add inclusive running sums to numbered rows, bucket by bucket; ``totals`` maps new name to column."""
     rows = _bucketed(numbered, row_id)
     temp = {f"_rt{i}": (new, old) for i, (new, old) in enumerate(totals.items())}
     sums = rows.groupBy("_bucket").agg(*[F.sum(col(old)).alias(t) for t, (_, old) in temp.items()])
-    carry = _carry(sums, {t: _SUM for t in temp}, n)
+    carry = _carry(sums, {t: _SUM for t in temp})
     inside = Window.partitionBy("_bucket").orderBy(col(row_id)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -169,8 +151,7 @@ def forward_fill(
     with a third of the rows is spread over many buckets.
     """
     keys = [*within, *order_by]
-    numbered, n = number_rows(df, keys)
-    rows = _bucketed(numbered, "_row_id")
+    rows = _bucketed(with_row_id(df, keys), "_row_id")
     held = {
         f"_ff{i}": F.when(
             col(c).isNotNull(), F.struct(*[col(k).alias(f"k{j}") for j, k in enumerate(within)],
@@ -184,12 +165,11 @@ def forward_fill(
     )
     target = dict(zip(columns, held))
     seen = {t: F.last(t, ignorenulls=True).over(inside) for t in held}
-    if n > BUCKET_ROWS:
-        last = rows.groupBy("_bucket").agg(*[
-            F.max_by(t, F.when(F.col(t).isNotNull(), F.col("_row_id"))).alias(t) for t in held
-        ])
-        rows = rows.join(_carry(last, {t: _LAST for t in held}, n), "_bucket")
-        seen = {t: F.coalesce(e, F.col(f"{t}_carry")) for t, e in seen.items()}
+    last = rows.groupBy("_bucket").agg(*[
+        F.max_by(t, F.when(F.col(t).isNotNull(), F.col("_row_id"))).alias(t) for t in held
+    ])
+    rows = rows.join(_carry(last, {t: _LAST for t in held}), "_bucket")
+    seen = {t: F.coalesce(e, F.col(f"{t}_carry")) for t, e in seen.items()}
     wide = rows.withColumns({f"{t}_seen": e for t, e in seen.items()})
 
     def filled(c: str) -> Column:
@@ -200,14 +180,3 @@ def forward_fill(
         return F.when(same, s["v"]).alias(c)
 
     return wide.select(*[filled(c) if c in target else col(c) for c in df.columns])
-
-
-def rank_within(
-    df: DataFrame, groups: Sequence[str], order_by: Sequence[OrderKey], name: str = "_rank"
-) -> DataFrame:
-    """Row number inside each group without putting a group into one task."""
-    numbered = with_row_id(df, [*groups, *order_by], name="_global")
-    starts = numbered.groupBy(*[col(g).alias(f"_g{i}") for i, g in enumerate(groups)]).agg(F.min("_global").alias("_start"))
-    return numbered.join(starts, same_keys(groups, "_g")).select(
-        *[col(c) for c in df.columns], (F.col("_global") - F.col("_start") + 1).alias(name)
-    )

@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 from sievemark.functions.columns import col, column_classes
 from sievemark.operators.order import with_row_id
 from sievemark.operators.profile import (
-    MIN_FENCE_VALUES, Quartiles, fences_of, numeric_pairs, outside, quartile_map,
+    MIN_FENCE_VALUES, Quartiles, fences_of, numeric_pairs, outside, quartile_map, sized_quartiles,
 )
-from sievemark.operators.quantiles import DIRECT_LIMIT
-from sievemark.operators.reshape import as_pairs, number
+from sievemark.operators.reshape import as_pairs
 from sievemark.session import small_frame
 
 FLAG = "_is_outlier"
@@ -25,29 +24,21 @@ def drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(FLAG)
 
 
-def fence_map(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int = DIRECT_LIMIT, quartiles: Quartiles | None = None
-) -> dict[str, tuple[float | None, float | None]]:
+def _fences(quartiles: Quartiles, sizes: dict[str, int]) -> dict[str, tuple[float | None, float | None]]:
+    return {c: fences_of(q[0], q[2]) if sizes[c] >= MIN_FENCE_VALUES else (None, None) for c, q in quartiles.items()}
+
+
+def fence_map(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, tuple[float | None, float | None]]:
     """(low, high) per numeric column; none for columns with fewer than four values."""
-    columns = list(columns or column_classes(df).numeric)
-    if not columns:
-        return {}
-    counts = df.agg(*[F.count(number(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    quartiles = quartiles or quartile_map(df, columns, limit)
-    return {
-        c: fences_of(quartiles[c][0], quartiles[c][2])
-        if counts[f"n{i}"] >= MIN_FENCE_VALUES else (None, None)
-        for i, c in enumerate(columns)
-    }
-
-
-def iqr_fences(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int = DIRECT_LIMIT
-) -> DataFrame:
+    quartiles, scanned = sized_quartiles(df, list(columns or column_classes(df).numeric))
+    return _fences(quartiles, scanned.sizes)
+
+
+def iqr_fences(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, q1, q3, lower_fence, upper_fence), one row per numeric column."""
     columns = list(columns or column_classes(df).numeric)
-    quartiles = quartile_map(df, columns, limit)
-    fences = fence_map(df, columns, limit, quartiles)
+    quartiles, scanned = sized_quartiles(df, columns)
+    fences = _fences(quartiles, scanned.sizes)
     return small_frame(
         df.sparkSession,
         [(c, quartiles[c][0], quartiles[c][2], *fences[c]) for c in columns],
@@ -69,9 +60,9 @@ def _outlying_cells(df: DataFrame, fences: dict, keep: Sequence[str] = ()) -> Da
     return as_pairs(slim, list(fences), "double", keep=keep).filter(F.col("value").isNotNull())
 
 
-def iqr_anomalies(df: DataFrame, limit: int = DIRECT_LIMIT) -> DataFrame:
+def iqr_anomalies(df: DataFrame) -> DataFrame:
     """(column, lower_fence, upper_fence, outlier_count) of the columns with outliers."""
-    fences = {c: f for c, f in fence_map(df, limit=limit).items() if f[0] is not None}
+    fences = {c: f for c, f in fence_map(df).items() if f[0] is not None}
     schema = "column string, lower_fence double, upper_fence double"
     bounds = small_frame(df.sparkSession, [(c, *f) for c, f in fences.items()], schema)
     if not fences:
@@ -84,13 +75,13 @@ def iqr_anomalies(df: DataFrame, limit: int = DIRECT_LIMIT) -> DataFrame:
 
 
 def anomaly_rows(
-    df: DataFrame, order_by: Sequence[str], cap: int | None = None, limit: int = DIRECT_LIMIT
+    df: DataFrame, order_by: Sequence[str], cap: int | None = None
 ) -> DataFrame:
     """(column, row_index, value): every outlying cell with the 0-based position of its row.
 
     ``cap`` keeps the first so many per column.
     """
-    fences = {c: f for c, f in fence_map(df, limit=limit).items() if f[0] is not None}
+    fences = {c: f for c, f in fence_map(df).items() if f[0] is not None}
     if not fences:
         return small_frame(df.sparkSession, [], "column string, row_index bigint, value double")
     numbered = with_row_id(df, order_by).withColumn("row_index", F.col("_row_id") - 1)
@@ -106,14 +97,13 @@ def flag_outliers(
     columns: Sequence[str] | None = None,
     cap: int | None = None,
     order_by: Sequence[str] | None = None,
-    limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """Add ``_is_outlier``: outside the fences of any numeric column.
 
     Without a cap this is a predicate on literals: no join, no shuffle. With a cap only
     the first ``cap`` outliers per column in row order count.
     """
-    fences = fence_map(df, columns, limit)
+    fences = fence_map(df, columns)
     if cap is None:
         return df.withColumn(FLAG, outlier_predicate(fences))
     numbered = with_row_id(df, order_by or [])
@@ -155,13 +145,13 @@ def cells_outside_fences(
 
 
 def outlier_counts(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int = DIRECT_LIMIT
+    df: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """(column, n, outliers); a column whose quartiles are equal has none."""
     columns = list(columns or column_classes(df).numeric)
     schema = "column string, position int, low double, high double"
     bounds = []
-    for i, (c, (q1, _, q3)) in enumerate(quartile_map(df, columns, limit).items()):
+    for i, (c, (q1, _, q3)) in enumerate(quartile_map(df, columns).items()):
         spread = q1 is not None and q3 > q1
         bounds.append((c, i, *(fences_of(q1, q3) if spread else (None, None))))
     frame = small_frame(df.sparkSession, bounds, schema)
@@ -176,9 +166,9 @@ def outlier_counts(
     )
 
 
-def pooled_outlier_ratio(df: DataFrame, limit: int = DIRECT_LIMIT) -> DataFrame:
+def pooled_outlier_ratio(df: DataFrame) -> DataFrame:
     """One row: values, outliers and their ratio pooled over all numeric columns."""
-    return outlier_counts(df, limit=limit).agg(
+    return outlier_counts(df).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("values"),
         F.coalesce(F.sum("outliers"), F.lit(0)).alias("outliers"),
     ).withColumn("ratio", F.try_divide(F.col("outliers"), F.col("values")))

@@ -7,7 +7,7 @@ and each task sends one row per column to the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from sievemark.functions.columns import col, column_classes
 from sievemark.functions.stats import coef_variation, kurt_adjusted, skew_adjusted, stable_round
 from sievemark.operators.categorical import numeric_modes
 from sievemark.operators.correlation import trend_labels
-from sievemark.operators.quantiles import DIRECT_LIMIT, exact_quantiles
+from sievemark.operators.quantiles import Sketch, quantiles_of, sketch
 from sievemark.operators.reshape import as_pairs, number
 from sievemark.session import small_frame
 
@@ -32,9 +32,27 @@ def number_or_null(value: float | None) -> Column:
     return F.lit(None).cast("double") if value is None else F.lit(float(value))
 
 
-def quartile_map(df: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT) -> Quartiles:
-    found = exact_quantiles(df, columns, QUARTILES, limit)
-    return {c: tuple(found[c, p] for p in QUARTILES) for c in columns}
+def sized_quartiles(
+    df: DataFrame, columns: Sequence[str], also: Mapping[str, Column] | None = None
+) -> tuple[Quartiles, Sketch]:
+    """Quartiles, and the sketch they came from: counts and further aggregates over ``value`` of its scan."""
+    scanned = sketch(df, columns, QUARTILES, also)
+    found = quantiles_of(df, scanned, columns)
+    return {c: tuple(found[c, p] for p in QUARTILES) for c in columns}, scanned
+
+
+def quartile_map(df: DataFrame, columns: Sequence[str]) -> Quartiles:
+    return sized_quartiles(df, columns)[0]
+
+
+def scanned_stats(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], stats: Mapping[str, Column], schema: str
+) -> DataFrame:
+    """(column, stats..., quantiles...), one row per column; ``schema`` types them in this order."""
+    scanned = sketch(df, columns, probs, stats)
+    found = quantiles_of(df, scanned, columns)
+    rows = [(c, *[scanned.also[c][n] for n in stats], *[found[c, p] for p in scanned.probs]) for c in columns]
+    return small_frame(df.sparkSession, rows, schema)
 
 
 def fences_of(q1: float | None, q3: float | None, width: float = 1.5):
@@ -63,21 +81,13 @@ def quartile_frame(df: DataFrame, quartiles: Quartiles) -> DataFrame:
     )
 
 
-def median_frame(df: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT) -> DataFrame:
-    """(column, median), one row per column."""
-    found = exact_quantiles(df, columns, [0.5], limit)
-    return small_frame(
-        df.sparkSession, [(c, found[c, 0.5]) for c in columns], "column string, median double"
-    )
-
-
 def column_profile(
-    df: DataFrame, order_by: Sequence[str] | None = None, limit: int = DIRECT_LIMIT
+    df: DataFrame, order_by: Sequence[str] | None = None
 ) -> DataFrame:
     """Mean, quartiles, spread, range, missing share and outliers of every column.
 
-    Quartiles are fixed first, so that one further scan gives all other statistics,
-    outlier counts included. The trend needs a row order and is null without one.
+    The scan that proposes the quartiles gives all other statistics too; one further scan counts
+    outliers. The trend needs a row order and is null without one.
     """
     numeric = list(column_classes(df).numeric)
     others = [c for c in df.columns if c not in numeric]
@@ -87,23 +97,31 @@ def column_profile(
     )
     parts = []
     if numeric:
-        bounds = quartile_frame(df, quartile_map(df, numeric, limit))
         v = F.col("value")
-        stats = numeric_pairs(df, numeric).join(F.broadcast(bounds), "column").groupBy("column").agg(
-            F.count(F.lit(1)).alias("rows"),
-            (F.count(F.lit(1)) - F.count(v)).alias("missing_count"),
-            six(F.avg(v)).alias("mean"),
-            six(F.first("median")).alias("median"),
-            six(F.stddev_samp(v)).alias("std"),
-            six(F.min(v)).alias("min"),
-            six(F.max(v)).alias("max"),
-            six(F.first("q1")).alias("q1"),
-            six(F.first("q3")).alias("q3"),
-            F.when(
-                F.count(v) >= MIN_FENCE_VALUES,
-                F.count_if((v < F.col("low")) | (v > F.col("high"))),
-            ).otherwise(F.lit(0)).alias("outlier_count"),
+        stats = {
+            "rows": F.count(F.lit(1)), "missing_count": F.count(F.lit(1)) - F.count(v), "mean": F.avg(v),
+            "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v),
+        }
+        quartiles, scanned = sized_quartiles(df, numeric, stats)
+        rows = [
+            (c, *[scanned.also[c][n] if scanned.also[c][n] is not None else 0 if n in ("rows", "missing_count") else None for n in stats], *quartiles[c])
+            for c in numeric
+        ]
+        known = small_frame(
+            df.sparkSession, rows,
+            "column string, rows bigint, missing_count bigint, mean double, std double, min double, max double, q1 double, median double, q3 double",
         )
+        fences = {c: fences_of(q[0], q[2]) for c, q in quartiles.items() if scanned.sizes[c] >= MIN_FENCE_VALUES}
+        known = known.select("column", "rows", "missing_count", *[six(F.col(c)).alias(c) for c in known.columns[3:]])
+        if fences:
+            bounds = small_frame(df.sparkSession, [(c, *f) for c, f in fences.items()], "column string, low double, high double")
+            beyond = numeric_pairs(df, list(fences)).join(F.broadcast(bounds), "column").groupBy("column").agg(
+                F.count_if((v < F.col("low")) | (v > F.col("high"))).alias("outlier_count")
+            )
+            stats = known.join(F.broadcast(beyond), "column", "left")  # a row per column
+        else:
+            stats = known.withColumn("outlier_count", F.lit(0).cast("bigint"))
+        stats = stats.filter("rows > 0")
         parts.append(stats)
     if others:
         flags = df.select(*[F.isnull(col(c)).alias(c) for c in others]).unpivot(
@@ -136,34 +154,34 @@ def column_profile(
 
 
 def descriptive_stats(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int = DIRECT_LIMIT
+    df: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Sample deviation and variance, range, median and mode of numeric columns."""
     columns = list(columns or column_classes(df).numeric)
-    bounds = median_frame(df, columns, limit)
     v = F.col("value")
-    stats = numeric_pairs(df, columns).join(F.broadcast(bounds), "column").groupBy("column").agg(
-        F.count(v).alias("n"),
-        F.stddev_samp(v).alias("standard_deviation"),
-        F.var_samp(v).alias("variance"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        (F.max(v) - F.min(v)).alias("range"),
-        F.first("median").alias("median"),
+    stats = scanned_stats(
+        df, columns, [0.5],
+        {
+            "n": F.count(v), "standard_deviation": F.stddev_samp(v), "variance": F.var_samp(v), "min": F.min(v),
+            "max": F.max(v), "range": F.max(v) - F.min(v),
+        },
+        "column string, n bigint, standard_deviation double, variance double, min double, max double, range double, median double",
     ).filter("n > 0").drop("n")
     return stats.join(F.broadcast(numeric_modes(df, columns)), "column", "left")
 
 
-def viewer_stats(df: DataFrame, columns: Sequence[str], limit: int = DIRECT_LIMIT) -> DataFrame:
+def viewer_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Population statistics over the leading numbers of any columns; mode is the smallest."""
     parsed = df.select(*[number_prefix(col(c)).alias(c) for c in columns])
-    bounds = median_frame(parsed, columns, limit)
     v = F.col("value")
-    stats = numeric_pairs(parsed, columns).join(F.broadcast(bounds), "column").groupBy("column").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.first("median").alias("median"),
-        F.var_pop(v).alias("variance"), F.stddev_pop(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"), (F.max(v) - F.min(v)).alias("range"),
-    )
+    stats = scanned_stats(
+        parsed, columns, [0.5],
+        {
+            "count": F.count(v), "mean": F.avg(v), "variance": F.var_pop(v), "std": F.stddev_pop(v), "min": F.min(v),
+            "max": F.max(v), "range": F.max(v) - F.min(v),
+        },
+        "column string, count bigint, mean double, variance double, std double, min double, max double, range double, median double",
+    ).filter("count IS NOT NULL")
     return stats.join(F.broadcast(numeric_modes(parsed, columns)), "column", "left")
 
 
@@ -189,17 +207,15 @@ def pearson_skew(profile: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def describe(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int = DIRECT_LIMIT
+    df: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """count, mean, std, min, quartiles and max with exact quartiles."""
     columns = list(columns or column_classes(df).numeric)
-    bounds = quartile_frame(df, quartile_map(df, columns, limit))
     v = F.col("value")
-    return numeric_pairs(df, columns).join(F.broadcast(bounds), "column").groupBy("column").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.first("q1").alias("p25"), F.first("median").alias("p50"),
-        F.first("q3").alias("p75"), F.max(v).alias("max"),
-    )
+    return scanned_stats(
+        df, columns, QUARTILES, {"count": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)},
+        "column string, count bigint, mean double, std double, min double, max double, p25 double, p50 double, p75 double",
+    ).filter("count IS NOT NULL")
 
 
 def missing_counts(df: DataFrame) -> DataFrame:

@@ -1,30 +1,31 @@
 """Exact linear-interpolated quantiles without a shuffle of the data.
 
-``percentile`` keeps a map of distinct values in one task, which is fine only while that
-map is known to be small. Tables go through sampled selection instead: a small sample
-proposes an interval around each wanted order statistic, one scan counts the values under,
-inside and over every interval, and the interval shrinks until what lies inside is few
-enough to sort. The sample only proposes; the counts decide, so the answer is exact, and a
+One scan builds a mergeable quantile sketch of every column and counts its values. The sketch
+proposes an interval around each wanted order statistic that its error bound makes
+narrow; a second scan counts the values under, inside and over every interval, and a third sorts what lies
+inside. Where that is still too much to sort, a sketch of the inside narrows the interval
+first. The sketch only proposes; the counts decide, so the answer is exact, and a
 value that fills a third of the rows ends up as the answer or as an excluded edge.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col
 from sievemark.operators.reshape import number
 from sievemark.session import small_frame
 
-DIRECT_LIMIT = 0  # rows up to which one in-memory percentile is used; by default every size takes the same path
 INSIDE_LIMIT = 500_000  # values of an interval that may be sorted in one task
-_CACHED_CELLS = 50_000_000
-_MIN_SAMPLE, _MAX_SAMPLE = 40_000, 1_000_000
+_FINEST, _COARSEST = 10_000, 500  # reciprocal rank error of a sketch, by the number of columns
+_GRID = 1_000  # fractions asked of the sketch of an interval lie on a grid of so many
+_OBJECT_GROUPS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 
 
 @dataclass(frozen=True)
@@ -51,25 +52,22 @@ def _numbered(intervals: list[_Interval]) -> dict[str, list[_Interval]]:
     return out
 
 
-def _held_values(df: DataFrame, intervals: list[_Interval], sample: bool = False) -> DataFrame:
+def _held_values(df: DataFrame, intervals: list[_Interval]) -> DataFrame:
     """(column, slot, value) of the values inside any interval of their column.
 
     Intervals of a column do not overlap, so a value has at most one slot. The bounds
     come from a broadcast row per column, which keeps the generated code as small as one
-    column needs. With ``sample``, each interval gives up about its sample size.
+    column needs.
     """
     grouped = _numbered(intervals)
     slots = max(map(len, grouped.values()))
     rows = []
     for c, bs in grouped.items():
-        padded = [(b.low, b.high, _sample_size(b.inside) / b.inside) for b in bs]
-        padded += [(None, None, None)] * (slots - len(bs))
-        rows.append((c, len(bs), *[x for triple in padded for x in triple]))
-    schema = "column string, slots int, " + ", ".join(
-        f"low{j} double, high{j} double, share{j} double" for j in range(slots)
-    )
+        padded = [(b.low, b.high) for b in bs] + [(None, None)] * (slots - len(bs))
+        rows.append((c, len(bs), *[x for pair in padded for x in pair]))
+    schema = "column string, slots int, " + ", ".join(f"low{j} double, high{j} double" for j in range(slots))
     bounds = small_frame(df.sparkSession, rows, schema)
-    v, slot, share = F.col("value"), F.lit(None).cast("int"), F.lit(None).cast("double")
+    v, slot = F.col("value"), F.lit(None).cast("int")
     for j in range(slots):
         mine = (
             (F.col("slots") > j)
@@ -77,68 +75,46 @@ def _held_values(df: DataFrame, intervals: list[_Interval], sample: bool = False
             & (F.col(f"high{j}").isNull() | (v < F.col(f"high{j}")))
         )
         slot = F.when(mine, F.lit(j)).otherwise(slot)
-        share = F.when(mine, F.col(f"share{j}")).otherwise(share)
-    kept = _pairs(df.select(*[col(c) for c in grouped])).join(F.broadcast(bounds), "column").select(
-        "column", slot.alias("slot"), "value", share.alias("share")
-    ).filter("slot IS NOT NULL")
-    if sample:
-        kept = kept.filter(F.rand(17) < F.col("share"))
-    return kept.select("column", "slot", "value")
-
-
-def _pick(held: DataFrame, intervals: list[_Interval], at: Callable, name: str) -> list[list[float]]:
-    """Sort each interval's values and read the places ``at`` gives for it."""
-    places = {
-        (c, j): at(b) for c, bs in _numbered(intervals).items() for j, b in enumerate(bs)
-    }
-    asked = small_frame(
-        held.sparkSession,
-        [(c, j, [float(x) for x in xs]) for (c, j), xs in places.items()],
-        f"column string, slot int, {name} array<double>",
-    )
-    size = F.size("sorted")
-    index = {
-        "fraction": lambda p: F.floor(p * (size - 1)).cast("int") + 1,
-        "rank": lambda p: p.cast("int") + 1,
-    }[name]
-    rows = (
-        held.groupBy("column", "slot").agg(F.sort_array(F.collect_list("value")).alias("sorted"))
-        .join(F.broadcast(asked), ["column", "slot"])
-        .select("column", "slot", F.transform(name, lambda p: F.element_at("sorted", index(p))).alias("v"))
-        .collect()
-    )
-    found = {(r["column"], r["slot"]): r["v"] for r in rows}
-    slots = {id(b): (c, j) for c, bs in _numbered(intervals).items() for j, b in enumerate(bs)}
-    return [found[slots[id(b)]] for b in intervals]
+    kept = _pairs(df.select(*[col(c) for c in grouped])).join(F.broadcast(bounds), "column")
+    return kept.select("column", slot.alias("slot"), "value").filter("slot IS NOT NULL")
 
 
-def _sample_size(inside: int) -> int:
-    return min(inside, max(_MIN_SAMPLE, min(_MAX_SAMPLE, inside // 50)))
+@contextmanager
+def _many_groups(spark: SparkSession, groups: int) -> Iterator[None]:
+    """Let a task keep that many sketches before it falls back to sorting its rows."""
+    before = spark.conf.get(_OBJECT_GROUPS)
+    spark.conf.set(_OBJECT_GROUPS, str(max(int(before), 2 * groups)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_OBJECT_GROUPS, before)
 
 
-def _around(b: _Interval) -> list[float]:
-    """Fractions of the interval that enclose each run of neighbouring ranks."""
-    slack = 2.5 / math.sqrt(_sample_size(b.inside))  # five standard errors at the median
-    out: list[float] = []
-    for r in b.ranks:
-        at = (r - b.below) / b.inside
-        if out and at - slack <= out[-1]:
-            out[-1] = min(1.0, at + slack)
-        else:
-            out += [max(0.0, at - slack), min(1.0, at + slack)]
-    return out
+def _accuracy(groups: int) -> int:
+    """Finer for few columns, so that the sketches of a task stay at some megabytes."""
+    return max(_COARSEST, min(_FINEST, 1_000_000 // groups))
 
 
 def _propose(df: DataFrame, intervals: list[_Interval]) -> list[list[float]]:
-    """Edges around the wanted ranks, read off a sample of each interval."""
-    # Each interval by its own share, so a sparse column does not enlarge the sample of a dense one.
-    held = _held_values(df, intervals, sample=True)
-    return _pick(held, intervals, _around, "fraction")
+    """Edges around the wanted ranks, read off a sketch of the values inside each interval."""
+    accuracy = _accuracy(len(intervals))
+    wanted: list[set[float]] = []
+    for b in intervals:
+        at = [(r - b.below) / b.inside for r in b.ranks]
+        slack = 2 / accuracy
+        wanted.append({max(0, math.floor((x - slack) * _GRID)) / _GRID for x in at} | {min(_GRID, math.ceil((x + slack) * _GRID)) / _GRID for x in at})
+    fractions = sorted(set().union(*wanted))
+    sketched = _held_values(df, intervals).groupBy("column", "slot").agg(F.percentile_approx("value", fractions, accuracy).alias("at"))
+    with _many_groups(df.sparkSession, len(intervals)):
+        found = {(r["column"], r["slot"]): dict(zip(fractions, r["at"])) for r in sketched.collect()}
+    slots = {id(b): (c, j) for c, bs in _numbered(intervals).items() for j, b in enumerate(bs)}
+    return [sorted(found[slots[id(b)]][x] for x in xs) for b, xs in zip(intervals, wanted)]
 
 
-def _narrow(df: DataFrame, intervals: list[_Interval], answers: dict) -> list[_Interval]:
+def _narrow(
+    df: DataFrame, intervals: list[_Interval], proposed: list[list[float]], answers: dict
+) -> list[_Interval]:
     """Count the zones between all proposed edges and move each rank into its zone."""
-    proposed = _propose(df, intervals)
     edges: dict[str, list[float]] = {}
     for c, bs in _numbered(intervals).items():
         points = {e for b, found in zip(intervals, proposed) if b.column == c for e in found}
@@ -179,75 +155,106 @@ def _narrow(df: DataFrame, intervals: list[_Interval], answers: dict) -> list[_I
 
 
 def _select(df: DataFrame, intervals: list[_Interval], answers: dict) -> None:
-    """Sort what is left of each interval, at most ``INSIDE_LIMIT`` values, and pick."""
-    picked = _pick(
-        _held_values(df, intervals), intervals, lambda b: [r - b.below for r in b.ranks], "rank"
+    """Sort what is left of each interval, at most ``INSIDE_LIMIT`` values, and read the wanted places."""
+    numbered = [(c, j, b) for c, bs in _numbered(intervals).items() for j, b in enumerate(bs)]
+    asked = small_frame(
+        df.sparkSession, [(c, j, [r - b.below + 1 for r in b.ranks]) for c, j, b in numbered], "column string, slot int, places array<int>"
     )
-    for b, values in zip(intervals, picked):
-        answers.update({(b.column, k): v for k, v in zip(b.ranks, values)})
+    rows = (
+        _held_values(df, intervals).groupBy("column", "slot").agg(F.sort_array(F.collect_list("value")).alias("sorted"))
+        .join(F.broadcast(asked), ["column", "slot"])
+        .select("column", "slot", F.transform("places", lambda p: F.element_at("sorted", p)).alias("v"))
+    )
+    with _many_groups(df.sparkSession, len(intervals)):
+        found = {(r["column"], r["slot"]): r["v"] for r in rows.collect()}
+    for c, j, b in numbered:
+        answers.update({(c, k): v for k, v in zip(b.ranks, found[c, j])})
 
 
-def order_statistics(
-    df: DataFrame, wanted: dict[str, set[int]], sizes: dict[str, int], inside: int = INSIDE_LIMIT
-) -> dict[tuple[str, int], float]:
-    """{(column, rank): value} for 0-based ranks among the ``sizes`` non-null doubles of each column."""
-    answers: dict[tuple[str, int], float] = {}
-    open_ = [_Interval(c, tuple(sorted(rs)), None, None, 0, sizes[c]) for c, rs in wanted.items()]
+def _settle(df: DataFrame, open_: list[_Interval], answers: dict, inside: int) -> None:
+    """Answer the ranks of all intervals."""
     while open_:
         few = [b for b in open_ if b.inside <= inside]
         many = [b for b in open_ if b.inside > inside]
         if few:
             _select(df, few, answers)
-        open_ = _narrow(df, many, answers) if many else []
+        open_ = _narrow(df, many, _propose(df, many), answers) if many else []
+
+
+def order_statistics(
+    df: DataFrame, wanted: dict[str, set[int]], sizes: dict[str, int], inside: int = INSIDE_LIMIT
+) -> dict[tuple[str, int], float]:
+    """{(column, rank): value} for 0-based ranks among the ``sizes`` non-null doubles of each column."""
+    answers: dict[tuple[str, int], float] = {}
+    _settle(df, [_Interval(c, tuple(sorted(rs)), None, None, 0, sizes[c]) for c, rs in wanted.items()], answers, inside)
     return answers
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    limit: int = DIRECT_LIMIT,
-    inside: int = INSIDE_LIMIT,
-) -> dict[tuple[str, float], float | None]:
-    """{(column, p): value}; None for a column without values."""
-    columns = list(columns)
+@dataclass(frozen=True)
+class Sketch:
+    """Of each column: the number of values, the edges proposed for ``probs``, and further aggregates."""
+
+    probs: tuple[float, ...]
+    sizes: dict[str, int]
+    edges: dict[str, list[float]]
+    also: dict[str, dict[str, object]] = field(default_factory=dict)
+
+
+def sketch(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], also: Mapping[str, Column] | None = None
+) -> Sketch:
+    """One scan of all columns: their sketches, their counts, and aggregates over ``value`` under the given names."""
+    columns, also = list(columns), dict(also or {})
+    accuracy = _accuracy(len(columns) or 1)
+    share = 2 / accuracy  # the edges themselves are off by one part in the accuracy
+    fractions = sorted({x for p in probs for x in (max(0.0, p - share), min(1.0, p + share))})
     if not columns:
-        return {}
-    df = df.select(*[number(df, c).alias(c) for c in columns])
-    rows = df.count()
-    if rows <= limit:
-        ask = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(col(c), ask).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-        return {
-            (c, p): (row[f"q{i}"][j] if row[f"q{i}"] else None)
-            for i, c in enumerate(columns)
-            for j, p in enumerate(probs)
-        }
-    # A table of a few hundred megabytes is spread over all cores and kept for the passes;
-    # a larger one is scanned again each time, as its files are already spread.
-    small = inside < rows and rows * len(columns) <= _CACHED_CELLS
-    if small:
-        tasks = df.sparkSession.sparkContext.defaultParallelism
-        df = df.repartition(tasks, *[col(c) for c in columns]).persist()
-    counts = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    sizes = {c: counts[f"n{i}"] for i, c in enumerate(columns)}
-    wanted = {
-        c: {k for p in probs for k in (math.floor(p * (sizes[c] - 1)), math.ceil(p * (sizes[c] - 1)))}
-        for c in columns
-        if sizes[c]
-    }
-    stats = order_statistics(df, wanted, sizes, inside)
-    if small:
-        df.unpersist()
+        return Sketch(tuple(probs), {}, {}, {})
+    numbers = df.select(*[number(df, c).alias(c) for c in columns])
+    asked = F.percentile_approx("value", fractions, accuracy) if fractions else F.lit(None)
+    grouped = numbers.unpivot([], [col(c) for c in columns], "column", "value").groupBy("column").agg(
+        F.count("value").alias("__n"), asked.alias("__at"), *[e.alias(n) for n, e in also.items()]
+    )
+    with _many_groups(df.sparkSession, len(columns)):
+        rows = {r["column"]: r for r in grouped.collect()}
+    there = lambda c, n: rows[c][n] if c in rows else None  # noqa: E731  no row at all in an empty table
+    return Sketch(
+        tuple(probs), {c: there(c, "__n") or 0 for c in columns}, {c: sorted(set(there(c, "__at") or ())) for c in columns},
+        {c: {n: there(c, n) for n in also} for c in columns},
+    )
+
+
+def quantiles_of(
+    df: DataFrame, found: Sketch, columns: Sequence[str], inside: int = INSIDE_LIMIT
+) -> dict[tuple[str, float], float | None]:
+    """{(column, p): value} from a sketch of the same rows; None for a column without values."""
+    columns, sizes = list(columns), found.sizes
+    places = {(c, p): p * (sizes[c] - 1) for c in columns for p in found.probs if sizes[c]}
+    open_ = []
+    for c in columns:
+        ranks = sorted({k for p in found.probs if sizes[c] for k in (math.floor(places[c, p]), math.ceil(places[c, p]))})
+        if ranks:
+            open_.append(_Interval(c, tuple(ranks), None, None, 0, sizes[c]))
+    answers: dict[tuple[str, int], float] = {}
+    if open_:
+        numbers = df.select(*[number(df, b.column).alias(b.column) for b in open_])
+        _settle(numbers, _narrow(numbers, open_, [found.edges[b.column] for b in open_], answers), answers, inside)
 
     def interpolated(c: str, p: float) -> float | None:
         if not sizes[c]:
             return None
-        at = p * (sizes[c] - 1)
-        low, high = math.floor(at), math.ceil(at)
-        return stats[c, low] + (at - low) * (stats[c, high] - stats[c, low])
+        low, high = math.floor(places[c, p]), math.ceil(places[c, p])
+        return answers[c, low] + (places[c, p] - low) * (answers[c, high] - answers[c, low])
+
+    return {(c, p): interpolated(c, p) for c in columns for p in found.probs}
+
 
-    return {(c, p): interpolated(c, p) for c in columns for p in probs}
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], inside: int = INSIDE_LIMIT
+) -> dict[tuple[str, float], float | None]:
+    """{(column, p): value}; None for a column without values. Three scans, whatever the number of columns."""
+    probs = [float(p) for p in probs]
+    return quantiles_of(df, sketch(df, columns, probs), columns, inside)
 
 
 def approx_quantiles(
@@ -265,11 +272,9 @@ def approx_quantiles(
     }
 
 
-def quantile_table(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], limit: int = DIRECT_LIMIT
-) -> DataFrame:
+def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Long form (column, prob, value), one row per column and probability."""
-    found = exact_quantiles(df, columns, probs, limit)
+    found = exact_quantiles(df, columns, probs)
     return small_frame(
         df.sparkSession,
         [(c, float(p), v) for (c, p), v in found.items()],

@@ -13,7 +13,6 @@ from sievemark.functions.casts import number_prefix
 from sievemark.operators.dedup import duplicate_counts
 from sievemark.operators.outliers import pooled_outlier_ratio
 from sievemark.operators.profile import missing_summary, numeric_pairs
-from sievemark.operators.quantiles import DIRECT_LIMIT
 from sievemark.operators.reshape import as_pairs
 
 
@@ -51,17 +50,17 @@ def score_uniqueness(df: DataFrame, profile: ScoringProfile = DEFAULT) -> DataFr
 
 
 def score_outliers(
-    df: DataFrame, profile: ScoringProfile = DEFAULT, limit: int = DIRECT_LIMIT
+    df: DataFrame, profile: ScoringProfile = DEFAULT
 ) -> DataFrame:
     raw = 1 - F.col("ratio")
-    return pooled_outlier_ratio(df, limit).select(
+    return pooled_outlier_ratio(df).select(
         raw.alias("raw"),
         F.coalesce(F.least(raw, F.lit(profile.cap)), F.lit(profile.untyped)).alias("outlier_score"),
     )
 
 
 def score_confidence(
-    df: DataFrame, profile: ScoringProfile = DEFAULT, limit: int = DIRECT_LIMIT
+    df: DataFrame, profile: ScoringProfile = DEFAULT
 ) -> DataFrame:
     """All scores of a typed table and their weighted blend, one row.
 
@@ -72,7 +71,7 @@ def score_confidence(
     named = (
         score_completeness(df, profile).select(F.lit("c").alias("k"), F.col("completeness").alias("v"))
         .unionByName(score_uniqueness(df, profile).select(F.lit("d").alias("k"), F.col("uniqueness").alias("v")))
-        .unionByName(score_outliers(df, profile, limit).select(F.lit("o").alias("k"), F.col("outlier_score").alias("v")))
+        .unionByName(score_outliers(df, profile).select(F.lit("o").alias("k"), F.col("outlier_score").alias("v")))
     )
     pick = lambda k: F.max(F.when(F.col("k") == k, F.col("v")))
     row = named.agg(

@@ -14,7 +14,6 @@ from sievemark.operators.dedup import dedup_rows
 from sievemark.operators.impute import Fill, apply_fills, fill_log, fill_plan, remove_outliers
 from sievemark.operators.infer import coerce_numeric
 from sievemark.operators.order import forward_fill
-from sievemark.operators.quantiles import DIRECT_LIMIT
 from sievemark.operators.rows import all_null, drop_empty_rows
 from sievemark.session import materialize, small_frame
 
@@ -57,7 +56,6 @@ def clean_table(
     df: DataFrame,
     profile: CleaningProfile = CleaningProfile(),
     order_by: Sequence[str] | None = None,
-    limit: int = DIRECT_LIMIT,
 ) -> Cleaned:
     """Names, empty rows and columns, copies, types, gaps, outliers, in that order.
 
@@ -91,7 +89,7 @@ def clean_table(
         kept = forward_fill(kept, kept.columns, order_by or [])
         filled = sum(_counts(kept)[2].values()) - sum(gaps.values())
     elif strategy in ("mean", "median", "smart"):
-        fills = fill_plan(kept, strategy, limit)
+        fills = fill_plan(kept, strategy)
         kept = apply_fills(kept, fills)
         filled = sum(f.filled for f in fills)
     rows_out = rows_distinct
@@ -100,7 +98,6 @@ def clean_table(
             kept,
             sequential=profile.sequential_outliers,
             keep_nulls=profile.keep_null_in_outlier_filter,
-            limit=limit,
         )
         rows_out = kept.count()
     metrics = small_frame(

@@ -1,10 +1,11 @@
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sievemark.operators import categorical, correlation, impute, outliers, profile, scores
+from sievemark.operators import categorical, correlation, impute, order, outliers, profile, scores
 
 SAMPLES = [[], [1.0], [1.0, 2.0], [1.0, 2.0, 4.0], [1.0, 1.0, 1.0, 5.0], [2.0] * 7, [1.0, 5.0, 2.0, 8.0, 3.0, 9.0, 4.0, 50.0]]
 
@@ -24,6 +25,42 @@ def test_correlation_with_constants_and_gaps(spark):
     assert got == {("a", "b"): pytest.approx(pdf["a"].corr(pdf["b"]), abs=1e-6)}
 
 
+def test_correlation_of_many_columns(spark, monkeypatch):
+    """200 columns with gaps in some, in one block and in several; columns equal to another, constant, and empty."""
+    random = np.random.default_rng(3)
+    values = random.normal(size=(400, 200)) * 10.0 ** random.integers(-3, 6, 200) + random.integers(-5, 6, 200) * 1e3
+    values[:, 7], values[:, 8] = values[:, 6] * -3 + 1, 0.1
+    for c in range(0, 200, 3):
+        values[random.random(400) < 0.3, c] = np.nan
+    values[:, 9] = np.nan
+    pdf = pd.DataFrame(values, columns=[f"c{i:03}" for i in range(200)])
+    df = spark.createDataFrame(pdf).repartition(5)
+    want = pdf.corr(min_periods=2)
+    for block in (1024, 90):
+        monkeypatch.setattr(correlation, "_BLOCK", block)
+        got = {(r["row"], r["col"]): r["r"] for r in correlation.heatmap_cells(df).collect()}
+        assert len(got) == 199 * 100
+        for (b, a), r in got.items():
+            assert (r is None) == (b in ("c008", "c009") or a in ("c008", "c009")) and (r is None or abs(r - want.loc[a, b]) < 1e-9)
+
+
+def test_positions_leave_gaps_out(spark, monkeypatch):
+    monkeypatch.setattr(order, "BUCKET_ROWS", 10)
+    random = np.random.default_rng(6)
+    pdf = pd.DataFrame({"id": range(300), "full": random.integers(0, 20, 300) * 1.0, "gaps": np.where(random.random(300) < 0.4, np.nan, random.random(300)), "none": np.nan})
+    df = spark.createDataFrame(pdf).repartition(7)
+    placed, counts = correlation.column_positions(df, ["id"], ["full", "gaps", "none"])
+    assert counts == {"full": 300, "gaps": int(pdf["gaps"].notna().sum())}
+    got = placed.toPandas()
+    for c in counts:
+        mine = got[got["column"] == c].sort_values("pos")
+        assert list(mine["pos"]) == list(range(1, counts[c] + 1)) and list(mine["value"]) == list(pdf[c].dropna())
+    rho = {r["column"]: r["rho"] for r in correlation.spearman_with_order(df, ["id"], ["full", "gaps", "none"]).collect()}
+    for c in counts:
+        kept = pdf[c].dropna().reset_index(drop=True)
+        assert rho[c] == pytest.approx(kept.rank().corr(pd.Series(range(len(kept))).astype(float)))
+
+
 @pytest.mark.parametrize("n,step,trend", [(4, 1, None), (5, 1, "increasing"), (43, 1, "increasing"), (44, -1, "decreasing"), (50, 0, "flat")])
 def test_trend_labels(spark, n, step, trend):
     df = spark.range(n).select("id", (F.col("id") * step).cast("double").alias("x"))
