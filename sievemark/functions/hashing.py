@@ -71,6 +71,6 @@ def config_fingerprint(config) -> str:
 
 
 def file_hashes(spark, path: str) -> DataFrame:
-    """md5 of the bytes of every file below ``path``."""
+    """md5 of the bytes of every file below ``path``; a file is one row, so one past 2 GB is refused by the reader."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "length", F.md5("content").alias("md5"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,30 +14,53 @@ from sievemark.functions.casts import na_tokens_to_null, nan_to_null
 from sievemark.functions.columns import col, column_classes, logical_type
 from sievemark.operators.infer import infer_types
 from sievemark.session import small_frame
+from sievemark.sources.csv_records import CORRUPT, csv_records, headers_of, lines_of, names_of, parsed, survey
 
 # Wrapper keys in the order they are looked for, and smallest useful tables.
 WRAPPER_KEYS = ("data", "results", "records", "items", "value")
 MIN_ROWS, MIN_COLUMNS = 3, 2
 MIN_ROWS_ACQUIRED, MIN_ROWS_FEATURES = 50, 10
-CORRUPT = "_corrupt_record"
+
+
+def _as_struct(schema: T.StructType | str | None) -> T.StructType | None:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _csv(
+    lines: DataFrame, schema: T.StructType | str | None, header: bool = True, corrupt: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
+    """The records of some files as columns, all text without a schema; columns of a schema go by their place."""
+    blocks = survey(lines)
+    records = csv_records(lines, blocks)
+    schema = _as_struct(schema)
+    if schema is None:
+        heads = headers_of(records, blocks)
+        names = names_of(heads[min(heads)]) if heads else []
+        schema = T.StructType([T.StructField(n if header else f"_c{i}", T.StringType()) for i, n in enumerate(names)])
+    if corrupt:
+        schema = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    return parsed(records.filter(~F.col("first")) if header else records, schema, keep)
+
+
+def _typed(text: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Text columns with the types their values have; ``keep`` stays as it is."""
+    apart = text.withColumns({c: col(c).cast("binary") for c in keep})  # not text for the steps between
+    found = narrow_integers(infer_types(na_tokens_to_null(apart)))
+    return found.withColumns({c: col(c).cast("string") for c in keep})
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, multi_line: bool = True
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, header: bool = True
 ) -> DataFrame:
     """CSV with a header; NA tokens become null and types come from the values.
 
-    Quoted values may hold line breaks and doubled quotes. Without ``multi_line`` a file is
-    split over many tasks, for data that is known to have one record per line.
+    Quoted values may hold line breaks and doubled quotes; a large file is still read by many tasks.
 
     Without a schema the text is read once to count what parses and once with the types;
-    give a schema to read once.
+    give a schema to save that.
     """
-    if schema is not None:
-        return nan_to_null(spark.read.csv(path, header=True, schema=schema, multiLine=multi_line, escape='"'))
-    # Quoted line breaks need whole files; Spark then splits the work by file.
-    text = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
-    return narrow_integers(infer_types(na_tokens_to_null(text)))
+    found = _csv(lines_of(spark, path), schema, header)
+    return nan_to_null(found) if schema is not None else _typed(found)
 
 
 def narrow_integers(df: DataFrame) -> DataFrame:
@@ -54,28 +79,23 @@ def narrow_integers(df: DataFrame) -> DataFrame:
 
 
 def read_csv_tolerant(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, encoding: str = "UTF-8"
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, encoding: str = "UTF-8", header: bool = True
 ) -> DataFrame:
-    """CSV that drops malformed lines and replaces undecodable bytes."""
-    reader = spark.read.option("header", True).option("mode", "DROPMALFORMED").option("encoding", encoding)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    """CSV that drops malformed records and replaces undecodable bytes."""
+    rows = _csv(lines_of(spark, path, encoding=encoding), schema, header, corrupt=True)
+    good = rows.filter(col(CORRUPT).isNull()).drop(CORRUPT)
+    return good if schema is not None else _typed(good)
 
 
 def read_csv_ragged(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, sampling: float = 1.0
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, header: bool = True
 ) -> DataFrame:
-    """CSV that cuts long lines and pads short ones; what fails to parse is null.
+    """CSV that cuts long records and pads short ones; what fails to parse is null.
 
-    The corrupt-record column keeps such lines for ``quarantine``.
+    The corrupt-record column keeps such records for ``quarantine``.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is None:
-        schema = reader.option("inferSchema", True).option("samplingRatio", sampling).csv(path).schema
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).schema(kept).csv(path)
+    rows = _csv(lines_of(spark, path), schema, header, corrupt=True)
+    return rows if schema is not None else _typed(rows, [CORRUPT])
 
 
 def quarantine(df: DataFrame, source: str | Column) -> DataFrame:
@@ -94,12 +114,6 @@ def read_csv_text(spark: SparkSession, lines: DataFrame, schema: T.StructType |
     return lines.select(F.from_csv(F.col("value"), F.lit(ddl)).alias("r")).select("r.*")
 
 
-def read_csv_inline(spark: SparkSession, text: str) -> DataFrame:
-    """A short CSV text given in the call, header first."""
-    lines = spark.sparkContext.parallelize(text.strip().splitlines(), 1)
-    return spark.read.csv(lines, header=True, inferSchema=True)
-
-
 def flatten(df: DataFrame) -> DataFrame:
     """Nested records as columns with dotted names; arrays and maps stay."""
     out: list[Column] = []
@@ -124,25 +138,35 @@ def _records_of(df: DataFrame, name: str) -> DataFrame:
     return flatten(exploded.select(f"{name}.*")) if isinstance(item, T.StructType) else exploded
 
 
-def read_json(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """A list of records, or the first list-valued key of a record, else the record."""
+_HEAD = 1 << 16  # characters of the first record in which the names of its keys are looked for
+
+
+def read_json(spark: SparkSession, path: str | list[str], multi_line: bool = True, records: bool | None = None) -> DataFrame:
+    """A list of records, or the first list-valued key of a record, else the record.
+
+    ``records`` tells that the text holds a list of records or a line for each, and False that every record wraps a list. Without
+    it, text that starts with a bracket or holds two records is taken for a list.
+    """
     df = spark.read.json(path, multiLine=multi_line)
     lists = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
-    # A list of records has no single-array shape.
-    if lists and not multi_line_records(df):
+    if records is None:
+        records = bool(lists) and (_head(spark, path).lstrip().startswith("[") or len(df.take(2)) > 1)
+    if lists and not records:
         return _records_of(df, _first_key(spark, path, lists) if len(lists) > 1 else lists[0])
     return flatten(df)
 
 
-def _first_key(spark: SparkSession, path: str | list[str], names: Sequence[str]) -> str:
-    """The name that stands first in the text of the record; the reader sorts the keys."""
-    keys = spark.read.text(path, wholetext=True).select(F.json_object_keys("value").alias("keys")).first()["keys"] or []
-    return next((k for k in keys if k in names), names[0])
+def _head(spark: SparkSession, path: str | list[str]) -> str:
+    """The first characters of the first file; no more lines are read than they take."""
+    lines = spark.read.text(path).select(F.substring("value", 1, _HEAD).alias("value")).limit(1000).collect()
+    return "\n".join(r["value"] for r in lines)[:_HEAD]
 
 
-def multi_line_records(df: DataFrame) -> bool:
-    """Whether a file held many records rather than one wrapper record."""
-    return len(df.take(2)) > 1
+def _first_key(spark: SparkSession, path: str | list[str], names: Sequence[str]) -> str:
+    """The list that stands first in the text of a record, since the reader sorts the keys."""
+    head = _head(spark, path)
+    at = {n: found.start() for n in names if (found := re.search(re.escape(json.dumps(n, ensure_ascii=False)) + r"\s*:\s*\[", head))}
+    return min(at, key=at.__getitem__, default=names[0])
 
 
 def read_json_wrapped(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
@@ -156,25 +180,29 @@ def read_json_wrapped(spark: SparkSession, path: str | list[str], multi_line: bo
 
 def read_folder(spark: SparkSession, folder: str, schema: T.StructType | str | None = None, pattern: str = "*.csv") -> DataFrame:
     """Every matching file below a folder, with the file it came from."""
-    reader = spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(folder).select("*", F.col("_metadata.file_path").alias("_file"))
+    rows = _csv(lines_of(spark, folder, pattern=pattern, recursive=True), schema, keep=["file"])
+    return (rows if schema is not None else _typed(rows, ["file"])).withColumnRenamed("file", "_file")
 
 
 def union_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All files of one dataset stacked by column name.
 
-    Files with the same header are one read, so the plan grows with the number of headers.
+    One scan finds all headers. Files with the same header are parsed together, so the plan grows with the
+    number of headers.
     """
-    by_header: dict[str, list[str]] = {}
-    for p in paths:
-        head = spark.read.text(p).head()
-        by_header.setdefault(head["value"] if head else "", []).append(p)
-    frames = [read_csv_tolerant(spark, ps) for ps in by_header.values()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    lines = lines_of(spark, paths)
+    blocks = survey(lines)
+    records = csv_records(lines, blocks)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, head in headers_of(records, blocks).items():
+        by_header.setdefault(tuple(names_of(head)), []).append(file)
+    out = None
+    for names, files in sorted(by_header.items()):
+        schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(CORRUPT, T.StringType())])
+        mine = records.filter(~F.col("first") & F.col("file").isin(files))
+        rows = parsed(mine, schema).filter(col(CORRUPT).isNull()).drop(CORRUPT)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return _typed(out)
 
 
 RETRAIN_LOG_SCHEMA = (

@@ -1,12 +1,14 @@
+import csv
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sievemark import session
 from sievemark.functions import text
 from sievemark.operators.impute import fill_plan
-from sievemark.sources import readers, sinks
+from sievemark.sources import csv_records, readers, sinks
 from sievemark.streaming import streams
 
 
@@ -16,7 +18,6 @@ def test_csv(spark, tmp_path):
     df = readers.read_csv(spark, str(path))
     assert dict(df.dtypes) == {"Name": "string", "Price": "double", "When": "timestamp", "Maybe": "double"}
     assert df.filter("Price IS NULL").count() == 1
-    assert readers.read_csv_inline(spark, "a,b\n1,x\n2,y").count() == 2
 
 
 @pytest.mark.parametrize("content,columns,rows", [
@@ -41,7 +42,7 @@ def test_json_wrapper_order(spark, tmp_path):
 def test_ragged_lines(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("a,b\n1,2\n3,4,5\n6\n")
-    df = readers.read_csv_ragged(spark, str(path), "a int, b int").persist()
+    df = readers.read_csv_ragged(spark, str(path), "a int, b int")
     assert [(r["a"], r["b"]) for r in df.orderBy("a").collect()] == [(1, 2), (3, 4), (6, None)]
     assert readers.quarantine(df, "t.csv").count() == 2
     assert readers.read_csv_tolerant(spark, str(path), "a int, b int").collect()[0]["a"] == 1
@@ -66,10 +67,74 @@ def test_quoted_cells_survive_a_round_trip(spark, tmp_path):
     assert sorted((r["k"], r["t"]) for r in readers.read_csv(spark, str(tmp_path / "q")).collect()) == rows
 
 
+@pytest.fixture()
+def small_blocks(spark):
+    """Files are cut into blocks of a few bytes."""
+    settings = {"spark.sql.files.maxPartitionBytes": "120", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def quoted_rows(seed, n=40):
+    random = np.random.default_rng(seed)
+    words = ["plain", 'a "b"', "x,y", "two\nlines", "\n", "\r\n end", "", "é漢", '"', "many\n\n\nlines\n" * 6, " pad "]
+    return [(i, words[int(random.integers(len(words)))], words[int(random.integers(len(words)))]) for i in range(n)]
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_records_over_many_blocks(spark, tmp_path, small_blocks, ends):
+    """Quoted line breaks, records over several blocks, several files, against Python's reader."""
+    want = []
+    for i in range(3):
+        rows = [(k + 1000 * i, a, b) for k, a, b in quoted_rows(i)]
+        with open(tmp_path / f"{i}.csv", "w", newline="", encoding="utf-8") as file:
+            out = csv.writer(file, lineterminator=ends, quoting=csv.QUOTE_ALL)
+            out.writerow(["key", "first\nname", "second"])
+            out.writerows(rows)
+        want += rows
+    lines = csv_records.lines_of(spark, str(tmp_path))
+    blocks = csv_records.survey(lines)
+    assert len(blocks.inside) > 8 and lines.select("file", "block").distinct().count() > 25
+    records = csv_records.csv_records(lines, blocks)
+    assert records.filter("first").count() == 3
+    assert set(csv_records.headers_of(records, blocks).values()) == {'"key","first\nname","second"'}
+    assert csv_records.names_of('"key","first\nname",,key') == ["key0", "first\nname", "_c2", "key3"]
+    got = readers.read_csv(spark, str(tmp_path), "key long, a string, b string")
+    plain = lambda t: t.replace("\r\n", "\n")  # noqa: E731  the parser writes line breaks in values as one character
+    assert sorted((r.key, plain(r.a or ""), plain(r.b or "")) for r in got.collect()) == sorted((k, plain(a), plain(b)) for k, a, b in want)
+    folder = readers.read_folder(spark, str(tmp_path), "key long, a string, b string")
+    assert folder.groupBy("_file").count().count() == 3 and folder.count() == len(want)
+
+
+def test_tolerant_and_ragged_take_line_breaks(spark, tmp_path, small_blocks):
+    path = tmp_path / "t.csv"
+    path.write_bytes(b'a,b\n1,"x\ny"\n2,"p\nq",3\n\n4\n"5","bad \xff byte\nhere"\n6,"never closed\n7,z\n')
+    got = readers.read_csv_tolerant(spark, str(path), "a int, b string").collect()
+    assert [(r.a, r.b) for r in sorted(got)][:2] == [(1, "x\ny"), (5, "bad \ufffd byte\nhere")]
+    ragged = readers.read_csv_ragged(spark, str(path))
+    assert ragged.columns == ["a", "b", csv_records.CORRUPT]
+    bad = {r.reason for r in readers.quarantine(ragged, "t").collect()}
+    assert {'malformed line: 2,"p\nq",3', "malformed line: 4"} <= bad
+
+
+def test_csv_of_nothing(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "head.csv").write_text("a,b\n")
+    assert readers.read_csv(spark, str(tmp_path / "empty.csv"), "a int").count() == 0
+    found = readers.read_csv(spark, str(tmp_path / "head.csv"))
+    assert found.columns == ["a", "b"] and found.count() == 0
+
+
 def test_first_list_key_of_a_record(spark, tmp_path):
     path = tmp_path / "r.json"
     path.write_text('{"name": "x", "quarters": [5, 7], "more": {"z": 1}, "markets": ["a", "b", "c"]}')
     assert [r["quarters"] for r in readers.read_json(spark, str(path)).collect()] == [5, 7]
+    (tmp_path / "one.json").write_text('[{"k": 1, "list": [{"x": 1}, {"x": 2}]}]')  # a list of one record stays one row
+    assert readers.read_json(spark, str(tmp_path / "one.json")).count() == 1
 
 
 def test_all_files_are_stacked(spark, tmp_path):
@@ -77,7 +142,7 @@ def test_all_files_are_stacked(spark, tmp_path):
         (tmp_path / f"{i}.csv").write_text(("b,a\n1,%d\n" if i % 2 else "a,b\n%d,1\n") % i)
     df = readers.union_files(spark, [str(tmp_path / f"{i}.csv") for i in range(12)])
     assert sorted(r["a"] for r in df.collect()) == list(range(12))
-    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 4  # whole records and sewn ones of two headers
 
 
 @pytest.mark.parametrize("function,raw,clean", [
