@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,7 +17,11 @@ FILTERS = 12  # filters of each width
 EMBED = 8
 OVERLAP = max(WIDTHS) - 1
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter by its Unicode category; digits, fractions and enclosed numbers are none."""
+    return any(map(str.isalpha, text))
 
 
 def folded(text: bytes) -> bytes:
@@ -59,7 +62,7 @@ class ByteNetwork:
 
     def predict(self, text: bytes | None, at_once: int = 64) -> tuple[str, float]:
         """Language and its mean probability over the windows, weighted by their bytes."""
-        if text is None or not self.languages or not _LETTER.search(text.decode("utf-8", "replace")):
+        if text is None or not self.languages or not has_letter(text.decode("utf-8", "replace")):
             return UNDETERMINED, 0.0
         data = folded(text)
         windows = cut(data)

@@ -131,11 +131,14 @@ def _quartiles(sketch: DataFrame, groups: Sequence[str]) -> DataFrame:
     )
 
 
-def adaptive_limits(counted: DataFrame, lang: str, source: str, min_docs: int = 100, reach: float = 3.0) -> DataFrame:
+def adaptive_limits(
+    counted: DataFrame, lang: str, source: str, min_docs: int = 100, reach: float = 3.0, ceiling: float = 2.0
+) -> DataFrame:
     """(lang, source, one low and high per metric) for every language and source of ``counted``.
 
-    A group of fewer than ``min_docs`` documents takes the limits of its language, and those
-    of all documents if the language has fewer too.
+    Quartiles of a language are drawn towards those of all documents, and quartiles of a source towards its language's, as
+    if ``min_docs`` documents had the latter. No source's high limit is more than ``ceiling`` times
+    the greater of its language's and that of all documents, however much of the source is junk.
     """
     names = {lang: "g_lang", source: "g_source"}
     fine = materialize(sketches(counted.withColumnsRenamed(names), ["g_lang", "g_source"]), "quality-sketch")
@@ -143,28 +146,27 @@ def adaptive_limits(counted: DataFrame, lang: str, source: str, min_docs: int =
     total = fine.groupBy("metric", "bucket").agg(F.sum("n").alias("n"))
 
     def table(quartiles: DataFrame, groups: list[str], prefix: str) -> DataFrame:
-        spread = reach * (F.col("q3") - F.col("q1"))
-        fences = []
-        for m in METRICS:
-            mine = F.col("metric") == m.name
-            low = F.col("q1") - spread - F.lit(m.slack) if m.both_sides else F.lit(float("-inf"))
-            fences += [
-                F.max(F.when(mine, low)).alias(f"{prefix}{m.name}_low"),
-                F.max(F.when(mine, F.col("q3") + spread + F.lit(m.slack))).alias(f"{prefix}{m.name}_high"),
-            ]
-        return quartiles.groupBy(*groups).agg(F.max("size").alias(f"{prefix}size"), *fences)
+        own = [F.max(F.when(F.col("metric") == m.name, F.col(q))).alias(f"{prefix}{m.name}_{q}") for m in METRICS for q in ("q1", "q3")]
+        return quartiles.groupBy(*groups).agg(F.max("size").alias(f"{prefix}size"), *own)
 
     by_both = table(_quartiles(fine, ["g_lang", "g_source"]), ["g_lang", "g_source"], "f_")
     by_lang = table(_quartiles(coarse, ["g_lang"]), ["g_lang"], "c_").withColumnRenamed("g_lang", "l_lang")
     of_all = table(_quartiles(total, []), [], "").first()  # one row
     merged = by_both.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")))
-    picked = [
-        F.when(F.col("f_size") >= min_docs, F.col(f"f_{m.name}_{end}"))
-        .when(F.col("c_size") >= min_docs, F.col(f"c_{m.name}_{end}"))
-        .otherwise(F.lit(of_all[f"{m.name}_{end}"]))
-        .alias(f"{m.name}_{end}")
-        for m in METRICS for end in ("low", "high")
-    ]
+
+    def drawn(prefix: str, column: str, towards: Column) -> Column:
+        size = F.col(f"{prefix}size")
+        return (size * F.col(f"{prefix}{column}") + F.lit(float(min_docs)) * towards) / (size + F.lit(float(min_docs)))
+
+    picked = []
+    for m in METRICS:
+        all1, all3 = (F.lit(of_all[f"{m.name}_{q}"]).cast("double") for q in ("q1", "q3"))
+        lang1, lang3 = drawn("c_", f"{m.name}_q1", all1), drawn("c_", f"{m.name}_q3", all3)
+        own1, own3 = drawn("f_", f"{m.name}_q1", lang1), drawn("f_", f"{m.name}_q3", lang3)
+        high = lambda q1, q3: q3 + reach * (q3 - q1) + F.lit(m.slack)  # noqa: E731, B023
+        low = own1 - reach * (own3 - own1) - F.lit(m.slack) if m.both_sides else F.lit(float("-inf"))
+        most = F.lit(ceiling) * F.greatest(high(lang1, lang3), high(all1, all3))
+        picked += [low.alias(f"{m.name}_low"), F.least(high(own1, own3), most).alias(f"{m.name}_high")]
     return materialize(merged.select("g_lang", "g_source", *picked), "quality-limits")
 
 

@@ -156,14 +156,14 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 _GAMMA = f"((1 + CAST({ACCURACY} AS DOUBLE)) / (1 - CAST({ACCURACY} AS DOUBLE)))"
 
 
-def _quality_sql(min_docs: int = 100, reach: float = 3.0) -> str:
+def _quality_sql(min_docs: int = 100, reach: float = 3.0, ceiling: float = 2.0) -> str:
     values = " UNION ALL ".join(
         f"SELECT r, lang, source, '{m.name}' AS metric, "
         + "CAST({} AS DOUBLE) / {} AS v FROM counted WHERE NOT base_failed AND n_words > 0 AND n_lines > 0".format(*m.value.split(" / "))
         for m in METRICS
     )
-    slack = "CASE metric " + " ".join(f"WHEN '{m.name}' THEN {m.slack}" for m in METRICS) + " END"
-    low = "CASE WHEN metric IN (" + ", ".join(f"'{m.name}'" for m in METRICS if m.both_sides) + f") THEN q1 - {reach} * (q3 - q1) - {slack} ELSE -1e300 END"
+    slack = "CASE f.metric " + " ".join(f"WHEN '{m.name}' THEN {m.slack}" for m in METRICS) + " END"
+    low = "CASE WHEN metric IN (" + ", ".join(f"'{m.name}'" for m in METRICS if m.both_sides) + f") THEN o1 - {reach} * (o3 - o1) - slack ELSE -1e300 END"
 
     def level(groups: str) -> str:
         by = f"{groups}, metric" if groups else "metric"
@@ -192,13 +192,19 @@ counted AS (
 measured AS ({values}),
 bucketed AS (SELECT *, CASE WHEN v > 0 THEN CAST(ceil(ln(v) / ln({_GAMMA})) AS BIGINT) ELSE -1000000 END AS b FROM measured),
 fine AS ({level("lang, source")}), coarse AS ({level("lang")}), total AS ({level("")}),
+drawn AS (
+  SELECT f.lang, f.source, f.metric, f.size, f.q1, f.q3, t.q1 AS t1, t.q3 AS t3,
+    (c.size * c.q1 + CAST({min_docs} AS DOUBLE) * t.q1) / (c.size + CAST({min_docs} AS DOUBLE)) AS l1,
+    (c.size * c.q3 + CAST({min_docs} AS DOUBLE) * t.q3) / (c.size + CAST({min_docs} AS DOUBLE)) AS l3, {slack} AS slack
+  FROM (SELECT * FROM fine) f JOIN coarse c ON f.lang IS NOT DISTINCT FROM c.lang AND f.metric = c.metric JOIN total t ON f.metric = t.metric),
+own AS (
+  SELECT *, (size * q1 + CAST({min_docs} AS DOUBLE) * l1) / (size + CAST({min_docs} AS DOUBLE)) AS o1,
+    (size * q3 + CAST({min_docs} AS DOUBLE) * l3) / (size + CAST({min_docs} AS DOUBLE)) AS o3 FROM drawn),
 picked AS (
-  SELECT f.lang, f.source, f.metric,
-    CASE WHEN f.size >= {min_docs} THEN f.q1 WHEN c.size >= {min_docs} THEN c.q1 ELSE t.q1 END AS q1,
-    CASE WHEN f.size >= {min_docs} THEN f.q3 WHEN c.size >= {min_docs} THEN c.q3 ELSE t.q3 END AS q3
-  FROM fine f JOIN coarse c ON f.lang IS NOT DISTINCT FROM c.lang AND f.metric = c.metric JOIN total t ON f.metric = t.metric),
+  SELECT lang, source, metric, {low} AS low,
+    least(o3 + {reach} * (o3 - o1) + slack, {ceiling} * greatest(l3 + {reach} * (l3 - l1) + slack, t3 + {reach} * (t3 - t1) + slack)) AS high FROM own),
 outside AS (
-  SELECT DISTINCT r FROM measured m JOIN (SELECT *, {low} AS low, q3 + {reach} * (q3 - q1) + {slack} AS high FROM picked) p
+  SELECT DISTINCT r FROM measured m JOIN picked p
     ON m.metric = p.metric AND m.lang IS NOT DISTINCT FROM p.lang AND m.source IS NOT DISTINCT FROM p.source
   WHERE v < low OR v > high)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

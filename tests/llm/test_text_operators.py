@@ -122,6 +122,38 @@ def test_quality_keeps_prose_and_drops_junk(docs):
     assert prose and sum(r.kept for r in prose) >= 0.99 * len(prose)
 
 
+@pytest.mark.parametrize("min_docs", [3, 20])
+def test_quality_limits_of_each_source_against_sql(spark, monkeypatch, min_docs):
+    """The same SQL where sources are large enough to have limits of their own."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang", "source")
+    own = quality_rules.adaptive_limits
+    monkeypatch.setattr(quality_rules, "adaptive_limits", lambda c, lang, source: own(c, lang, source, min_docs, 1.0, 1.2))
+    got = oracle.spark_rows(quality_rules.quality_rules(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
+    want = oracle.duck_rows(oracle.connect(FOLDER), queries._quality_sql(min_docs, 1.0, 1.2))
+    assert oracle.difference(got, want) is None
+
+
+def test_quality_of_a_hot_source_with_much_junk(spark):
+    """A third of all rows come from one source, of which 40 % are symbols, copied lines or repeats: they go, its clean ones stay."""
+    random = np.random.default_rng(21)
+    word = lambda: "".join(chr(c) for c in random.integers(97, 123, int(random.integers(3, 9))))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    junk = [
+        lambda: " ".join(w + "#$" for w in prose(40).split()),
+        lambda: "\n".join([prose(6)] * 2 + [prose(5)] + [prose(7)] * 2 + [prose(8)]) + "\n" + "\n".join([prose(3)] * 9),
+    ]
+    rows = []
+    for i in range(900):
+        hot = i % 3 == 0
+        bad = hot and i % 15 < 6
+        rows.append((i, junk[i % 2]() if bad else prose(60) + ".\n" + prose(30), "en" if i % 2 else "fr", "hot" if hot else f"s{i % 7}", bad))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, bad boolean")
+    kept = {r.doc_id for r in quality_rules.keep_quality(frame).collect()}
+    bad = {r[0] for r in rows if r[4]}
+    assert len(bad) > 100 and not kept & bad and len(kept) >= 0.98 * (len(rows) - len(bad))
+
+
 # --- Decontamination -------------------------------------------------------------------------
 
 
@@ -180,6 +212,35 @@ def test_language_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in both)
 
 
+@pytest.mark.parametrize("text, letter", [("½ ² 10 ①", False), ("Ⅷ", False), ("١٢ _ 一", True), ("ª", True), ("\u0301 .", False), ("é", True)])
+def test_letters_by_category(text, letter):
+    assert language_id.has_letter(text) is letter
+    model = language_id.train([(b"the of and to", "en"), (b"le la des", "fr")], steps=5)
+    assert (model.predict(text.encode())[0] == "und") is not letter
+
+
+def test_whole_prediction_against_the_definition(docs):
+    """Windows, filters one place at a time, maxima, softmax, means by bytes."""
+    samples = [(r.text.encode()[:300], r.lang) for r in docs.limit(60).collect()]
+    model = language_id.train(samples, steps=40)
+    for text in ["Some words of this and that.", "la vie est belle et longue " * 12, "é"]:
+        data, step, total = text.lower().encode(), language_id.WINDOW - language_id.OVERLAP, np.zeros(len(model.languages))
+        for start in range(0, max(1, len(data) - language_id.OVERLAP), step):
+            own = data[start : start + language_id.WINDOW]
+            window = own + bytes(language_id.WINDOW - len(own))
+            best = np.full(len(language_id.WIDTHS) * language_id.FILTERS, -np.inf)
+            for place in range(step):
+                column, sums = 0, np.zeros_like(best)
+                for k, (first, n) in enumerate(language_id._layout()):
+                    sums[first:] += model.table[window[place + k], column : column + n]
+                    column += n
+                best = np.maximum(best, sums)
+            scores = np.maximum(best + model.bias, 0) @ model.weights + model.offset
+            total += sum(b != 0 for b in own) * np.exp(scores - scores.max()) / np.exp(scores - scores.max()).sum()
+        lang, score = model.predict(text.encode())
+        assert lang == model.languages[int(total.argmax())] and score == pytest.approx(total.max() / total.sum(), abs=1e-5)
+
+
 def test_responses_are_a_convolution():
     random = np.random.default_rng(1)
     columns = sum(n for _, n in language_id._layout())
