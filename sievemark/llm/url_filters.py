@@ -12,8 +12,19 @@ from pyspark.sql import functions as F
 
 from sievemark.session import materialize
 
-#: Public suffixes of two labels; every other suffix is the last label. A parameter, not a complete list.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
+# Second labels under which country domains (of two letters) register names, and
+# hosts under which a service gives names to unrelated sites.
+SECOND_LABELS = (
+    "ac", "co", "com", "ed", "edu", "ernet", "firm", "gen", "go", "gob", "gouv", "gov", "gv", "id", "ind", "inf", "info", "k12",
+    "ltd", "me", "mil", "muni", "name", "ne", "net", "nhs", "nic", "nom", "or", "org", "plc", "police", "pro", "res", "sch",
+    "school", "web",
+)
+SHARED_HOSTS = (
+    "altervista.org", "appspot.com", "azurewebsites.net", "blogspot.com", "cloudfront.net", "deviantart.com", "duckdns.org",
+    "eu.org", "firebaseapp.com", "fly.dev", "free.fr", "github.io", "gitlab.io", "glitch.me", "herokuapp.com", "livejournal.com",
+    "myshopify.com", "neocities.org", "netlify.app", "nom.co", "ngrok.io", "onrender.com", "pages.dev", "readthedocs.io", "surge.sh",
+    "tumblr.com", "typepad.com", "us.com", "uk.com", "vercel.app", "web.app", "weebly.com", "wixsite.com", "wordpress.com", "workers.dev",
+)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -50,11 +61,18 @@ def longest_rule(rules: Sequence[Rule], host: Column, path: Column) -> tuple[Col
     return text, verdict
 
 
-def with_levels(hosts: DataFrame, two_label: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
-    """Append ``domain`` (registered) and ``suffix`` to a table with ``host``."""
+def with_levels(
+    hosts: DataFrame, second: Sequence[str] = SECOND_LABELS, shared: Sequence[str] = SHARED_HOSTS
+) -> DataFrame:
+    """Append ``domain`` (registered) and ``suffix`` to a table with ``host``.
+
+    A suffix has two labels if the last one is a country's and the other one of ``second``, or if both are one of ``shared``; else
+    it is the last label. A domain is its suffix and one label more, as far as the host has one.
+    """
     labels = F.split("host", r"\.")
     two = F.array_join(F.slice(labels, -2, 2), ".")
-    long = (F.size(labels) > 2) & two.isin(*two_label)
+    country = F.element_at(labels, -1).rlike(r"\A[a-z]{2}\z") & F.try_element_at(labels, F.lit(-2)).isin(*second)
+    long = (F.size(labels) > 2) & (country | two.isin(*shared))
     suffix = F.when(long, two).otherwise(F.element_at(labels, -1))
     domain = F.when(long, F.array_join(F.slice(labels, -3, 3), ".")).when(F.size(labels) > 1, two).otherwise(F.col("host"))
     return hosts.withColumn("domain", domain).withColumn("suffix", suffix)

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -635,6 +636,83 @@ def test_reputation_blocks_bad_hosts(spark):
     assert levels == {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "x": ("x", "x"), "": ("", ""), "m.a.org": ("a.org", "org")}
 
 
+def slow_reputation(outcomes, bound=0.05, prior=(1.0, 9.0)):
+    """Rates and lower bounds by plain loops; the bound by adding up the posterior density on a fine grid."""
+    hosts = collections.defaultdict(lambda: [0, 0])
+    for host, bad in outcomes:
+        hosts[host][0] += bad is not None
+        hosts[host][1] += bad or 0
+
+    def levels(host):
+        parts = host.split(".")
+        two = ".".join(parts[-2:])
+        long = len(parts) > 2 and (len(parts[-1]) == 2 and parts[-2] in url_filters.SECOND_LABELS or two in url_filters.SHARED_HOSTS)
+        return (".".join(parts[-3:]) if long else two), (two if long else parts[-1])
+
+    def summed(key):
+        out = collections.defaultdict(lambda: [0, 0])
+        for host, (n, bad) in hosts.items():
+            out[key(host)][0] += n
+            out[key(host)][1] += bad
+        return out
+
+    def strength(groups):
+        values = []
+        for s, leaning in zip(url_filters.STRENGTHS, url_filters._LEANING):
+            total = leaning
+            for n, bad, mean in groups:
+                if n:
+                    mean = min(max(mean, 1e-9), 1 - 1e-9)
+                    a, b = mean * s, s - mean * s
+                    total += math.lgamma(a + bad) - math.lgamma(a) + math.lgamma(b + n - bad) - math.lgamma(b) - math.lgamma(s + n) + math.lgamma(s)
+            values.append(total)
+        return float(url_filters.STRENGTHS[int(np.argmax(values))])
+
+    every = [sum(x) for x in zip(*hosts.values())]
+    suffixes, domains = summed(lambda h: levels(h)[1]), summed(lambda h: levels(h)[0])
+    mean_s = {s: (every[1] + prior[0] - bad) / (every[0] + sum(prior) - n) for s, (n, bad) in suffixes.items()}
+    top = strength([(*c, mean_s[s]) for s, c in suffixes.items()])
+    of = {d: s for d, s in (levels(h) for h in hosts)}
+    mean_d = {d: (mean_s[of[d]] * top + suffixes[of[d]][1] - bad) / (suffixes[of[d]][0] - n + top) for d, (n, bad) in domains.items()}
+    mid = strength([(*c, mean_d[d]) for d, c in domains.items()])
+    mean_h = {}
+    for h, (n, bad) in hosts.items():
+        d = levels(h)[0]
+        mean_h[h] = (mean_d[d] * mid + domains[d][1] - bad) / (domains[d][0] - n + mid)
+    own = strength([(*c, mean_h[h]) for h, c in hosts.items()])
+    out = {}
+    for h, (n, bad) in hosts.items():
+        a, b = mean_h[h] * own + bad, (1 - mean_h[h]) * own + n - bad
+        # the variable is raised to a power, so that the density has no pole
+        grid = (np.arange(200_000) + 0.5) / 200_000
+        x = grid ** max(1.0, 1 / a)
+        density = np.exp((a - 1) * np.log(x) + (b - 1) * np.log1p(-x)) * max(1.0, 1 / a) * grid ** (max(1.0, 1 / a) - 1)
+        share = np.cumsum(density) / density.sum()
+        out[h] = ((mean_h[h] * own + bad) / (n + own), float(x[np.searchsorted(share, bound)]))
+    return out
+
+
+def test_reputation_against_plain_loops(spark):
+    random = np.random.default_rng(31)
+    names = [f"{a}{b}" for a in ("", "www.", "m.") for b in ("x.com.mx", "y.com.mx", "z.co.za", "a.github.io", "b.github.io", "q.org", "r.org", "solo", "")]
+    share = {n: random.random() * 0.6 for n in names}
+    rows = [(n, None if random.random() < 0.2 else int(random.random() < share[n])) for n in names for _ in range(int(random.integers(1, 30)))]
+    got = {r.host: (r.rate, r.low) for r in url_filters.host_reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
+    want = slow_reputation(rows)
+    assert set(got) == set(want)
+    for h in want:
+        assert got[h] == pytest.approx(want[h], abs=2e-3), h
+
+
+@pytest.mark.parametrize("host, domain, suffix", [
+    ("shop.acme.com.mx", "acme.com.mx", "com.mx"), ("acme.co.za", "acme.co.za", "co.za"), ("me.github.io", "me.github.io", "github.io"),
+    ("github.io", "github.io", "io"), ("www.co.de", "www.co.de", "co.de"), ("a.b.com", "b.com", "com"), ("x.y.de", "y.de", "de"),
+])
+def test_suffixes_of_unrelated_sites(spark, host, domain, suffix):
+    row = url_filters.with_levels(spark.createDataFrame([(host,)], "host string")).first()
+    assert (row.domain, row.suffix) == (domain, suffix)
+
+
 @pytest.mark.parametrize("hot", [0, 12000])
 @pytest.mark.parametrize("single", [False, True])
 def test_reputation_under_skew(spark, hot, single):
