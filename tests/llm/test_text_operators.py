@@ -534,6 +534,38 @@ def test_domains_of_labelled_documents(spark):
     assert np.mean([r.rate for r in toxic]) < 0.3
 
 
+def test_precision_follows_the_labels():
+    """Labels that words decide get sharp posteriors, labels by chance hardly move them."""
+    random = np.random.default_rng(17)
+    common, rare = [f"w{i}" for i in range(400)], [f"bad{i}" for i in range(3)]
+    clear, chance = [], []
+    for i in range(400):
+        words = [common[int(k)] for k in random.integers(0, 400, 40)]
+        toxic = i % 4 == 0
+        chance.append((mixing.features_of(" ".join(words).encode())[0], "toxic" if toxic else "good"))
+        clear.append((mixing.features_of(" ".join([*words, *(rare if toxic else [])]).encode())[0], "toxic" if toxic else "good"))
+    sharp, blurred = mixing.train_domains(clear[:300]), mixing.train_domains(chance[:300])
+    assert mixing.log_loss(sharp, clear[300:]) < 0.1
+    weak = mixing.train_domains(chance[:300], decays=(0.002,))
+    assert mixing.log_loss(blurred, chance[300:]) < 0.6 * mixing.log_loss(weak, chance[300:])
+
+
+def test_classifier_against_a_plain_fit():
+    """The posterior mode of a small problem, found by plain gradient descent."""
+    random = np.random.default_rng(19)
+    rows = [(sorted({int(b) for b in random.integers(0, 6, 3)}), "ab"[int(random.random() < 0.3 + 0.1 * (i % 3))]) for i in range(80)]
+    model = mixing.train_domains(rows, rounds=3000, rate=0.01, decays=(1.0,), seen=1)
+    x = np.zeros((80, 6))
+    for i, (b, _) in enumerate(rows):
+        x[i, b] = 1
+    y, w = np.array([[d == "a", d == "b"] for _, d in rows], float), np.zeros((6, 2))
+    offset = np.log((y.sum(axis=0) + 0.5) / 81)
+    for _ in range(20_000):
+        e = np.exp(x @ w + offset)
+        w -= 0.5 * (x.T @ (e / e.sum(axis=1, keepdims=True) - y) + w) / 80
+    assert np.allclose(model.weights[:6], w, atol=0.02)
+
+
 def test_mixing_odd_rows(odd, none):
     model = mixing.train_domains([(mixing.features_of(t)[0], d) for t, d in [(b"fine words here", "good"), (b"vile idiot", "toxic")] * 10])
     out = mixing.mix(odd, model, {"good": 1.0})
