@@ -45,7 +45,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     raw, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     model = train_domains(labelled_sample(raw, labels, "text", "doc_id", "doc_id", 3000))
-    return mix(docs, model, TARGETS, BUDGET).filter("copies > 0")
+    return mix(docs, model, TARGETS, BUDGET, allow_doubt=True).filter("copies > 0")
 
 
 STAGES = [
