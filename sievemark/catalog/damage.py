@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 from sievemark.catalog.base import query, table
 from sievemark.catalog.modelling import sql_u
 from sievemark.operators import corrupt
-from sievemark.operators.features import features8
 
 _DICE = corrupt.Dice(("o_orderkey",), algorithm="md5")
-_FAST = corrupt.Dice(("o_orderkey",))
 
 
 def _u(tag: str) -> str:
@@ -31,9 +29,19 @@ def inject_duplicates(spark, d):
     return corrupt.inject_duplicates(_orders(spark, d), _DICE, 0.2).select("o_orderkey", "o_custkey")
 
 
-@query("inject_duplicates_replaced")
+def _times(mean: float) -> str:
+    return " + ".join(f"CASE WHEN {_u('draws')} >= {step!r} THEN 1 ELSE 0 END" for step in corrupt.poisson_steps(mean))
+
+
+def _normal(tag: str, *key: str) -> str:
+    return f"sqrt(-2 * ln(1 - {sql_u('n1:' + tag, *key)})) * cos(2 * pi() * {sql_u('n2:' + tag, *key)})"
+
+
+@query("inject_duplicates_replaced", f"""SELECT o_orderkey, o_custkey, unnest(range(1 + {_times(0.2)})) AS copy FROM orders""")
 def inject_duplicates_replaced(spark, d):
-    return corrupt.inject_duplicates_replaced(_orders(spark, d), _FAST, 0.2).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("copies")).groupBy("copies").agg(F.count(F.lit(1)).alias("n"))
+    """Every row with the number of each of its copies."""
+    rows = corrupt.inject_duplicates_replaced(_orders(spark, d), _DICE, 0.2).groupBy("o_orderkey", "o_custkey").agg(F.count(F.lit(1)).alias("k"))
+    return rows.select("o_orderkey", "o_custkey", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("copy"))
 
 
 @query("scramble_type", """SELECT 'numeric' AS before, count(*) AS rows, count(o_custkey) AS present FROM orders""")
@@ -106,19 +114,49 @@ def corrupt_combined(spark, d):
     return corrupt.corrupt_combined(_orders(spark, d), _DICE).drop("o_orderpriority")
 
 
-@query("corrupt_mix")
+_CELLS = ("o_custkey", "o_totalprice", "o_orderpriority")
+_MIX = corrupt.CorruptionProfile(apply_probability=1.0, type_probability=1.0)
+
+
+def _between(tag: str, span: tuple[float, float]) -> float:
+    return span[0] + _flip(tag) * (span[1] - span[0])
+
+
+def _mix_sql() -> str:
+    """Nulls, copies, numbers as text, outliers, one after the other, as the profile applies all of them."""
+    nulls = ", ".join(f"CASE WHEN {_u('null:' + c)} >= {_between('rate:nulls', _MIX.null_rate)!r} THEN {c} END AS {c}" for c in _CELLS)
+    text = [c for c in _CELLS[:2] if _flip(f"scramble:{c}") < 0.5]
+    rate, size = _between("rate:outliers", _MIX.outlier_rate), _between("size:outliers", _MIX.outlier_multiplier)
+    cells = [
+        f"CAST({c} AS VARCHAR) AS {c}" if c in text
+        else f"CASE WHEN {_u('outlier:' + c)} < {rate!r} THEN (SELECT quantile_cont({c}, 0.5) FROM m) * {size * _SIGN[c]!r} ELSE CAST({c} AS DOUBLE) END AS {c}"
+        for c in _CELLS[:2]
+    ]
+    return f"""WITH n AS (SELECT o_orderkey, {nulls} FROM orders),
+m AS (SELECT * FROM n UNION ALL SELECT * FROM n WHERE {_u('duplicate')} < {_between('rate:duplicates', _MIX.duplicate_fraction)!r})
+SELECT o_orderkey, {', '.join(cells)}, o_orderpriority FROM m"""
+
+
+@query("corrupt_mix", _mix_sql())
 def corrupt_mix(spark, d):
-    return features8(corrupt.corrupt_mix(_orders(spark, d), _FAST))
+    """All kinds of damage with their own rates, cell by cell."""
+    return corrupt.corrupt_mix(_orders(spark, d), _DICE, _MIX)
 
 
-@query("corrupt_level")
+@query("corrupt_level", f"""WITH n AS (SELECT o_orderkey, {', '.join(f"CASE WHEN {_u('null:' + c)} >= 0.15 THEN {c} END AS {c}" for c in _CELLS)} FROM orders),
+m AS (SELECT o_orderkey, o_custkey, o_orderpriority, round(CASE WHEN {_u('noise:o_totalprice')} < 0.1 THEN o_totalprice + {_normal('o_totalprice', 'o_orderkey')}
+  * (SELECT stddev_samp(o_totalprice) FROM n) ELSE o_totalprice END, 3) AS o_totalprice FROM n)
+SELECT * FROM m UNION ALL SELECT * FROM m WHERE {_u('duplicate')} < 0.1""")
 def corrupt_level(spark, d):
-    return features8(corrupt.corrupt_level(_orders(spark, d), _FAST, 0.5, ["o_totalprice"]))
+    return corrupt.corrupt_level(_orders(spark, d), _DICE, 0.5, ["o_totalprice"]).withColumn("o_totalprice", F.round("o_totalprice", 3))
 
 
-@query("bootstrap")
+@query("bootstrap", f"""WITH c AS (SELECT *, unnest(range(1, 1 + {_times(1.0)})) AS copy FROM orders)
+SELECT o_orderkey, o_orderpriority, {', '.join(f"round({c} + {_normal('blur:' + c, 'o_orderkey', 'copy')} * 0.05 * (SELECT stddev_samp({c}) FROM orders), 3) AS {c}" for c in _CELLS[:2])} FROM c""")
 def bootstrap(spark, d):
-    return corrupt.bootstrap(_orders(spark, d), _FAST).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("orders"), F.avg("o_totalprice").alias("mean_price"))
+    """Every drawn row with its own noise."""
+    drawn = corrupt.bootstrap(_orders(spark, d), _DICE)
+    return drawn.withColumns({c: F.round(c, 3) for c in _CELLS[:2]})
 
 
 @query("interpolate", f"""WITH a AS (SELECT *, {_u('left')} AS u, row_number() OVER (ORDER BY {_u('left')}, o_orderkey) AS k FROM orders),
@@ -128,8 +166,3 @@ SELECT a.o_orderkey, round(a.u * a.o_totalprice + (1 - a.u) * b.o_totalprice, 4)
 def interpolate(spark, d):
     mixed = corrupt.interpolate(_orders(spark, d).drop("o_custkey"), _DICE)
     return mixed.select("o_orderkey", F.round("o_totalprice", 4).alias("o_totalprice"), "o_orderpriority")
-
-
-@query("labelled_pairs")
-def labelled_pairs(spark, d):
-    return corrupt.labelled_pairs(_orders(spark, d), _FAST, features8)

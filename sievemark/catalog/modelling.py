@@ -15,7 +15,11 @@ _KEYED = View("lineitem", (*GAPPY.exprs[1:], "l_shipdate", "CAST(1 AS INT) AS sa
               twice="l_returnflag = 'R' AND l_quantity > 40")
 _K_NUM = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "same"]
 _K_ALL = [*_K_NUM, "l_returnflag", "l_linestatus", "l_shipdate"]
-_PER = f"""WITH t AS ({_KEYED.sql()}), c AS ({each(_K_ALL, '''SELECT dataset, '{c}' AS col, count(*) AS n, count({c}) AS present, count(DISTINCT {c}) AS uniq FROM t GROUP BY 1''')}),
+
+
+
+def _per(source: str) -> str:
+    return f"""WITH t AS ({source}), c AS ({each(_K_ALL, '''SELECT dataset, '{c}' AS col, count(*) AS n, count({c}) AS present, count(DISTINCT {c}) AS uniq FROM t GROUP BY 1''')}),
 m AS ({each(_K_NUM, '''SELECT dataset, '{c}' AS col, CASE WHEN min({c}) = max({c}) THEN 0 ELSE skewness({c}) END AS sk, CASE WHEN min({c}) = max({c}) THEN 0 ELSE kurtosis({c}) END AS ku,
   var_samp({c}) AS va, CASE WHEN abs(avg({c})) > 1e-10 THEN least(abs(stddev_samp({c}) / avg({c})), 100) END AS cv FROM t GROUP BY 1''')}),
 p AS ({each(_K_NUM, '''SELECT dataset, '{c}' AS col, CASE WHEN avg(d * d) > 0 THEN avg(d * d * d) / power(avg(d * d), 1.5) END AS sp, CASE WHEN avg(d * d) > 0 THEN avg(d * d * d * d) / power(avg(d * d), 2) - 3 END AS kp
@@ -32,16 +36,19 @@ def _r(names, places=6):
     return {n: F.round(n, places).alias(n) for n in names}
 
 
-def _sql(cols: dict[str, str]) -> str:
-    return _PER + " SELECT dataset, " + ", ".join(f"round({e}, 5) AS {n}" for n, e in cols.items()) + " FROM f"
+def _sql(cols: dict[str, str], source: str = _KEYED.sql()) -> str:
+    return _per(source) + " SELECT dataset, " + ", ".join(f"round({e}, 5) AS {n}" for n, e in cols.items()) + " FROM f"
 
 
 def _round(df):
     return df.select("dataset", *[F.round(c, 5).alias(c) for c in df.columns if c != "dataset"])
 
 
-@query("features8", _sql({"missing_ratio": "missing_ratio", "duplicate_ratio": "duplicate_ratio", "numeric_ratio": "numeric_ratio", "constant_cols": "constant_cols",
-    "norm_variance": "norm_variance", "skewness": "skewness", "cardinality_ratio": "least(card, 1)", "mean_kurtosis": "least(kurt / 10, 1)"}))
+_EIGHT = {"missing_ratio": "missing_ratio", "duplicate_ratio": "duplicate_ratio", "numeric_ratio": "numeric_ratio", "constant_cols": "constant_cols",
+          "norm_variance": "norm_variance", "skewness": "skewness", "cardinality_ratio": "least(card, 1)", "mean_kurtosis": "least(kurt / 10, 1)"}
+
+
+@query("features8", _sql(_EIGHT))
 def features8(spark, d):
     return _round(features.features8(_KEYED.df(spark, d), ["dataset"]))
 
@@ -198,6 +205,20 @@ def sql_u(tag: str, *keys: str, seed: int = 42) -> str:
     return f"(CAST('0x' || substr(md5(concat_ws('|', '{seed}', '{tag}', {parts})), 1, 13) AS BIGINT) / 4503599627370496.0)"
 
 
+_PAIR_KEY = ("l_shipdate", "l_linenumber", "dataset")
+_TORN = "SELECT " + ", ".join(
+    c if c in _PAIR_KEY else f"CASE WHEN {sql_u('null:' + c, *_PAIR_KEY)} >= 0.3 THEN {c} END AS {c}" for c in [*_K_ALL, "dataset"]
+) + f" FROM ({_KEYED.sql()}) AS k"
+
+
+@query("labelled_pairs", f"SELECT 1 AS label, * FROM ({_sql(_EIGHT)}) AS a UNION ALL SELECT 0, * FROM ({_sql(_EIGHT, _TORN)}) AS b")
+def labelled_pairs(spark, d):
+    """Six datasets and their twins with three tenths of the cells gone."""
+    dice = corrupt.Dice(_PAIR_KEY, algorithm="md5")
+    pairs = corrupt.labelled_pairs(_KEYED.df(spark, d), dice, features.features8, lambda df, dice: corrupt.inject_nulls(df, dice, 0.3), key=["dataset"])
+    return pairs.select("label", "dataset", *[F.round(c, 5).alias(c) for c in features.FEATURES8])
+
+
 def _labels(spark, d):
     return table(spark, d, "labels")
 
@@ -377,25 +398,39 @@ def promote_model(spark, d):
     return metrics.promote_frame(both).withColumns({f"{k}_delta": F.round(f"{k}_delta", 6) for k in metrics.COMPARED})
 
 
-def _split_documents(spark, d):
-    docs = materialize(splits.split_ratio(_documents(spark, d), ["doc_id"], (0.7, 0.3), ("train", "test")), "documents")
-    return docs.filter("split = 'train'"), docs.filter("split = 'test'")
+def _samples(spark, d):
+    """Samples of short batches; their twins lose six tenths of their cells, so that any classifier can tell them apart."""
+    built = etl.build_samples(_OFF.df(spark, d), "dataset", ["event_id"], ["ts", "event_id"], 60, 50, algorithm="md5",
+                              damage=lambda df, dice: corrupt.inject_nulls(df, dice, 0.6))
+    return materialize(built.samples, "samples")
+
+
+def _halves(spark, d):
+    """Odd batches to learn from, even ones to be judged; twins stay together."""
+    samples = _samples(spark, d)
+    return samples.filter("batch_no % 2 = 1"), samples.filter("batch_no % 2 = 0")
+
+
+_SHORT = f"""SELECT dataset, batch_no FROM (SELECT dataset, (row_number() OVER (PARTITION BY dataset ORDER BY ts, event_id) - 1) // 60 + 1 AS batch_no FROM ({_OFF.sql()}) AS o) AS r
+GROUP BY 1, 2 HAVING count(*) >= 50"""
+_JUDGED = f"""SELECT dataset AS source, CAST(batch_no AS BIGINT) AS batch_no, label, CASE label WHEN 1 THEN 'GOOD' ELSE 'BAD' END AS quality, true AS sure
+FROM ({_SHORT}) AS s, (VALUES (0), (1)) AS l(label) WHERE batch_no % 2 = 0"""
 
 
 def _trained(kind, **settings):
     def run(spark, d):
-        train, test = _split_documents(spark, d)
-        scored = model.score(model.train(train, _DOC, kind, **settings), test, ["doc_id", "label"])
-        return scored
+        """Every held-out sample with its verdict, and whether the model is surer of it than of the other."""
+        train, test = _halves(spark, d)
+        scored = model.score(model.train(train, features.FEATURES17, kind, **settings), test, ["source", "batch_no", "label"])
+        return scored.select("source", "batch_no", "label", "quality", (F.col("score") > 50).alias("sure"))
 
     return run
 
 
-# Models are judged by invariants in the tests; SQL has no forest to compare with.
-query("train_rf")(_trained("forest", numTrees=20, maxDepth=8))
-query("train_gbt")(_trained("boosted", maxIter=10))
-query("train_logreg")(_trained("logistic"))
-query("train_single")(_trained("single"))
+query("train_rf", _JUDGED)(_trained("forest", numTrees=20, maxDepth=8))
+query("train_gbt", _JUDGED)(_trained("boosted", maxIter=10))
+query("train_logreg", _JUDGED)(_trained("logistic"))
+query("train_single", _JUDGED)(_trained("single"))
 
 
 @query("score_model", "SELECT count(*) AS datasets, true AS sums_to_one, true AS confidence_is_top FROM labels")
@@ -415,27 +450,38 @@ def score_pct(spark, d):
     return model.quality_report(rows).groupBy("quality_score", "rating").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("kfold_metrics")
+_METRICS = ("accuracy", "balanced_accuracy", "precision", "recall", "f1", "auc_roc")
+
+
+@query("kfold_metrics", " UNION ALL ".join(f"SELECT '{m}' AS metric, 1.0 AS mean, 0.0 AS std FROM (SELECT count(*) FROM ({_SHORT}) AS s HAVING count(*) > 0) AS c" for m in _METRICS))
 def kfold_metrics(spark, d):
-    folded = materialize(splits.kfold_stratified(_documents(spark, d), "label", ["doc_id"], 3), "folds")
-    return model.cross_validation_summary(model.cross_validate(folded, _DOC, "single"))
+    """Folds by source and batch, so that twins stay together; the classes can be told apart in each."""
+    folded = materialize(splits.kfold_group(_samples(spark, d).withColumn("pair", F.concat_ws("#", "source", "batch_no")), "pair", 3), "folds")
+    found = model.cross_validation_summary(model.cross_validate(folded, features.FEATURES17, "single"))
+    return found.select("metric", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
 
 
-@query("learning_curve")
+@query("learning_curve", f"SELECT unnest([0.5, 0.75, 1.0]) AS fraction, 1.0 AS train_accuracy, 1.0 AS test_accuracy FROM (SELECT count(*) FROM ({_SHORT}) AS s HAVING count(*) > 0) AS c")
 def learning_curve(spark, d):
-    train, test = _split_documents(spark, d)
-    return model.learning_curve(train, test, _DOC, ["doc_id"], (0.4, 0.7, 1.0), "single")
+    train, test = _halves(spark, d)
+    return model.learning_curve(train, test, features.FEATURES17, ["sample_id"], (0.5, 0.75, 1.0), "single")
 
 
-@query("logreg_sweep")
+@query("logreg_sweep", f"SELECT unnest(['regParam=0.01', 'regParam=0.1']) AS setting, 1.0 AS accuracy, 1.0 AS f1, 1.0 AS auc_roc FROM (SELECT count(*) FROM ({_SHORT}) AS s HAVING count(*) > 0) AS c")
 def logreg_sweep(spark, d):
-    train, test = _split_documents(spark, d)
-    return model.sweep(train, test, _DOC, "logistic", [{"regParam": r} for r in (0.01, 0.1, 1.0)])
+    train, test = _halves(spark, d)
+    return model.sweep(train, test, features.FEATURES17, "logistic", [{"regParam": r} for r in (0.01, 0.1)]).select(
+        "setting", *[F.round(m, 9).alias(m) for m in ("accuracy", "f1", "auc_roc")])
 
 
-@query("feature_importance")
+@query("feature_importance", f"SELECT 17 AS features, true AS ranked, true AS sums_to_one, true AS a_share_of_gaps_leads FROM (SELECT count(*) FROM ({_SHORT}) AS s HAVING count(*) > 0) AS c")
 def feature_importance(spark, d):
-    return model.feature_importance(model.train(_documents(spark, d), _DOC, "forest", numTrees=20, maxDepth=5), _DOC)
+    """What tells the twins apart is their gaps: a feature that counts them comes first."""
+    found = model.feature_importance(model.train(_samples(spark, d), features.FEATURES17, "forest", numTrees=20, maxDepth=5), features.FEATURES17)
+    first = F.max(F.when(F.col("rank") == 1, F.col("feature")))
+    ranked = F.max_by("importance", "rank") == F.min("importance")
+    return found.agg(F.count(F.lit(1)).cast("int").alias("features"), ranked.alias("ranked"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+                     (first.contains("null") | first.contains("unique") | first.contains("string_length")).alias("a_share_of_gaps_leads"))
 
 
 @query("scale_features", with_t(_DOC_SQL, "SELECT doc_id, " + ", ".join(
@@ -450,29 +496,42 @@ def scale_features(spark, d):
     return scaled.select("doc_id", *[F.round(v[i], 5).alias(c) for i, c in enumerate(_DOC)])
 
 
-@query("batch_score")
+@query("batch_score", f"SELECT 2 * count(*) AS datasets, 0.5 AS good_share, true AS confident FROM ({_SHORT}) AS s WHERE batch_no % 2 = 0")
 def batch_score(spark, d):
-    """Each document source is a dataset; its damaged twin trains the other class."""
-    events = table(spark, d, "events").select("event_id", "user_id", "value", (F.floor(F.col("event_id") / 500)).alias("dataset"))
-    dice = corrupt.Dice(("event_id", "dataset"))
-    damaged = corrupt.inject_outliers_const(corrupt.inject_nulls(events, dice, 0.2, ["user_id", "value"]), dice)
-    good = features.features8(events, ["dataset"]).withColumn("label", F.lit(1))
-    bad = features.features8(damaged, ["dataset"]).withColumn("label", F.lit(0))
-    samples = materialize(good.unionByName(bad), "samples")
-    fitted = model.train(samples, features.FEATURES8, "forest", numTrees=20, maxDepth=5)
-    return model.batch_summary(model.score(fitted, samples, ["dataset"]))
-
-
-@query("retrain")
-def retrain_q(spark, d):
-    """The whole loop: feedback joins the base rows, the candidate faces the holdout."""
-    from sievemark.plans.retrain import retrain
+    """Held-out batches and their twins, scored in one pass: half of them are good."""
+    train, test = _halves(spark, d)
+    fitted = model.train(train, features.FEATURES17, "forest", numTrees=20, maxDepth=5)
+    return model.batch_summary(model.score(fitted, test, ["source"])).select("datasets", "good_share", (F.col("mean_confidence") > 80).alias("confident"))
+
+
+def _loop(spark, d, current):
+    """Feedback on held-out samples joins the base rows, the candidate faces the holdout; what the log says."""
+    from sievemark.plans.retrain import current_model, retrain, score_stored
     from sievemark.session import scratch_path
     from sievemark.sources.readers import read_log
 
-    train, test = _split_documents(spark, d)
-    base = train.withColumn("sample_id", F.col("doc_id").cast("string"))
-    feedback = test.select(F.col("doc_id").alias("id"), F.array(*_DOC).alias("feature_values"), "label").filter("n_chars > 2000")
-    log = scratch_path(spark, "retrain-log")
-    retrain(base, feedback, test, _DOC, model.train(train, _DOC, "single"), scratch_path(spark, "model"), log, folds=3, kind="single")
-    return read_log(spark, log).select("cv_score", "feedback_samples", "total_training_samples", "model_type", "action", "promoted", "validation_reason")
+    train, test = _halves(spark, d)
+    feedback = test.filter("batch_no % 4 = 0").select(F.xxhash64("sample_id").alias("id"), F.array(*features.FEATURES17).alias("feature_values"), "label")
+    log, root = scratch_path(spark, "retrain-log"), scratch_path(spark, "model")
+    known = model.train(train, features.FEATURES17, "single") if current else None
+    retrain(train, feedback, test, features.FEATURES17, known, root, log, folds=3, min_samples=5, kind="single")
+    entry = read_log(spark, log).select("cv_score", "feedback_samples", "total_training_samples", "action", "promoted", "validation_reason")
+    stored = current_model(spark, root) is not None
+    right = score_stored(test, root, ["label"]).agg(F.avg(((F.col("quality") == "GOOD") == (F.col("label") == 1)).cast("int"))).first()[0] if stored else None
+    return entry.withColumns({"stored": F.lit(stored), "stored_right": F.lit(right).cast("double")})
+
+
+_LOOP = f"""SELECT 1.0 AS cv_score, CAST(2 * count(*) FILTER (WHERE batch_no % 4 = 0) AS BIGINT) AS feedback_samples,
+  CAST(2 * count(*) FILTER (WHERE batch_no % 2 = 1 OR batch_no % 4 = 0) AS BIGINT) AS total_training_samples, """
+
+
+@query("retrain", _LOOP + f"'promoted' AS action, true AS promoted, 'improved' AS validation_reason, true AS stored, 1.0 AS stored_right FROM ({_SHORT}) AS s")
+def retrain_q(spark, d):
+    """Without a model yet the candidate is promoted, stored, and judges the holdout right."""
+    return _loop(spark, d, False)
+
+
+@query("retrain_no_gain", _LOOP + f"'archived' AS action, false AS promoted, 'insufficient' AS validation_reason, false AS stored, CAST(NULL AS DOUBLE) AS stored_right FROM ({_SHORT}) AS s")
+def retrain_no_gain(spark, d):
+    """A candidate that is no better than the model in use is only logged."""
+    return _loop(spark, d, True)

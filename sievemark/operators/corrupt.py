@@ -6,7 +6,8 @@ same table again however it is partitioned, and a lost task redoes exactly its r
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,16 @@ from sievemark.operators.quantiles import exact_quantiles
 BAD_TOKENS = ("N/A", "NULL", "###", "???", "ERROR", "MISSING")
 
 
+def poisson_steps(mean: float) -> list[float]:
+    """The distribution function of a Poisson number, as far as a double tells it from one."""
+    steps, term, total, k = [], math.exp(-mean), 0.0, 0
+    while (total := total + term) < 1 - 2**-52 and (not steps or total > steps[-1]):
+        steps.append(total)
+        k += 1
+        term *= mean / k
+    return steps
+
+
 @dataclass(frozen=True)
 class Dice:
     """Where randomness comes from: key columns, seed and hash."""
@@ -31,6 +42,17 @@ class Dice:
     def roll(self, tag: str) -> Column:
         return uniform([col(k) for k in self.key], self.seed, tag, self.algorithm)
 
+    def normal(self, tag: str, within: Sequence[str] = ()) -> Column:
+        """A standard normal number per key (and the columns of ``within``), by Box-Muller on two hashed numbers."""
+        key = [col(k) for k in (*self.key, *within)]
+        one, two = (uniform(key, self.seed, f"n{i}:{tag}", self.algorithm) for i in (1, 2))
+        return F.sqrt(-2 * F.ln(1 - one)) * F.cos(2 * F.pi() * two)  # 1 - u keeps the logarithm finite
+
+    def poisson(self, tag: str, mean: float) -> Column:
+        """A Poisson number per key: how many of the distribution's steps its hashed number has passed."""
+        u = self.roll(tag)
+        return sum((F.when(u >= F.lit(step), 1).otherwise(0) for step in poisson_steps(mean)), F.lit(0))
+
     def flip(self, tag: str) -> float:
         """One number per tag for choices about whole columns, made on the driver."""
         import hashlib
@@ -58,8 +80,17 @@ def inject_duplicates(df: DataFrame, dice: Dice, fraction: float) -> DataFrame:
 
 
 def inject_duplicates_replaced(df: DataFrame, dice: Dice, fraction: float) -> DataFrame:
-    """Append rows drawn with replacement: each row a Poisson-like number of times."""
-    return df.unionByName(df.sample(True, fraction, dice.seed))
+    """Append rows drawn with replacement: each row a Poisson number of times, fixed by its key."""
+    return df.unionByName(_drawn(df, dice, fraction).drop(_COPY))
+
+
+_COPY = "_copy"
+
+
+def _drawn(df: DataFrame, dice: Dice, mean: float) -> DataFrame:
+    """Each row a Poisson number of times, the times numbered from 1."""
+    times = dice.poisson("draws", mean)
+    return df.withColumn(_COPY, times).filter(F.col(_COPY) > 0).withColumn(_COPY, F.explode(F.sequence(F.lit(1), F.col(_COPY))))
 
 
 def scramble_types(df: DataFrame, dice: Dice, columns: Sequence[str] | None = None, share: float = 0.5) -> DataFrame:
@@ -128,10 +159,8 @@ def inject_noise(df: DataFrame, dice: Dice, rate: float, columns: Sequence[str]
     sd = df.agg(*[F.stddev_samp(col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(names)]).first()
     out = {}
     for i, c in enumerate(names):
-        # Box-Muller on two hashed uniforms; 1 - u keeps the logarithm finite.
-        normal = F.sqrt(-2 * F.ln(1 - dice.roll(f"n1:{c}"))) * F.cos(2 * F.pi() * dice.roll(f"n2:{c}"))
         x = col(c).cast("double")
-        out[c] = F.when(dice.roll(f"noise:{c}") < rate, x + normal * F.lit(sd[f"s{i}"] or 0.0)).otherwise(x)
+        out[c] = F.when(dice.roll(f"noise:{c}") < rate, x + dice.normal(c) * F.lit(sd[f"s{i}"] or 0.0)).otherwise(x)
     return df.withColumns(out)
 
 
@@ -206,11 +235,10 @@ def bootstrap(df: DataFrame, dice: Dice, share: float = 0.05) -> DataFrame:
     """Rows with replacement, numeric columns blurred by a share of their deviation."""
     names = _data(df, dice, None, True)
     sd = df.agg(*[F.stddev_samp(col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(names)]).first()
-    drawn = df.sample(True, 1.0, dice.seed)
-    return drawn.withColumns({
-        c: col(c).cast("double") + F.randn(dice.seed + i) * F.lit(share * (sd[f"s{i}"] or 0.0))
+    return _drawn(df, dice, 1.0).withColumns({
+        c: col(c).cast("double") + dice.normal(f"blur:{c}", [_COPY]) * F.lit(share * (sd[f"s{i}"] or 0.0))
         for i, c in enumerate(names)
-    })
+    }).drop(_COPY)
 
 
 def interpolate(df: DataFrame, dice: Dice) -> DataFrame:
@@ -234,8 +262,10 @@ def interpolate(df: DataFrame, dice: Dice) -> DataFrame:
     ])
 
 
-def labelled_pairs(df: DataFrame, dice: Dice, features, **options) -> DataFrame:
+def labelled_pairs(
+    df: DataFrame, dice: Dice, features, damage: Callable[[DataFrame, Dice], DataFrame] = corrupt_mix, **options
+) -> DataFrame:
     """Features of the table labelled 1 and of its damaged copy labelled 0."""
     good = features(df, **options).withColumn("label", F.lit(1))
-    bad = features(corrupt_mix(df, dice), **options).withColumn("label", F.lit(0))
+    bad = features(damage(df, dice), **options).withColumn("label", F.lit(0))
     return good.unionByName(bad)
