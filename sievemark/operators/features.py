@@ -18,7 +18,7 @@ from sievemark.functions.hashing import row_digests
 from sievemark.functions.stats import coef_variation, kurt_adjusted, skew_adjusted
 from sievemark.operators.correlation import heatmap_cells
 from sievemark.operators.infer import mixed_type_columns
-from sievemark.operators.order import same_keys, with_row_id
+from sievemark.operators.order import with_row_id, with_run_starts
 from sievemark.operators.reshape import as_pairs, families
 from sievemark.operators.rows import all_null
 
@@ -257,20 +257,16 @@ def with_batches(
     Every row has a batch unless the caller asks to leave out runs past ``most`` or of
     fewer than ``least`` rows. Rows without a file are a file of their own.
     """
-    keys = ([file] if file else []) + list(order_by)
-    numbered = with_row_id(df, keys)
+    numbered = with_row_id(df, ([file] if file else []) + list(order_by))
     if file:
-        starts = numbered.groupBy(col(file).alias("_f0")).agg(
-            F.min("_row_id").alias("_start"), F.count(F.lit(1)).alias("_rows")
-        )
-        numbered = numbered.join(starts, same_keys([file], "_f"))
+        numbered = with_run_starts(numbered, file, "_start")
     else:
-        numbered = numbered.withColumns({
-            "_start": F.lit(1), "_rows": F.lit(numbered.count()),
-        })
-    batch = F.floor((F.col("_row_id") - F.col("_start")) / F.lit(size)) + 1
-    held = F.least(F.lit(size), F.col("_rows") - (F.col("batch_no") - 1) * size)
-    out = numbered.withColumn("batch_no", batch).filter(held >= least)
+        numbered = numbered.withColumn("_start", F.lit(1))
+    out = numbered.withColumn("batch_no", F.floor((F.col("_row_id") - F.col("_start")) / F.lit(size)) + 1)
+    if least > 1:
+        sizes = out.groupBy(F.col("_start").alias("_s"), F.col("batch_no").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        enough = sizes.filter(F.col("_n") >= least)
+        out = out.join(enough, (F.col("_start") == F.col("_s")) & (F.col("batch_no") == F.col("_b")), "left_semi")  # at most ``size`` rows a key
     if most:
         out = out.filter(F.col("batch_no") <= most)
     return out.select(*[col(c) for c in df.columns], "batch_no")

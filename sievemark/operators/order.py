@@ -180,3 +180,21 @@ def forward_fill(
         return F.when(same, s["v"]).alias(c)
 
     return wide.select(*[filled(c) if c in target else col(c) for c in df.columns])
+
+
+def with_run_starts(numbered: DataFrame, group: str, name: str, row_id: str = "_row_id") -> DataFrame:
+    """Add the number of the first row of each row's group to rows that are numbered group by group.
+
+    Groups are intervals of the row numbers. Within a bucket a group starts where its value changes; the start of the group that
+    a bucket begins with is looked up once for the bucket. So rows are never dealt out by their group, however large it is.
+    """
+    rows = _bucketed(numbered, row_id)
+    starts = numbered.groupBy(col(group).alias("_g")).agg(F.min(col(row_id)).alias("_first"))
+    heads = rows.groupBy("_bucket").agg(F.min_by(F.struct(col(group).alias("g")), col(row_id)).alias("_head"))
+    heads = heads.join(starts, F.col("_head.g").eqNullSafe(F.col("_g"))).select("_bucket", "_first")
+    inside = Window.partitionBy("_bucket").orderBy(col(row_id))
+    same = F.lag(F.struct(col(group).alias("g"))).over(inside)
+    change = F.when(same.isNotNull() & ~same["g"].eqNullSafe(col(group)), col(row_id))
+    marked = rows.join(heads, "_bucket").withColumn("_change", change)
+    seen = F.max("_change").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return marked.withColumn(name, F.coalesce(seen, F.col("_first"))).select(*[col(c) for c in numbered.columns], name)

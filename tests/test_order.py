@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievemark.operators import order
+from sievemark.operators.features import with_batches
 
 
 @pytest.fixture()
@@ -43,3 +44,19 @@ def test_forward_fill(rows, monkeypatch, bucket):
     keyed = order.forward_fill(rows, ["v"], ["o"], ["k"]).toPandas().sort_values("o")
     want = pdf.groupby("k")["v"].ffill()
     pd.testing.assert_series_equal(keyed["v"].reset_index(drop=True), want.reset_index(drop=True), check_names=False)
+
+
+@pytest.mark.parametrize("bucket", [7, 16_384])
+def test_starts_of_runs(spark, monkeypatch, bucket):
+    """One file holds half of the rows, many hold one, some rows have none; batches are those of each file on its own."""
+    monkeypatch.setattr(order, "BUCKET_ROWS", bucket)
+    file = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("f"), (F.col("id") % 90).cast("string")))
+    rows = spark.range(600).select("id", file.alias("file")).withColumn("extra", F.lit("own"))
+    got = with_batches(rows.repartition(5), ["id"], "file", 40).toPandas()
+    want = rows.toPandas().sort_values("id")
+    want["batch_no"] = want.groupby("file", dropna=False).cumcount() // 40 + 1
+    both = got.merge(want, on="id", suffixes=("", "_want"))
+    assert len(got) == 600 and (both["batch_no"] == both["batch_no_want"]).all()
+    few = with_batches(rows, ["id"], "file", 40, least=10).toPandas()
+    sizes = want.groupby(["file", "batch_no"], dropna=False)["id"].transform("size")
+    assert set(few["id"]) == set(want[sizes >= 10]["id"])
