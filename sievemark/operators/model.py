@@ -16,16 +16,17 @@ from pyspark.sql import functions as F
 from sievemark.functions.columns import col
 from sievemark.operators.metrics import auc, eval_metrics
 from sievemark.operators.scores import rating_band
+from sievemark.operators.splits import class_sizes
 from sievemark.session import small_frame
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """n / (2 * n_class) per row; rows without a label are a class."""
-    sizes = df.groupBy(col(label).alias("label")).agg(F.count(F.lit(1)).alias("k")).collect()  # one row per class
-    n = sum(r["k"] for r in sizes)
+    sizes = class_sizes(df, label)
+    n = sum(sizes.values())
     weight = F.lit(None).cast("double")
-    for r in sizes:
-        weight = F.when(col(label).eqNullSafe(F.lit(r["label"])), F.lit(n / (2.0 * r["k"]))).otherwise(weight)
+    for value, k in sizes.items():
+        weight = F.when(col(label).eqNullSafe(F.lit(value)), F.lit(n / (2.0 * k))).otherwise(weight)
     return df.withColumn(name, weight)
 
 

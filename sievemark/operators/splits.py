@@ -17,6 +17,7 @@ from sievemark.functions.hashing import uniform
 from sievemark.operators.quantiles import order_statistics
 
 _U = "_u"
+MAX_CLASSES = 1000  # labels come to the driver, one row each
 
 
 def _drawn(df: DataFrame, key: Sequence[str], seed: int, tag: str, algorithm: str) -> DataFrame:
@@ -39,9 +40,12 @@ def _is(label: str, value: object) -> Column:
     return col(label).isNull() if value is None else col(label) == F.lit(value)
 
 
-def _class_sizes(df: DataFrame, label: str) -> dict[object, int]:
-    """Rows of every class, null being one; a table has few classes."""
-    return {r["label"]: r["n"] for r in df.groupBy(col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+def class_sizes(df: DataFrame, label: str) -> dict[object, int]:
+    """Rows of every class, null being one; a column with more than ``MAX_CLASSES`` values is no label."""
+    rows = df.groupBy(col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has over {MAX_CLASSES} values")
+    return {r["label"]: r["n"] for r in rows}
 
 
 def _class_cuts(
@@ -69,7 +73,7 @@ def balance_classes(
     ratio: float | None = None, algorithm: str = "xxhash64",
 ) -> DataFrame:
     """Cut both classes to the smaller, or class 0 to ``ratio`` times class 1."""
-    sizes = _class_sizes(df.filter(col(label).isin(0, 1)), label)
+    sizes = class_sizes(df.filter(col(label).isin(0, 1)), label)
     ones = sizes.get(1, 0)
     allowed = {1: ones, 0: int(ratio * ones)} if ratio is not None else dict.fromkeys((0, 1), min(sizes.get(0, 0), ones))
     drawn = _drawn(df, key, seed, "balance", algorithm)
@@ -120,7 +124,7 @@ def split_stratified(
     algorithm: str = "xxhash64",
 ) -> DataFrame:
     """Add ``split`` with the test share exact inside every class; a null label is a class."""
-    sizes = _class_sizes(df, label)
+    sizes = class_sizes(df, label)
     drawn = _drawn(df, key, seed, "strata", algorithm)
     held = F.lit(False)
     for c, (edge,) in _class_cuts(drawn, label, sizes, {c: [round(n * test)] for c, n in sizes.items()}).items():
@@ -132,7 +136,7 @@ def kfold_stratified(
     df: DataFrame, label: str, key: Sequence[str], k: int = 5, seed: int = 42, algorithm: str = "xxhash64"
 ) -> DataFrame:
     """Add ``fold`` 0..k-1: equal runs of every class in the order of the hash; a null label is a class."""
-    sizes = _class_sizes(df, label)
+    sizes = class_sizes(df, label)
     drawn = _drawn(df, key, seed, "folds", algorithm)
     cuts = _class_cuts(drawn, label, sizes, {c: [n * j // k for j in range(1, k)] for c, n in sizes.items()})
     fold = F.lit(None).cast("int")

@@ -40,22 +40,28 @@ def stack_feedback(base: DataFrame, feedback: DataFrame, features: Sequence[str]
 
 
 def save_version(model: PipelineModel, root: str) -> str:
-    """Save a model beside the earlier ones; it is current once its line in the log is written."""
+    """Save a model beside the earlier ones; it is current once its line in the log is written, with a number over all before."""
     spark = SparkSession.active()
     path = f"{root}/model-{uuid.uuid4().hex}"
     model.write().save(path)
-    line = small_frame(spark, [(path,)], "path string").withColumn("saved_at", F.current_timestamp().cast("string"))
+    known = _versions(spark, root)
+    number = (known.agg(F.max("version")).first()[0] or 0) + 1 if known is not None else 1
+    line = small_frame(spark, [(path, number)], "path string, version bigint").withColumn("saved_at", F.current_timestamp().cast("string"))
     line.write.mode("append").json(f"{root}/versions")
     return path
 
 
-def current_model(spark: SparkSession, root: str) -> PipelineModel | None:
-    """The model saved last, or none."""
+def _versions(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        versions = spark.read.schema("path string, saved_at string").json(f"{root}/versions")
+        return spark.read.schema("path string, version bigint, saved_at string").json(f"{root}/versions")
     except AnalysisException:  # no model yet
         return None
-    newest = versions.orderBy(F.desc("saved_at")).first()
+
+
+def current_model(spark: SparkSession, root: str) -> PipelineModel | None:
+    """The model saved last, or none; of two drivers that saved at once the later one."""
+    versions = _versions(spark, root)
+    newest = versions.orderBy(F.desc("version"), F.desc("saved_at"), "path").first() if versions is not None else None
     return PipelineModel.load(newest["path"]) if newest else None
 
 
@@ -89,6 +95,7 @@ def retrain(
     ``model_path`` is a folder of versions: the model in use stays whole until the next is complete.
     """
     spark = base.sparkSession
+    feedback = materialize(feedback, "feedback")  # the store may grow meanwhile
     stacked = materialize(stack_feedback(base, feedback, features, label), "training")
     n, n_feedback = stacked.count(), feedback.count()
     if n < min_samples:
