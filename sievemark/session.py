@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,33 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the scratch folder; the innermost open scope deletes it at its end."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at its end what operators have written to scratch inside; their results must be written or collected by then.
+
+    Paths go through the file system that holds them, so the folder may be in any store Spark writes to.
+    """
+    mine: list[str] = []
+    _SCOPES.append(mine)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(mine)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in mine:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -158,6 +158,21 @@ def test_scratch_comes_from_the_session(spark):
     assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+def test_scope_deletes_what_was_written_in_it(spark, tmp_path):
+    from pathlib import Path
+
+    root = Path(session.scratch_root(spark).removeprefix("file:"))
+    kept = session.materialize(spark.range(5), "kept")
+    before = set(root.iterdir())
+    with session.scratch_scope(spark):
+        inner = session.materialize(spark.range(7), "gone")
+        with session.scratch_scope(spark):
+            assert session.materialize(inner, "deeper").count() == 7
+        assert len(set(root.iterdir()) - before) == 1
+        inner.write.parquet(str(tmp_path / "out"))
+    assert set(root.iterdir()) == before and kept.count() == 5 and spark.read.parquet(str(tmp_path / "out")).count() == 7
+
+
 def test_stream_equals_batch(spark, tmp_path):
     df = spark.range(300).select(
         "id", F.when(F.col("id") % 3 != 0, F.col("id") * 1.0).alias("x"), F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"))
