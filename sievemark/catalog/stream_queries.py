@@ -50,12 +50,30 @@ def stream_profile_sliding(spark, d):
     return _profile(spark, d, "30 minutes")
 
 
-@query("stream_feedback", """SELECT event_id AS id, CAST(CASE WHEN user_id < 40 THEN 0 WHEN user_id < 80 THEN 1 ELSE 2 END AS INT) AS actual_label, count(*) OVER () // 20 > 0 AS callback_ran FROM events
-WHERE (user_id >= 80 AND value < 50) OR (user_id < 40 AND value > 70)""")
-def stream_feedback(spark, d):
-    """A retrain is due after every twentieth accepted row."""
+_PASSED = "(user_id >= 80 AND value < 50) OR (user_id < 40 AND value > 70)"
+
+
+def _feedback(spark, d):
     arriving = _stream(spark, d, "events").selectExpr(
         "event_id AS id", "value AS predicted_score", "CAST(CASE WHEN user_id < 40 THEN 0 WHEN user_id < 80 THEN 1 ELSE 2 END AS INT) AS actual_label")
     out, calls = scratch_path(spark, "accepted"), []
-    streams.stream_feedback(arriving, out, scratch_path(spark, "accepted-state"), every=20, on_due=lambda stored: calls.append(True))
+    for _ in range(2):  # the second run finds nothing new and asks for nothing again
+        streams.stream_feedback(arriving, out, f"{out}-state", every=20, on_due=lambda stored: calls.append(stored.count()))
+    return out, calls
+
+
+@query("stream_feedback", f"""SELECT event_id AS id, CAST(CASE WHEN user_id < 40 THEN 0 WHEN user_id < 80 THEN 1 ELSE 2 END AS INT) AS actual_label, count(*) OVER () // 20 > 0 AS callback_ran FROM events
+WHERE {_PASSED}""")
+def stream_feedback(spark, d):
+    """A retrain is due after every twentieth accepted row."""
+    out, calls = _feedback(spark, d)
     return spark.read.parquet(out).select("id", "actual_label", F.lit(bool(calls)).alias("callback_ran"))
+
+
+@query("stream_feedback_triggers", f"""SELECT n // 20 * 20 AS due, n AS rows, CAST(0 AS BIGINT) AS batch, n AS rows_seen, true AS once
+FROM (SELECT count(*) AS n FROM events WHERE {_PASSED}) AS c WHERE n >= 20""")
+def stream_feedback_triggers(spark, d):
+    """Every retrain asked for, with the rows its call has seen."""
+    out, calls = _feedback(spark, d)
+    return streams.triggers_of(spark, out).withColumns({
+        "rows_seen": F.lit(calls[0] if calls else None).cast("bigint"), "once": F.lit(len(calls) == 1)})

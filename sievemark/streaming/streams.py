@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from sievemark.functions.columns import col
 from sievemark.operators.feedback import RETRAIN_EVERY, gate_table
 from sievemark.operators.impute import Fill, apply_fills
-from sievemark.session import scratch_path
+from sievemark.session import scratch_path, small_frame
 
 
 def table_stream(
@@ -84,6 +84,17 @@ def _stored_counts(spark: SparkSession, path: str) -> dict[int, int]:
     return {r["batch"]: r["n"] for r in stored.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+_TRIGGERS = "due long, rows long, batch long"
+
+
+def triggers_of(spark: SparkSession, path: str) -> DataFrame:
+    """(due, rows, batch): the retrains that a store's feedback has led to, the multiple each answers and the rows there were."""
+    try:
+        return spark.read.schema(_TRIGGERS).json(f"{path}-triggers")
+    except AnalysisException:  # none yet
+        return small_frame(spark, [], _TRIGGERS)
+
+
 def stream_feedback(
     stream: DataFrame, path: str, state: str, every: int = RETRAIN_EVERY,
     on_due: Callable[[DataFrame], None] | None = None,
@@ -92,20 +103,25 @@ def stream_feedback(
 
     A retrain is due whenever the number of accepted rows passes a multiple of ``every``, be
     it in the middle of a batch. A batch id names its folder, so a batch repeated after a
-    failure replaces itself. The rows stored before are counted once, at the start.
+    failure replaces itself. The multiple that a call has answered is written down beside the store once the call is
+    over, so a run that fails before leaves the retrain due for the next one, and one that was answered is not
+    asked for again. The rows stored before are counted once, at the start.
     """
     spark = stream.sparkSession
     counts = _stored_counts(spark, path)
-    total = sum(counts.values())
+    done = triggers_of(spark, path).agg(F.max("due")).first()[0] or 0
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        nonlocal total
+        nonlocal done
         folder = f"{path}/batch={batch_id}"
         gate_table(batch).filter("is_quality_gated = 1").write.mode("overwrite").parquet(folder)
-        before = total - counts.pop(batch_id, 0)
-        total = before + spark.read.parquet(folder).count()
-        if on_due is not None and before // every < total // every:
+        counts[batch_id] = spark.read.parquet(folder).count()
+        total = sum(counts.values())
+        due = total // every * every
+        if on_due is not None and due > done:
             on_due(spark.read.parquet(path))
+            small_frame(spark, [(due, total, batch_id)], _TRIGGERS).write.mode("append").json(f"{path}-triggers")
+            done = due
 
     query = stream.writeStream.foreachBatch(take).option("checkpointLocation", state).trigger(
         availableNow=True

@@ -91,6 +91,36 @@ def test_stream_retrains_when_a_multiple_is_passed(spark, samples, tmp_path):
     assert current_model(spark, str(tmp_path / "models")) is not None
 
 
+def test_a_failed_retrain_stays_due(spark, tmp_path):
+    """A call that fails in the middle of a batch is made again by the next run, once; a store that grew goes on from there."""
+    def stream(names):
+        for i in names:
+            spark.range(15 * i, 15 * i + 15).select(
+                "id", F.concat(F.lit("h"), F.col("id").cast("string")).alias("dataset_hash"), F.lit(20.0).alias("predicted_score"),
+                F.lit(2).alias("actual_label"), F.lit("[]").alias("features"), F.col("id").cast("int").alias("timestamp"),
+            ).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / f"in/{i}"))
+        schema = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "in")).schema
+        return spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+    seen, broken = [], [True]
+
+    def due(stored):
+        seen.append(stored.count())
+        if broken.pop() if broken else False:
+            raise RuntimeError("no more room")
+
+    run = lambda names: streams.stream_feedback(stream(names), str(tmp_path / "store"), str(tmp_path / "state"), every=20, on_due=due)
+    with pytest.raises(Exception, match="no more room"):
+        run([0, 1])
+    assert seen == [30] and streams.triggers_of(spark, str(tmp_path / "store")).count() == 0
+    run([])
+    run([])
+    assert seen == [30, 30]
+    run([2])
+    got = [(r.due, r.rows) for r in streams.triggers_of(spark, str(tmp_path / "store")).orderBy("due").collect()]
+    assert seen == [30, 30, 45] and got == [(20, 30), (40, 45)]
+
+
 def test_feedback_edges(spark):
     rows = [(i, "h", 90.0, 0, f, i) for i, f in enumerate(["[1,2,3,4,5,6,7,8]", "[]", "{broken", "[1,2,3,4,5,6,7]", None])]
     df = spark.createDataFrame(rows, "id int, dataset_hash string, predicted_score double, actual_label int, features string, timestamp int")
