@@ -7,7 +7,8 @@ frequent in the shard. These sets cross to the tasks as bit tables of a fixed si
 hits cost counts and lose nothing. The union of what is frequent in any shard is a bit table too, and one more pass
 counts its phrases over all documents, by their words.
 
-Tasks add up equal phrases before a shuffle, so a very frequent word sends few rows.
+Tasks add up equal phrases before a shuffle, so a very frequent word sends few rows. They do so for each buffer of
+text and again over many buffers, so that what a Python worker holds is bounded by ``_BYTES`` and ``_FLUSH``.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from sievemark.session import materialize
 SHARDS = 4
 #: Bits of a table of frequent phrases, as a power of two: 16 MB.
 TABLE_BITS = 27
-_BYTES = 1 << 20  # of text at once
-_FLUSH = 1 << 21  # phrases between two additions
+_BYTES = 1 << 19  # of text at once
+_FLUSH = 1 << 20  # phrases, each once a buffer, between two additions over buffers; they go on if over three quarters are left
+_HELD = 40  # buffers whose text is held at most
 
 _GAP, _BREAK = b" \t", b".,;:!?\n\v\f\r"
 _KIND = np.zeros(256, np.uint8)
@@ -142,6 +144,17 @@ def _buffers(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[
         yield words_in(held), names, np.array(keys, np.int64).view(np.uint64), np.array(salts, np.int64).view(np.uint64)
 
 
+def _equal(*hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, where in it each run of equal hashes begins). Sorted by the first hash alone: where others differ under
+    the same first hash, a phrase may make several runs."""
+    order = np.argsort(hashes[0])
+    new = np.ones(len(order), bool)
+    for i, h in enumerate(hashes):
+        h = h[order]
+        new[1:] = (h[1:] != h[:-1]) | (new[1:] if i else False)
+    return order, np.flatnonzero(new)
+
+
 def _local_counts(docs: DataFrame, sizes: range, longest: int, pairs_from: int, held) -> DataFrame:
     """(key, salt, h, n): occurrences of phrases of the given sizes in each shard, keyed by hash.
 
@@ -151,16 +164,28 @@ def _local_counts(docs: DataFrame, sizes: range, longest: int, pairs_from: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = None if held is None else np.frombuffer(held.value, np.uint8)
         found: list[tuple] = []
+        places: dict[tuple[int, int], int] = {}  # of the pairs of key and salt
 
-        def flush() -> pa.RecordBatch:
-            h, key, salt = (np.concatenate(x) for x in zip(*found))
+        def added_up(h: np.ndarray, place: np.ndarray, n: np.ndarray | None = None) -> tuple:
+            order, first = _equal(h)
+            n = np.diff(first, append=len(order)) if n is None else np.add.reduceat(n[order], first) if len(n) else n
+            order = order[first]
+            return h[order], place[order], n
+
+        def over_buffers() -> tuple:
+            whole = [np.concatenate([f[i] for f in found]) for i in range(3)]
             found.clear()
-            h, at, n = np.unique(h, return_index=True, return_counts=True)
-            columns = [key[at].view(np.int64), salt[at].view(np.int64), h.view(np.int64), n.astype(np.int64)]
+            return added_up(*whole)
+
+        def sent(h: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            pairs = np.array(list(places), np.uint64).reshape(-1, 2)[place].view(np.int64)
+            columns = [pairs[:, 0], pairs[:, 1], h.view(np.int64), n.astype(np.int64)]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "salt", "h", "n"])
 
         for words, _, keys, salts in _buffers(batches, longest):
             hashes, key, salt = word_hashes(words), keys[words.block], salts[words.block]
+            dealt = [places.setdefault(p, len(places)) for p in zip(keys.tolist(), salts.tolist())]
+            place = np.array(dealt, np.int32)[words.block]
             if table is not None:
                 parts = phrase_hashes(hashes, key, pairs_from)
                 known = _has(table, parts ^ salt[: len(parts)])
@@ -170,11 +195,13 @@ def _local_counts(docs: DataFrame, sizes: range, longest: int, pairs_from: int,
                     for i in range(n - pairs_from + 1):
                         good = good & known[i : i + len(good)]
                 at = np.flatnonzero(good)
-                found.append((phrase_hashes(hashes, key, n)[at] ^ salt[at], key[at], salt[at]))
+                found.append(added_up(phrase_hashes(hashes, key, n)[at] ^ salt[at], place[at]))
             if sum(len(f[0]) for f in found) >= _FLUSH:
-                yield flush()
+                found.append(over_buffers())
+                if len(found[0][0]) > _FLUSH * 3 // 4:
+                    yield sent(*found.pop())
         if found:
-            yield flush()
+            yield sent(*over_buffers())
 
     counted = small_batches(docs).mapInArrow(run, "key long, salt long, h long, n long")
     return counted.groupBy("key", "salt", "h").agg(F.sum("n").alias("n"))
@@ -225,40 +252,51 @@ def locally_frequent(docs: DataFrame, longest: int, min_count: int, bits: int =
 
 
 class _Found(NamedTuple):
-    """Phrases of one buffer: two hashes, their first words, their sizes."""
+    """Phrases of one buffer, each once: two hashes, occurrences, first words, sizes; then the bytes, the words' places
+    and languages."""
 
-    words: Words
-    langs: list[str]
     h1: np.ndarray
     h2: np.ndarray
+    n: np.ndarray
     at: np.ndarray
     size: np.ndarray
+    data: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    block: np.ndarray
+    langs: list[str]
+
+
+def _added_up(found: list[_Found]) -> list[_Found]:
+    """Equal phrases of some buffers, by two hashes of their words, counted where they stand first."""
+    if not sum(len(f.h1) for f in found):
+        return []
+    order, first = _equal(np.concatenate([f.h1 for f in found]), np.concatenate([f.h2 for f in found]))
+    counts = np.zeros(len(order), np.int64)
+    counts[np.minimum.reduceat(order, first)] = np.add.reduceat(np.concatenate([f.n for f in found])[order], first)
+    out, low = [], 0
+    for f in found:
+        n = counts[low : low + len(f.h1)]
+        low += len(f.h1)
+        here = np.flatnonzero(n)
+        if len(here):
+            out.append(f._replace(h1=f.h1[here], h2=f.h2[here], n=n[here], at=f.at[here], size=f.size[here]))
+    return out
 
 
 def _strings(found: list[_Found]) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, words, f) of the phrases of some buffers; equal ones, by two hashes of their words, are added up."""
-    h1, h2 = np.concatenate([f.h1 for f in found]), np.concatenate([f.h2 for f in found])
-    order = np.lexsort((h2, h1))
-    if not len(order):
-        return
-    first = np.flatnonzero(np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)]))
-    counts = np.diff(first, append=len(order))
-    chosen = np.sort(order[first])
-    counts = counts[np.argsort(order[first], kind="stable")]
-    ends = np.cumsum([len(f.h1) for f in found])
-    for i, f in enumerate(found):
-        low, high = np.searchsorted(chosen, [ends[i] - len(f.h1), ends[i]])
-        here = chosen[low:high] - (ends[i] - len(f.h1))
-        at, size, w = f.at[here], f.size[here], f.words
-        plain = (w.begin[1:] - w.end[:-1] == 1) & (w.data[w.end[:-1]] == 32)
+    """(lang, phrase, words, f) of the phrases of some buffers."""
+    for f in found:
+        at, size = f.at, f.size.astype(np.int32)
+        plain = (f.begin[1:] - f.end[:-1] == 1) & (f.data[f.end[:-1]] == 32)
         odd = np.concatenate([[0], np.cumsum(~plain)])
         plain = odd[at + size - 1] == odd[at]
-        text = w.data.tobytes()
-        cut = zip(w.begin[at].tolist(), w.end[at + size - 1].tolist(), plain.tolist())
+        text = f.data.tobytes()
+        cut = zip(f.begin[at].tolist(), f.end[at + size - 1].tolist(), plain.tolist())
         phrases = [text[b:e] if one else b" ".join(text[b:e].split()) for b, e, one in cut]
         columns = [
-            pa.array(f.langs, pa.string()).take(pa.array(w.block[at])), pa.array(phrases, pa.binary()).cast(pa.string()),
-            pa.array(size, pa.int32()), pa.array(counts[low:high], pa.int64()),
+            pa.array(f.langs, pa.string()).take(pa.array(f.block[at])), pa.array(phrases, pa.binary()).cast(pa.string()),
+            pa.array(size, pa.int32()), pa.array(f.n, pa.int64()),
         ]
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "f"])
 
@@ -287,11 +325,18 @@ def phrase_counts(docs: DataFrame, longest: int, held) -> DataFrame:
             for n in range(1, longest + 1):
                 h = phrase_hashes(one, key, n)
                 at = np.flatnonzero(_starts(words, n) & _has(table, h))
-                got.append((h[at], phrase_hashes(two, key, n)[at], at, np.full(len(at), n)))
-            found.append(_Found(words, langs, *(np.concatenate(x) for x in zip(*got))))
-            if sum(len(f.h1) for f in found) >= _FLUSH:
-                yield from flush()
-        if found:
+                h1, h2 = h[at], phrase_hashes(two, key, n)[at]
+                order, first = _equal(h1, h2)
+                times, order = np.diff(first, append=len(order)), order[first]
+                got.append((h1[order], h2[order], times, at[order].astype(np.int32), np.full(len(order), n, np.uint16)))
+            spots = [a.astype(np.int32) for a in (words.begin, words.end, words.block)]
+            found.append(_Found(*(np.concatenate(x) for x in zip(*got)), words.data, *spots, langs))
+            if len(found) >= _HELD or sum(len(f.h1) for f in found) >= _FLUSH:
+                found[:] = _added_up(found)
+                if len(found) > _HELD // 2 or sum(len(f.h1) for f in found) > _FLUSH * 3 // 4:
+                    yield from flush()
+        if totals:
+            found[:] = _added_up(found)
             yield from flush()
 
     counted = small_batches(docs).mapInArrow(run, "lang string, phrase string, words int, f long")

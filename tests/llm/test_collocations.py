@@ -104,3 +104,37 @@ def test_collocations_odd_rows(odd, none):
     got = C.collocations(odd, min_count=4, bits=22).collect()
     assert {tuple(r) for r in got} == slow_collocations(rows, 4, 4, 2000)
     assert got and C.collocations(none, bits=16).count() == 0
+
+
+@pytest.mark.parametrize("passed", ["pairs", "strings"])
+def test_a_pass_holds_little_of_the_text_it_reads(monkeypatch, passed):
+    """Peak of one task over 6 MB of text in which every phrase is counted, beside the bit table and the batch at hand."""
+    import tracemalloc
+    import types
+
+    import pyarrow as pa
+
+    runs, held = [], types.SimpleNamespace(value=b"\xff" * 1024)
+    monkeypatch.setattr(C, "small_batches", lambda docs: docs)
+    docs = types.SimpleNamespace(mapInArrow=lambda run, schema: runs.append(run) or docs, groupBy=lambda *c: docs, agg=lambda *c: docs)
+    monkeypatch.setattr(C, "F", types.SimpleNamespace(sum=lambda c: types.SimpleNamespace(alias=str)))
+    C._local_counts(docs, range(1, 5), 4, 1, held) if passed == "pairs" else C.phrase_counts(docs, 4, held)
+    random = np.random.default_rng(3)
+    names = np.array([f"word{i}" for i in range(3000)])
+
+    def batches():
+        for i in range(24):
+            text = " ".join(names[np.minimum(random.geometric(0.002, 30_000), 3000) - 1])
+            yield pa.RecordBatch.from_pydict({"text": [text], "lang": ["en"], "key": [5 + i % 2], "salt": [7 + i % 3]})
+
+    tracemalloc.start()
+    try:
+        words = 0
+        for batch in runs[0](batches()):
+            if passed == "strings":
+                words += sum(n for n, size in zip(batch.column("f").to_pylist(), batch.column("words").to_pylist()) if size == 1)
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert words == (24 * 30_000 if passed == "strings" else 0)
+    assert peak < 150, peak
