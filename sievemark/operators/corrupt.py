@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.columns import col, column_classes
-from sievemark.functions.hashing import uniform
+from sievemark.functions.hashing import uniform, uniform_from
 from sievemark.operators.quantiles import exact_quantiles
+from sievemark.session import materialize
 
 # Tokens that spoil numeric cells.
 BAD_TOKENS = ("N/A", "NULL", "###", "???", "ERROR", "MISSING")
@@ -42,6 +43,10 @@ class Dice:
     def roll(self, tag: str) -> Column:
         return uniform([col(k) for k in self.key], self.seed, tag, self.algorithm)
 
+    def spares(self, tag: str, rate: float) -> Column:
+        """Whether the roll is ``rate`` or more."""
+        return uniform_from([col(k) for k in self.key], self.seed, tag, rate, self.algorithm)
+
     def normal(self, tag: str, within: Sequence[str] = ()) -> Column:
         """A standard normal number per key (and the columns of ``within``), by Box-Muller on two hashed numbers."""
         key = [col(k) for k in (*self.key, *within)]
@@ -70,7 +75,7 @@ def _data(df: DataFrame, dice: Dice, columns: Sequence[str] | None, numeric: boo
 def inject_nulls(df: DataFrame, dice: Dice, rate: float, columns: Sequence[str] | None = None) -> DataFrame:
     """Each cell becomes null with the given rate."""
     return df.withColumns({
-        c: F.when(dice.roll(f"null:{c}") >= rate, col(c)) for c in _data(df, dice, columns, False)
+        c: F.when(dice.spares(f"null:{c}", rate), col(c)) for c in _data(df, dice, columns, False)
     })
 
 
@@ -265,7 +270,10 @@ def interpolate(df: DataFrame, dice: Dice) -> DataFrame:
 def labelled_pairs(
     df: DataFrame, dice: Dice, features, damage: Callable[[DataFrame, Dice], DataFrame] = corrupt_mix, **options
 ) -> DataFrame:
-    """Features of the table labelled 1 and of its damaged copy labelled 0."""
+    """Features of the table labelled 1 and of its damaged copy labelled 0.
+
+    The copy is written once: features take several scans, and each would roll the dice of all its columns again.
+    """
     good = features(df, **options).withColumn("label", F.lit(1))
-    bad = features(damage(df, dice), **options).withColumn("label", F.lit(0))
+    bad = features(materialize(damage(df, dice), "twin"), **options).withColumn("label", F.lit(0))
     return good.unionByName(bad)

@@ -172,3 +172,15 @@ def test_feature_sets_of_one_table(spark):
     seventeen = features17(df).first().asDict()
     assert list(seventeen) == FEATURES17
     assert seventeen["num_mixed_type_columns"] == 1 and seventeen["num_constant_columns"] == 1
+
+
+def test_twins_roll_their_dice_once_and_compare_as_the_numbers_do(spark):
+    """The plan of the pairs reads the damaged copy from files; digits compared as text agree with the numbers, at the ends too."""
+    dice = corrupt.Dice(("id", "name"), algorithm="md5")
+    df = spark.range(2000).selectExpr("id % 700 AS id", "IF(id % 5 = 0, NULL, CAST(id AS STRING)) AS name", "id * 1.0D AS v")
+    plan = corrupt.labelled_pairs(df, dice, features8, lambda df, dice: corrupt.inject_nulls(df, dice, 0.3))._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan
+    for rolled in (dice, corrupt.Dice(("id", "name"))):
+        exact = df.select(rolled.roll("a")).first()[0]
+        for rate in (-0.5, 0.0, 2.0**-52, 0.1, 0.3, exact, exact + 2.0**-52, 0.999, 1.0, 2.0):
+            assert df.filter(rolled.spares("a", rate) != (rolled.roll("a") >= rate)).count() == 0
