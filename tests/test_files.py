@@ -1,12 +1,16 @@
 import csv
+import gzip
+import hashlib
 import json
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sievemark import session
-from sievemark.functions import text
+from sievemark.functions import file_chain, text
+from sievemark.functions.hashing import file_hashes
 from sievemark.operators.impute import fill_plan
 from sievemark.sources import csv_records, readers, sinks
 from sievemark.streaming import streams
@@ -121,6 +125,90 @@ def test_tolerant_and_ragged_take_line_breaks(spark, tmp_path, small_blocks):
     assert {'malformed line: 2,"p\nq",3', "malformed line: 4"} <= bad
 
 
+def files_of_bytes(folder):
+    """Files whose lines end in every way, below, at and above 1,000 bytes; the md5 of each."""
+    random = np.random.default_rng(5)
+    noise = lambda n: random.integers(0, 256, n, dtype=np.uint8).tobytes()
+    mark = b"\xef\xbb\xbf"
+    contents = {
+        "small": noise(300), "at": noise(1000), "over": noise(1001), "double": noise(2000), "large": noise(12_000),
+        "ended": noise(4999) + b"\n", "open": noise(4999) + b"x", "ends": b"\n" * 3000, "crlf": b"a\r\n\r\r\nb\x00" * 500,
+        "mark": mark + noise(3000) + b"x", "mark ended": mark + noise(3000) + b"\n", "marks": mark * 700, "mark, end": mark + b"\n" * 1500,
+        "one line": b"z" * 7000, "late end": b"z" * 5000 + b"\n" + b"y" * 40, "50%20 [a] {b}": noise(2500), "sub/large": noise(3333),
+        "sub/same": b"same\n" * 999, "same": b"same\n" * 999,
+    }
+    for name, content in contents.items():
+        (folder / name).parent.mkdir(exist_ok=True)
+        (folder / name).write_bytes(content)
+    return {name: (len(content), hashlib.md5(content).hexdigest()) for name, content in contents.items()}
+
+
+def hashes_below(folder, df):
+    rows = df.collect()
+    found = {r.path.removeprefix(f"file:{folder}/"): (r.length, r.md5) for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+@contextmanager
+def settings(spark, **values):
+    names = {f"spark.sql.{k.replace('__', '.')}": str(v) for k, v in values.items()}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k in names:
+            spark.conf.unset(k)
+
+
+def test_large_files_are_hashed_by_turns(spark, tmp_path):
+    """The binary reader refuses whole files over its limit, of 2 GB by default."""
+    want = files_of_bytes(tmp_path)
+    with settings(spark, sources__binaryFile__maxLength=1000, files__maxPartitionBytes=4000, files__openCostInBytes=1):
+        assert hashes_below(tmp_path, file_hashes(spark, str(tmp_path), 1000)) == want
+    assert hashes_below(tmp_path, file_hashes(spark, str(tmp_path))) == want
+
+
+def test_a_turn_is_no_larger_than_asked(spark, tmp_path, monkeypatch):
+    """Also where the reader's blocks are larger."""
+    (tmp_path / "lines").write_bytes(b"123456789\n" * 100_000)
+    taken, advanced = [], file_chain._advanced
+
+    def spied(pieces, *rest):
+        taken.append(pieces.agg(F.sum("size")).first()[0])
+        return advanced(pieces, *rest)
+
+    monkeypatch.setattr(file_chain, "_advanced", spied)
+    with settings(spark, execution__arrow__maxRecordsPerBatch=500):
+        rows = file_hashes(spark, str(tmp_path), 100_000).collect()
+    assert rows[0].md5 == hashlib.md5(b"123456789\n" * 100_000).hexdigest()
+    assert len(taken) == 10 and max(taken) <= 105_000
+
+
+def test_a_line_longer_than_a_piece(spark, tmp_path):
+    content = b"ab\n" * 9 + np.random.default_rng(2).bytes(4_500_000).replace(b"\n", b"") + b"\n" + b"c\n" * 300_000
+    (tmp_path / "long").write_bytes(content)
+    want = {"long": (len(content), hashlib.md5(content).hexdigest())}
+    with settings(spark, files__maxPartitionBytes=700_000):
+        assert hashes_below(tmp_path, file_hashes(spark, str(tmp_path), 1_000_000)) == want
+
+
+def test_packed_files_are_hashed_as_they_lie(spark, tmp_path):
+    (tmp_path / "a.gz").write_bytes(gzip.compress(np.random.default_rng(1).bytes(9000)))
+    (tmp_path / "b").write_bytes(b"x\n" * 2000)
+    want = {p.name: (p.stat().st_size, hashlib.md5(p.read_bytes()).hexdigest()) for p in tmp_path.iterdir()}
+    assert hashes_below(tmp_path, file_hashes(spark, str(tmp_path), 500)) == want
+
+
+def test_a_hash_goes_on_from_its_state():
+    first = file_chain.Chain()
+    first.update(b"abc" * 50)
+    second = file_chain.Chain(first.state())
+    second.update(b"def")
+    assert second.hexdigest() == second.hexdigest() == hashlib.md5(b"abc" * 50 + b"def").hexdigest()
+
+
 def test_csv_of_nothing(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     (tmp_path / "head.csv").write_text("a,b\n")
